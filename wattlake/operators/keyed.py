@@ -98,3 +98,25 @@ def dedupe_and_difference(
 def split_rows(df: DataFrame, reason: str) -> tuple[DataFrame, DataFrame]:
     """Rows without and rows with a reject reason."""
     return df.filter(F.col(reason).isNull()), df.filter(F.col(reason).isNotNull())
+
+
+def with_day_boundary(
+    df: DataFrame, keys: Sequence[str], day: str, time: str, value: str, previous: str
+) -> DataFrame:
+    """Add the previous row's value, looking back into the day before if need be.
+
+    Each day is computed as if it had read its own rows and those of the day
+    before, which only serve as seed. Only the last row of a key and day can be
+    that seed, so one pre-aggregated row per key and day is carried over.
+    """
+    seeds = df.groupBy(*keys, day).agg(
+        F.max_by(F.struct(value), F.struct(time)).alias("_seed")
+    ).withColumn(day, F.date_add(day, 1))
+    within = Window.partitionBy(*keys, day).orderBy(F.col(time).asc_nulls_last())
+    first = F.lag(F.lit(1)).over(within).isNull()
+    return (
+        df.withColumns({"_first": first, "_before": F.lag(value).over(within)})
+        .join(seeds, [*keys, day], "left")
+        .withColumn(previous, F.when(F.col("_first"), F.col("_seed")[value]).otherwise(F.col("_before")))
+        .select(*df.columns, previous)
+    )
