@@ -31,6 +31,30 @@ def _with_previous(df: DataFrame, by: Sequence[str], time: str, previous: Mappin
     return df.withColumns({name: F.lag(source).over(before) for name, source in previous.items()})
 
 
+def previous_by_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    previous: Mapping[str, str],
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Add columns of the row before, ``{new column: source column}``, along each key.
+
+    ``time`` must be unique within a key. A key with more than ``max_group_rows``
+    rows is walked in slices, each seeded with the last row of the one before.
+    """
+    hot = hot_groups(df, keys, time, max_group_rows)
+    if hot is None:
+        return _with_previous(df, keys, time, previous)
+    sliced = hot.add_slices(df, time)
+    seeds = hot.carry_last(sliced.filter(F.col(time).isNotNull()), [time])
+    rows = sliced.withColumn(CARRIED, F.lit(False)).unionByName(seeds.withColumn(CARRIED, F.lit(True)))
+    return (
+        _with_previous(rows, [*keys, SLICE], time, previous)
+        .filter(~F.col(CARRIED)).drop(CARRIED, SLICE)
+    )
+
+
 def difference_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -42,26 +66,11 @@ def difference_by_key(
     difference: str = "difference",
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add the previous row's value and time, and the step from it to this row.
-
-    ``time`` must be unique within a key. A key with more than ``max_group_rows``
-    rows is walked in slices, each seeded with the last row of the one before.
-    """
+    """Add the previous row's value and time, and the step from it to this row."""
     previous = {previous_value: value, previous_time: time}
-    hot = hot_groups(df, keys, time, max_group_rows)
-    if hot is None:
-        out = _with_previous(df, keys, time, previous)
-    else:
-        sliced = hot.add_slices(df, time)
-        seeds = hot.carry_last(sliced.filter(F.col(time).isNotNull()), [time])
-        rows = sliced.withColumn(CARRIED, F.lit(False)).unionByName(
-            seeds.withColumn(CARRIED, F.lit(True))
-        )
-        out = (
-            _with_previous(rows, [*keys, SLICE], time, previous)
-            .filter(~F.col(CARRIED)).drop(CARRIED, SLICE)
-        )
-    return out.withColumn(difference, F.col(value) - F.col(previous_value))
+    return previous_by_key(df, keys, time, previous, max_group_rows).withColumn(
+        difference, F.col(value) - F.col(previous_value)
+    )
 
 
 def dedupe_and_difference(
@@ -101,7 +110,8 @@ def split_rows(df: DataFrame, reason: str) -> tuple[DataFrame, DataFrame]:
 
 
 def with_day_boundary(
-    df: DataFrame, keys: Sequence[str], day: str, time: str, value: str, previous: str
+    df: DataFrame, keys: Sequence[str], day: str, time: str, value: str, previous: str,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add the previous row's value, looking back into the day before if need be.
 
@@ -112,11 +122,14 @@ def with_day_boundary(
     seeds = df.groupBy(*keys, day).agg(
         F.max_by(F.struct(value), F.struct(time)).alias("_seed")
     ).withColumn(day, F.date_add(day, 1))
-    within = Window.partitionBy(*keys, day).orderBy(F.col(time).asc_nulls_last())
-    first = F.lag(F.lit(1)).over(within).isNull()
+    within = previous_by_key(
+        df, [*keys, day], time, {"_before": value, "_before_time": time}, max_group_rows
+    )
     return (
-        df.withColumns({"_first": first, "_before": F.lag(value).over(within)})
-        .join(seeds, [*keys, day], "left")
-        .withColumn(previous, F.when(F.col("_first"), F.col("_seed")[value]).otherwise(F.col("_before")))
+        within.join(seeds, [*keys, day], "left")
+        .withColumn(
+            previous,
+            F.when(F.col("_before_time").isNull(), F.col("_seed")[value]).otherwise(F.col("_before")),
+        )
         .select(*df.columns, previous)
     )

@@ -21,6 +21,8 @@ DEFAULTS = {
     # Lets one task write the few partitions it holds without sorting by them first.
     "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
