@@ -35,7 +35,7 @@ def to_hour(ts: Column) -> Column:
 
     ``date_trunc`` would go through the session time zone and return a zoned value.
     """
-    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
+    return F.to_date(ts).cast("timestamp_ntz") + F.expr("INTERVAL '1' HOUR") * F.hour(ts)
 
 
 def epoch_hours(value: Column, dtype: T.DataType) -> Column:

@@ -31,6 +31,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 #: Bucket widths to choose from, in hours.
 _WIDTHS = (1, 6, 24, 24 * 7, 24 * 30, 24 * 365)
 
+#: Right sides with more rows are not considered for broadcasting at all.
+_BROADCAST_ROWS = 100_000
+
 #: Most intervals a left row may have to test within one bucket.
 _CROWDED = 1_000
 
@@ -96,9 +99,9 @@ def _bucket_plan(right: DataFrame, on: list[str], time: str, budget: int) -> tup
     and no bucket is crowded, and the last hour it covers.
 
     One small aggregate: rows, keys, covered hours, rows in the fullest hour of a
-    key and the widest row as text.
+    key and the widest row as text. The limit keeps it small whatever ``right`` is.
     """
-    per_hour = right.groupBy(
+    per_hour = right.limit(_BROADCAST_ROWS + 1).groupBy(
         *on, epoch_hours(F.col(time), right.schema[time].dataType).alias("_hour")
     ).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -109,6 +112,8 @@ def _bucket_plan(right: DataFrame, on: list[str], time: str, budget: int) -> tup
     ).first()
     if not rows:
         return _WIDTHS[0], 0
+    if rows > _BROADCAST_ROWS:
+        return None
     for width in _WIDTHS:
         buckets = (last - first) // width + 2
         # Intervals of a key tile its time line: one entry per bucket, one more per start.
@@ -130,7 +135,8 @@ def _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan
     successor = Window.partitionBy(*on).orderBy(right_time)
     until_bucket = F.coalesce(bucket("_until", time_type), last_bucket)
     intervals = (
-        right.groupBy(*on, right_time).agg(F.max(_PAYLOAD).alias(_PAYLOAD))
+        # Known to be small: in one partition the steps below need no shuffles.
+        right.coalesce(1).groupBy(*on, right_time).agg(F.max(_PAYLOAD).alias(_PAYLOAD))
         .withColumn("_until", F.lead(right_time).over(successor))
         .withColumn(
             "_b",

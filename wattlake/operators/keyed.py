@@ -87,16 +87,25 @@ def dedupe_and_difference(
 ) -> DataFrame:
     """Latest version of each (keys, time), then the difference along each key.
 
-    Both steps can live on one partitioning by ``keys``: the shuffle and the sort
-    are then paid once. That needs every key to fit a task with all its copies, so
+    Sorted by key, time and version, both steps read off neighbouring rows: a row is
+    the latest of its time if the next row has another time. One shuffle and one
+    sort serve both. That needs every key to fit a task with all its copies, so
     it is measured; otherwise copies are dropped before the shuffle and hot keys sliced.
     """
     if hot_groups(df, keys, time, max_group_rows) is None:
-        latest = latest_per_key(df.repartition(*keys), [*keys, time], version)
-        previous = {previous_value: value, previous_time: time}
-        return _with_previous(latest, keys, time, previous).withColumn(
-            difference, F.col(value) - F.col(previous_value)
+        rest = [c for c in df.columns if c not in keys and c not in (time, version)]
+        by_version = Window.partitionBy(*keys).orderBy(
+            F.col(time).asc_nulls_last(), *(F.col(c).asc_nulls_first() for c in (version, *rest))
         )
+        following = F.lead(F.struct(time)).over(by_version)
+        latest = (
+            df.withColumn("_next", following)
+            .filter(F.col("_next").isNull() | ~F.col("_next")[time].eqNullSafe(F.col(time)))
+            .drop("_next")
+        )
+        return _with_previous(
+            latest, keys, time, {previous_value: value, previous_time: time}
+        ).withColumn(difference, F.col(value) - F.col(previous_value))
     return difference_by_key(
         latest_per_key(df, [*keys, time], version), keys, time, value,
         previous_value=previous_value, previous_time=previous_time,

@@ -112,13 +112,15 @@ def hot_groups(
         F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))),
         lambda i: F.get("_q", F.floor(i * levels / parts).cast("int") - 1),
     )
+    none = F.array().cast(f"array<{df.schema[order].dataType.simpleString()}>")
     cut_points = (
         _null_safe_join(df.select(*keys, order), F.broadcast(hot.select(*keys, "_n")), keys, "inner")
         .groupBy(*keys, "_n")
         .agg(quantiles.alias("_q"))
-        .select(*keys, F.coalesce(F.array_sort(F.array_distinct(F.array_compact(picked))),
-                                  F.array().cast(f"array<{df.schema[order].dataType.simpleString()}>"))
-                .alias(_CUTS))
+        .select(
+            *keys,
+            F.coalesce(F.array_sort(F.array_distinct(F.array_compact(picked))), none).alias(_CUTS),
+        )
     )
     rows = cut_points.collect()
     return HotGroups(df.sparkSession.createDataFrame(rows, cut_points.schema), keys)

@@ -235,6 +235,7 @@ class Engine:
                     {"run_id": run, "step_key": step.key, "upstream": up, "downstream": down, "columns": ""}
                     for up, down in step.lineage()
                 ]
+        state.rows.update(outcome.rows)
         state.pending["step_metrics"] += metrics
         state.pending["dq_results"] += results
         state.pending["lineage"] += lineage
@@ -243,7 +244,8 @@ class Engine:
 
     def _publish(self, state: _Progress) -> None:
         items = [
-            (run, Target(table, self.lake.path(name, day, run), day))
+            (run, Target(table, self.lake.path(name, day, run), day,
+                         state.rows.get((name, day)), DATASETS[name].schema))
             for day, run in state.alive.items()
             for name, table in PUBLISHED.items()
         ]
@@ -278,6 +280,7 @@ class _Progress:
         self.results = {d: RunResult(run, d) for d, run in runs.items()}
         self.errors: dict[date, Exception] = {}
         self.dimension_runs: dict[str, Mapping[date, str]] = {}
+        self.rows: dict[tuple[str, date], int] = {}
         self.pending: dict[str, list] = {"step_metrics": [], "dq_results": [], "lineage": []}
 
     def fail(self, day: date, error: Exception) -> None:

@@ -15,10 +15,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wattlake.session import small_table
 from wattlake.sources.files import exists
 
 _EVENTS = (
@@ -31,9 +32,13 @@ PUBLISH, RESTORE = "publish", "restore"
 
 @dataclass(frozen=True)
 class Target:
+    """Files to publish. A caller that wrote and counted them can say so, which spares a look."""
+
     table: str
     source_uri: str
     business_date: date
+    rows: int | None = None
+    schema: str | None = None
 
 
 @dataclass(frozen=True)
@@ -82,9 +87,9 @@ class Warehouse:
             return self.spark.createDataFrame([], _EVENTS)
         return self.spark.read.schema(_EVENTS).parquet(self._log)
 
-    def _append(self, rows: Sequence[tuple]) -> None:
+    def _append(self, rows: Sequence[dict]) -> None:
         """One file, so that all rows appear together or not at all."""
-        self.spark.createDataFrame(rows, _EVENTS).coalesce(1).write.mode("append").parquet(self._log)
+        small_table(self.spark, list(rows), _EVENTS).coalesce(1).write.mode("append").parquet(self._log)
 
     def publish_log(self) -> DataFrame:
         """One row per run, table and date: its last publish, and whether it was undone since."""
@@ -131,37 +136,33 @@ class Warehouse:
         if not items:
             return PublishResult(label)
         days = {t.business_date for _, t in items}
-        log = self.publish_log().filter(F.col("business_date").isin(list(days))).collect()
-        current = {
-            (p.table_name, p.business_date): p.source_uri
-            for p in self.pointers().filter(F.col("business_date").isin(list(days))).collect()
-        }
-        written = {(e.table_name, e.business_date, e.source_uri): e.rows_written for e in log}
-        schemas = self._schemas()
+        past = self._events_of(days)
+        state = self.events().groupBy("table_name").agg(
+            F.min_by("schema", F.when(F.col("event") == PUBLISH, F.col("seq"))).alias("schema"),
+            F.max("seq").alias("seq"),
+        ).collect()
+        schemas = {r.table_name: StructType.fromJson(json.loads(r.schema)) for r in state}
+        seq = max((r.seq for r in state), default=0)
         rows = self._count_rows([t for _, t in items], schemas)
-        seq = self.events().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
         result, events, at = PublishResult(label), [], _now()
         for run_id, target in items:
             seq += 1
-            before = max(
-                (e for e in log
-                 if (e.table_name, e.business_date) == (target.table, target.business_date)
-                 and e.run_id != run_id and not e.compensated),
-                key=lambda e: e.seq, default=None,
-            )
-            owner = current.get((target.table, target.business_date), "")
+            of_date = [e for e in past if (e.table_name, e.business_date) == (target.table, target.business_date)]
+            before = _owner(of_date, other_than=run_id)
+            current = _current(of_date)
             done = PublishedTable(
                 target.table, target.business_date,
-                written.get((target.table, target.business_date, owner), 0),
-                rows[target.source_uri],
+                current.rows_written if current else 0, rows[target.source_uri],
                 before.run_id if before else "", before.source_uri if before else "",
             )
             result.tables.append(done)
-            events.append((
-                seq, PUBLISH, run_id, done.table, done.business_date, target.source_uri, done.rows_deleted,
-                done.rows_written, done.previous_run_id, done.previous_source_uri, at,
-                schemas[target.table].json(),
-            ))
+            events.append({
+                "seq": seq, "event": PUBLISH, "run_id": run_id, "table_name": done.table,
+                "business_date": done.business_date, "source_uri": target.source_uri,
+                "rows_deleted": done.rows_deleted, "rows_written": done.rows_written,
+                "previous_run_id": done.previous_run_id, "previous_source_uri": done.previous_source_uri,
+                "published_at": at, "schema": schemas[target.table].json(),
+            })
         self._append(events)
         return result
 
@@ -169,11 +170,8 @@ class Warehouse:
         """Undo what a run published: point back at the files recorded as its predecessor,
         or leave the date absent if there was none. A second call finds nothing to do."""
         out = RestoreResult(note=reason)
-        mine = (
-            self.publish_log()
-            .filter((F.col("run_id") == run_id) & (F.col("business_date") == business_date))
-            .filter(~F.col("compensated")).orderBy("seq").collect()
-        )
+        past = self._events_of({business_date})
+        mine = [e for e in _standing(past) if e.run_id == run_id]
         if not mine:
             out.note = f"{reason} (nothing had been published yet)"
             return out
@@ -185,13 +183,19 @@ class Warehouse:
                 out.restored.append(f"{where}->run {row.previous_run_id}")
             else:
                 out.deleted.append(where)
-            events.append((
-                seq + n, RESTORE, run_id, row.table_name, row.business_date, row.source_uri, 0, 0,
-                row.previous_run_id, row.previous_source_uri, at, None,
-            ))
+            events.append({
+                "seq": seq + n, "event": RESTORE, "run_id": run_id, "table_name": row.table_name,
+                "business_date": row.business_date, "source_uri": row.source_uri,
+                "rows_deleted": 0, "rows_written": 0, "previous_run_id": row.previous_run_id,
+                "previous_source_uri": row.previous_source_uri, "published_at": at,
+            })
         self._append(events)
         return out
 
+    def _events_of(self, days: set[date]) -> list[Row]:
+        """Events of a few dates, oldest first: a handful per publish of these dates."""
+        return self.events().filter(F.col("business_date").isin(list(days))).orderBy("seq").collect()
+
     # -- reading -----------------------------------------------------------
 
     def tables(self) -> list[str]:
@@ -216,8 +220,8 @@ class Warehouse:
 
     def _schemas(self) -> dict[str, StructType]:
         """A table keeps the columns of its first publish."""
-        first = self.events().filter(F.col("event") == PUBLISH).groupBy("table_name").agg(
-            F.min_by("schema", "seq").alias("schema")
+        first = self.events().groupBy("table_name").agg(
+            F.min_by("schema", F.when(F.col("event") == PUBLISH, F.col("seq"))).alias("schema")
         )
         return {r.table_name: StructType.fromJson(json.loads(r.schema)) for r in first.collect()}
 
@@ -230,14 +234,20 @@ class Warehouse:
         counts: dict[str, int] = {}
         for name in dict.fromkeys(t.table for t in targets):
             mine = [t for t in targets if t.table == name]
-            offered = self.spark.read.option("mergeSchema", True).parquet(*(t.source_uri for t in mine)).schema
+            if all(t.schema is not None and t.rows is not None for t in mine):
+                offered = StructType.fromDDL(mine[0].schema)
+            else:
+                offered = self.spark.read.option("mergeSchema", True).parquet(*(t.source_uri for t in mine)).schema
             known = schemas.setdefault(name, offered)
             for f in offered.fields:
                 if f.name not in known.names:
                     raise ValueError(f"{name} has no column {f.name!r}")
                 if known[f.name].dataType != f.dataType:
                     raise ValueError(f"{name}.{f.name} is {known[f.name].dataType.simpleString()}")
-            expected = {t.source_uri: t.business_date for t in mine}
+            counts |= {t.source_uri: t.rows for t in mine if t.rows is not None}
+            expected = {t.source_uri: t.business_date for t in mine if t.rows is None}
+            if not expected:
+                continue
             found = (
                 self.spark.read.schema(known).parquet(*expected)
                 .select("business_date", F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("folder"))
@@ -252,5 +262,30 @@ class Warehouse:
         return counts
 
 
+def _standing(events: Sequence[Row]) -> list[Row]:
+    """Publishes not undone, one per run, table and date, oldest first."""
+    latest: dict[tuple, Row] = {}
+    for e in events:
+        key = (e.run_id, e.table_name, e.business_date)
+        latest.pop(key, None)
+        if e.event == PUBLISH:
+            latest[key] = e
+    return list(latest.values())
+
+
+def _owner(events: Sequence[Row], other_than: str) -> Row | None:
+    """The last run, other than this one, whose publish of the date stands."""
+    others = [e for e in _standing(events) if e.run_id != other_than]
+    return others[-1] if others else None
+
+
+def _current(events: Sequence[Row]) -> Row | None:
+    """The publish whose files are in force for one table and date."""
+    if not events:
+        return None
+    uri = events[-1].source_uri if events[-1].event == PUBLISH else events[-1].previous_source_uri
+    return next((e for e in reversed(events) if e.event == PUBLISH and e.source_uri == uri), None)
+
+
 def _bare(uri: str) -> str:
     return "/" + uri.split("://", 1)[-1].split(":", 1)[-1].strip("/")

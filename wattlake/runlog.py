@@ -9,6 +9,7 @@ from __future__ import annotations
 import itertools
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from types import MappingProxyType
 from typing import Any
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.operators import latest_per_key
+from wattlake.session import small_table
 from wattlake.sources.files import exists
 
 # Names, columns and keys of the metadata tables.
@@ -67,19 +69,18 @@ class RunLog:
         self.root = f"{root.rstrip('/')}/meta"
 
     def append(self, records: Mapping[str, Sequence[Mapping[str, Any]]]) -> None:
-        """Add records, given as ``{table: [row, ...]}``."""
-        for table, rows in records.items():
-            if not rows:
-                continue
-            schema = f"{SCHEMAS[table]}, seq bigint"
-            names = [c.split()[0] for c in schema.split(", ")]
-            values = [
-                tuple((dict(row) | {"seq": time.time_ns() + next(_tick)}).get(c) for c in names)
-                for row in rows
-            ]
-            self.spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(
-                f"{self.root}/{table}"
-            )
+        """Add records, given as ``{table: [row, ...]}``. The tables are written side by side."""
+        filled = {table: rows for table, rows in records.items() if rows}
+        if not filled:
+            return
+        with ThreadPoolExecutor(max_workers=len(filled)) as pool:
+            list(pool.map(lambda item: self._append(*item), filled.items()))
+
+    def _append(self, table: str, rows: Sequence[Mapping[str, Any]]) -> None:
+        stamped = [dict(row) | {"seq": time.time_ns() + next(_tick)} for row in rows]
+        small_table(self.spark, stamped, f"{SCHEMAS[table]}, seq bigint").write.mode("append").parquet(
+            f"{self.root}/{table}"
+        )
 
     def log(self, table: str) -> DataFrame:
         schema = f"{SCHEMAS[table]}, seq bigint"

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -60,7 +62,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "wattlake", f"{label}-{uuid.uuid4().hex}")
 
 
-def materialise(df):
+def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage, so that several branches can read it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_ARROW = {
+    "string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),
+    "boolean": pa.bool_(), "date": pa.date32(), "timestamp_ntz": pa.timestamp("us"),
+}
+
+
+def small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few driver-side records as a frame; handed over as Arrow, so it is a local relation."""
+    columns = StructType.fromDDL(schema)
+    arrow = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in columns.fields])
+    full = [{name: row.get(name) for name in columns.names} for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(full, schema=arrow), columns)
