@@ -62,12 +62,16 @@ class Engine:
     its evidence. The driver only handles counts, paths and check results.
     """
 
-    def __init__(self, spark: SparkSession, lake_root: str, warehouse_root: str, options: Options = Options()):
+    def __init__(
+        self, spark: SparkSession, lake_root: str, warehouse_root: str, options: Options = Options(),
+        steps: Mapping[str, Step] = STEPS,
+    ):
         self.spark = spark
         self.lake = Lake(spark, lake_root)
         self.warehouse = Warehouse(spark, warehouse_root)
         self.log = RunLog(spark, warehouse_root)
         self.options = options
+        self.steps = steps
 
     # -- public ------------------------------------------------------------
 
@@ -140,7 +144,7 @@ class Engine:
                 return
             # Independent steps of small inputs: let their jobs share the cluster.
             with ThreadPoolExecutor(max_workers=len(keys)) as pool:
-                outcomes = list(pool.map(lambda key: self._step(STEPS[key], state), keys))
+                outcomes = list(pool.map(lambda key: self._step(self.steps[key], state), keys))
             for outcome in outcomes:
                 self._settle(outcome, state)
 
