@@ -55,6 +55,16 @@ def test_equals_brute_force(spark, how, exact, strategy, limit):
     assert got == brute_force(left, right, how, exact)
 
 
+@pytest.mark.parametrize("focus", [(0, 3), (-900, -899), (2, 900), (400, 500)])
+@pytest.mark.parametrize("exact", [True, False])
+def test_focus_does_not_change_the_result(spark, focus, exact):
+    left, right = sample(11)
+    l, r = frames(spark, left, right)
+    days = tuple(T0.date() + timedelta(days=d) for d in focus)
+    got = rows(asof_join(l, r, ["k"], "ts", "since", "left", allow_exact=exact, strategy="broadcast", focus=days))
+    assert got == brute_force(left, right, "left", exact)
+
+
 def test_match_with_null_payload_is_a_match(spark):
     l, r = frames(spark, [("a", T0, 1)], [("a", T0 - timedelta(hours=2), 4), ("a", T0 - timedelta(hours=1), None)])
     for strategy in ("broadcast", "sorted"):

@@ -17,6 +17,7 @@ A private nested-loop form and an all-pairs range join are deliberately not used
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +38,8 @@ _BROADCAST_ROWS = 100_000
 #: Most intervals a left row may have to test within one bucket.
 _CROWDED = 1_000
 
+_EPOCH = date(1970, 1, 1)
+
 _PAYLOAD = "_right"
 
 
@@ -50,6 +53,7 @@ def asof_join(
     *,
     allow_exact: bool = True,
     strategy: str = "auto",
+    focus: tuple[date, date] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
@@ -59,6 +63,10 @@ def asof_join(
     earlier right rows. Of right rows with equal key and time the greatest by its
     remaining columns counts, so there is at most one match and the result is
     the same on every run. NULL keys and times match nothing.
+
+    ``focus`` names the dates most left rows lie in. It does not change the result:
+    it lets the broadcast plan keep narrow buckets where they matter although some
+    right rows, such as a first price, have been in force for decades.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
@@ -73,7 +81,7 @@ def asof_join(
     right = _present(right, on, right_time)
     plan = None
     if strategy != "sorted":
-        plan = _bucket_plan(right, on, right_time, broadcast_bytes)
+        plan = _bucket_plan(right, on, right_time, broadcast_bytes, focus)
         if plan is None and strategy == "broadcast":
             raise ValueError("the right side is too large to broadcast")
     if plan is not None:
@@ -94,9 +102,11 @@ def _present(right: DataFrame, on: list[str], time: str) -> DataFrame:
     return right.filter(given).select(*on, time, payload.alias(_PAYLOAD))
 
 
-def _bucket_plan(right: DataFrame, on: list[str], time: str, budget: int) -> tuple[int, int] | None:
+def _bucket_plan(
+    right: DataFrame, on: list[str], time: str, budget: int, focus: tuple[date, date] | None = None
+) -> tuple[int, int, int] | None:
     """The narrowest bucket with which the right side is certain to fit ``budget`` bytes
-    and no bucket is crowded, and the last hour it covers.
+    and no bucket is crowded, and the first and last hour to cut into buckets.
 
     One small aggregate: rows, keys, covered hours, rows in the fullest hour of a
     key and the widest row as text. The limit keeps it small whatever ``right`` is.
@@ -111,36 +121,43 @@ def _bucket_plan(right: DataFrame, on: list[str], time: str, budget: int) -> tup
         F.sum("_n"), F.count_distinct(*on), F.min("_hour"), F.max("_hour"), F.max("_n"), F.max("_width")
     ).first()
     if not rows:
-        return _WIDTHS[0], 0
+        return _WIDTHS[0], 0, 0
     if rows > _BROADCAST_ROWS:
         return None
+    if focus is not None:
+        from_hour, to_hour = ((day - _EPOCH).days * 24 for day in (focus[0], focus[1] + timedelta(days=1)))
+        first, last = max(first, from_hour), min(last, to_hour - 1)
+        last = max(first, last)
     for width in _WIDTHS:
-        buckets = (last - first) // width + 2
+        buckets = (last - first) // width + 4
         # Intervals of a key tile its time line: one entry per bucket, one more per start.
         fits = (rows + keys * buckets) * (widest + 128) <= budget
         if fits and fullest * width <= _CROWDED:
-            return width, last
+            return width, first, last
     return None
 
 
 def _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan):
-    width, last_hour = plan
-    last_bucket = F.lit(last_hour - last_hour % width).cast("long")
+    width, first_hour, last_hour = plan
+    # One bucket before and one after take everything outside the hours cut up.
+    before = F.lit(first_hour // width - 1).cast("long")
+    after = F.lit(last_hour // width + 1).cast("long")
 
     def bucket(name: str, dtype) -> Column:
         hour = epoch_hours(F.col(name), dtype)
-        return hour - F.pmod(hour, F.lit(width).cast("long"))
+        number = hour if width == 1 else F.floor(hour / width)
+        return F.greatest(F.least(number, after), before)
 
     time_type = right.schema[right_time].dataType
     successor = Window.partitionBy(*on).orderBy(right_time)
-    until_bucket = F.coalesce(bucket("_until", time_type), last_bucket)
+    until_bucket = F.when(F.col("_until").isNull(), after).otherwise(bucket("_until", time_type))
     intervals = (
         # Known to be small: in one partition the steps below need no shuffles.
         right.coalesce(1).groupBy(*on, right_time).agg(F.max(_PAYLOAD).alias(_PAYLOAD))
         .withColumn("_until", F.lead(right_time).over(successor))
         .withColumn(
             "_b",
-            F.explode(F.sequence(bucket(right_time, time_type), until_bucket, F.lit(width).cast("long"))),
+            F.explode(F.sequence(bucket(right_time, time_type), until_bucket)),
         )
         .select(
             *(F.col(k).alias(f"_k_{k}") for k in on), "_b",
@@ -152,8 +169,7 @@ def _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan
         in_force = (now >= F.col("_since")) & (F.col("_until").isNull() | (now < F.col("_until")))
     else:
         in_force = (now > F.col("_since")) & (F.col("_until").isNull() | (now <= F.col("_until")))
-    # Whatever comes after the last right row looks into the last bucket.
-    here = F.least(bucket(left_time, left.schema[left_time].dataType), last_bucket)
+    here = bucket(left_time, left.schema[left_time].dataType)
     same_key = reduce(Column.__and__, (F.col(k) == F.col(f"_k_{k}") for k in on))
     return left.join(F.broadcast(intervals), same_key & (here == F.col("_b")) & in_force, how)
 

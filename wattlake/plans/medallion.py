@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ class Options:
     spike_kwh: float = SPIKE_KWH
     scope: str = "run"
     max_group_rows: int = MAX_GROUP_ROWS
+    dates: tuple[date, date] | None = None
+    """First and last date being worked on, if known; only used to plan."""
 
 
 def _typed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -157,7 +160,7 @@ def silver_enrich(frames: Frames, options: Options) -> DataFrame:
     )
     priced = asof_join(
         with_meter, frames["bronze_tariffs"], ["tariff_plan"], "reading_ts", "valid_from", "inner",
-        max_group_rows=options.max_group_rows,
+        focus=options.dates, max_group_rows=options.max_group_rows,
     )
     weather = frames["bronze_weather"]
     place = ["region"]
@@ -170,7 +173,7 @@ def silver_enrich(frames: Frames, options: Options) -> DataFrame:
     # Left: a missing observation must not remove consumption.
     observed = asof_join(
         priced, weather, place, "reading_ts", "observed_at", "left",
-        max_group_rows=options.max_group_rows,
+        focus=options.dates, max_group_rows=options.max_group_rows,
     )
     return observed.drop("valid_from", "observed_at", "src_updated_at").select(
         "*",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -152,7 +152,7 @@ class Engine:
         started = time.monotonic()
         days = dict(state.alive)
         frames = {name: self._input(name, days, state) for name in step.inputs}
-        rows = BUILD[step.key](frames, self.options)
+        rows = BUILD[step.key](frames, replace(self.options, dates=(min(days), max(days))))
         placed_at = days if step.per_date else dict([next(iter(days.items()))])
         self._write(step, rows, placed_at)
         state.dimension_runs.update({name: placed_at for name in step.outputs if not step.per_date})
