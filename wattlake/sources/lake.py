@@ -110,6 +110,10 @@ class Lake:
             .parquet(f"{self.root}/{layer}")
         )
 
+    def write_one(self, name: str, rows: DataFrame, day: date, run: str) -> None:
+        """Write rows of one dataset and date straight into their folder."""
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name, day, run))
+
     def bytes(self, name: str, day: date, run: str) -> int:
         return folder_bytes(self.spark, self.path(name, day, run))
 
