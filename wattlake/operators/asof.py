@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions import epoch_hours
 from wattlake.operators.slices import CARRIED, MAX_GROUP_ROWS, SLICE, hot_groups
+from wattlake.session import materialise
 
 #: Upper bound of what the broadcast plan may ship to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -81,11 +82,13 @@ def asof_join(
     right = _present(right, on, right_time)
     plan = None
     if strategy != "sorted":
-        plan = _bucket_plan(right, on, right_time, broadcast_bytes, focus)
+        # A snapshot of at most so many rows: what is measured is what is broadcast.
+        few = materialise(right.limit(_BROADCAST_ROWS + 1))
+        plan = _bucket_plan(few, on, right_time, broadcast_bytes, focus)
         if plan is None and strategy == "broadcast":
             raise ValueError("the right side is too large to broadcast")
     if plan is not None:
-        joined = _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan)
+        joined = _by_broadcast(left, few, on, left_time, right_time, how, allow_exact, plan)
     else:
         joined = _by_sort(left, right, on, left_time, right_time, how, allow_exact, max_group_rows)
     return joined.select(*left.columns, *(F.col(_PAYLOAD)[c].alias(c) for c in extra))
@@ -109,9 +112,9 @@ def _bucket_plan(
     and no bucket is crowded, and the first and last hour to cut into buckets.
 
     One small aggregate: rows, keys, covered hours, rows in the fullest hour of a
-    key and the widest row as text. The limit keeps it small whatever ``right`` is.
+    key and the widest row as text.
     """
-    per_hour = right.limit(_BROADCAST_ROWS + 1).groupBy(
+    per_hour = right.groupBy(
         *on, epoch_hours(F.col(time), right.schema[time].dataType).alias("_hour")
     ).agg(
         F.count(F.lit(1)).alias("_n"),
