@@ -35,7 +35,13 @@ RADIUS = 3
 GENERATOR = 0b1100_0111_0101
 #: Fingerprints of one anchor compared in one go; more are cut into chunks of this size.
 CHUNK = 20_000
+#: For keep_one: seeds of the fingerprints of words, bytes of a sketch, and what is left to the sketch's error.
+WORD_SEEDS = (42, 43)
+SKETCH = 64
+MARGIN = 0.1
 _PAIRS = 1 << 22
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = np.random.default_rng(SEED + 1).integers(0, 1 << 63, SKETCH, dtype=np.uint64)
 
 
 def votes(text: str | None, size: int) -> tuple[np.ndarray, int]:
@@ -141,8 +147,13 @@ def anchors(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(home)
 
 
-def close_links(home: np.ndarray, away: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among distinct fingerprints that join those within ``distance`` of one at home."""
+def close_links(
+    home: np.ndarray, away: np.ndarray, distance: int, sketches: np.ndarray | None = None, agree: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links (indices into home and then away) that join those within ``distance`` bits of one at home.
+
+    With sketches, a row a member, a pair must also agree in at least ``agree`` of their bytes.
+    """
     members = np.concatenate([home, away])
     n, block = len(members), max(1, _PAIRS // max(1, len(members)))
     left: list[np.ndarray] = []
@@ -151,81 +162,85 @@ def close_links(home: np.ndarray, away: np.ndarray, distance: int) -> tuple[np.n
     for start in range(0, len(home), block):
         far = np.bitwise_count(home[start:start + block, None] ^ members[None, start:])
         a, b = np.nonzero(far <= distance)
-        a, b = a + start, b + start
-        other = a != b
-        left.append(a[other])
-        right.append(b[other])
-        held += int(other.sum())
-        if held > n:  # keep a forest of what has been found
-            b, a = spanning_links(n, np.concatenate(left), np.concatenate(right))
-            left, right, held = [a], [b], 0
+        a, b = (a + start)[a != b], (b + start)[a != b]
+        for cut in range(0, len(a), 1 << 18):
+            x, y = a[cut:cut + (1 << 18)], b[cut:cut + (1 << 18)]
+            if sketches is not None:
+                alike = (sketches[x] == sketches[y]).sum(axis=1) >= agree
+                x, y = x[alike], y[alike]
+            left.append(x)
+            right.append(y)
+            held += len(x)
+            if held > n:  # keep a forest of what has been found
+                y, x = spanning_links(n, np.concatenate(left), np.concatenate(right))
+                left, right, held = [x], [y], 0
     if not left:
-        return members[:0], members[:0]
-    a, b = spanning_links(n, np.concatenate(left), np.concatenate(right))
-    return members[a], members[b]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return spanning_links(n, np.concatenate(left), np.concatenate(right))
 
 
-def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
-    """``(a, b)`` that connect the distinct values of ``prints(fingerprint)`` within ``distance`` bits.
+def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE, similarity: float | None = None) -> DataFrame:
+    """``(a, b)``: links that connect the nodes of ``prints(node, fingerprint[, sketch])`` within ``distance``.
 
-    Not every link is returned, but the connected components are those of all links.
+    With a similarity, ``sketch`` must agree in that share of its bytes as well. Not every link is returned,
+    but the connected components are those of all links.
     """
     if distance // len(SEGMENTS) > 1:
         raise ValueError("the segments cover distances up to 5")
+    names = ["node", "fingerprint", *(["sketch"] if similarity is not None else [])]
 
     def replicate(batches):
         for rows in batches:
-            values = rows.column(0).to_numpy().view(np.uint64)
-            row, key, home = anchors(values)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.astype(np.int32)), pa.array(values[row].view(np.int64)), pa.array(home)],
-                ["anchor", "fingerprint", "home"],
-            )
+            row, key, home = anchors(rows.column(1).to_numpy().view(np.uint64))
+            taken = pa.array(row)
+            arrays = [pa.array(key.astype(np.int32)), pa.array(home), *(column.take(taken) for column in rows.columns)]
+            yield pa.RecordBatch.from_arrays(arrays, ["anchor", "home", *names])
 
     def compare(batches):
         for rows in batches:
-            homes, others = rows.column(0), rows.column(1)
             left, right = [], []
             for i in range(rows.num_rows):
-                home = homes[i].values.to_numpy().view(np.uint64)
-                if len(home):
-                    a, b = close_links(home, others[i].values.to_numpy().view(np.uint64), distance)
-                    left.append(a)
-                    right.append(b)
+                home, away = rows.column(0)[i].values, rows.column(1)[i].values
+                if not len(home):
+                    continue
+                members = pa.concat_arrays([home, away])
+                values = members.field(1).to_numpy().view(np.uint64)
+                sketches, agree = None, 0
+                if similarity is not None:
+                    wide = members.field(2)
+                    size = len(wide[0].as_py())
+                    sketches = np.frombuffer(b"".join(wide.to_pylist()), np.uint8).reshape(-1, size)
+                    agree = int(np.ceil(similarity * size))
+                a, b = close_links(values[:len(home)], values[len(home):], distance, sketches, agree)
+                nodes = members.field(0).to_numpy()
+                left.append(nodes[a])
+                right.append(nodes[b])
             if left:
-                a, b = (np.concatenate(x).view(np.int64) for x in (left, right))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], ["a", "b"])
 
-    replicas = map_batches(prints.select("fingerprint"), replicate, "anchor int, fingerprint bigint, home boolean", 4096)
+    types = dict(prints.dtypes)
+    schema = "anchor int, home boolean, " + ", ".join(f"{name} {types[name]}" for name in names)
+    replicas = map_batches(prints.select(*names), replicate, schema, 2048)
     crowded = (  # at most a row for each anchor: 3 times 4,096
         replicas.groupBy("anchor").count().where(F.col("count") > CHUNK)
         .select("anchor", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
     )
     cut = replicas.join(F.broadcast(crowded), "anchor", "left")
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     cell = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(
             F.sequence(F.lit(0), F.col("chunks") - 1),
             lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")),
         )
     )
+    member = F.struct(*names)
     groups = (
-        cut.select("anchor", F.explode(cell).alias("cell"), "fingerprint", "home")
+        cut.select("anchor", F.explode(cell).alias("cell"), "home", *names)
         .groupBy("anchor", "cell")
-        .agg(
-            F.collect_list(F.when(F.col("home"), F.col("fingerprint"))).alias("homes"),
-            F.collect_list(F.when(~F.col("home"), F.col("fingerprint"))).alias("others"),
-        )
+        .agg(F.collect_list(F.when(F.col("home"), member)).alias("homes"), F.collect_list(F.when(~F.col("home"), member)).alias("others"))
         .select("homes", "others")
     )
-    return map_batches(groups, compare, "a bigint, b bigint", 64)
-
-
-def fingerprint_components(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
-    """``(fingerprint, component)`` for the fingerprints that are linked to another one."""
-    return connected_components(fingerprint_links(prints, distance)).select(
-        F.col("node").alias("fingerprint"), "component"
-    )
+    return map_batches(groups, compare, "a bigint, b bigint", 32)
 
 
 def near_duplicates(
@@ -241,7 +256,9 @@ def near_duplicates(
         .select("doc_id", "fingerprint")
     )
     distinct = materialise(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    named = _named(distinct, fingerprint_components(distinct, distance))
+    nodes = distinct.select(F.col("fingerprint").alias("node"), "least")
+    links = fingerprint_links(distinct.select(F.col("fingerprint").alias("node"), "fingerprint"), distance)
+    named = _least_of_component(nodes, connected_components(links)).withColumnRenamed("node", "fingerprint")
     return rows.join(named, "fingerprint").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
@@ -249,31 +266,95 @@ def near_duplicates(
     )
 
 
-def _named(distinct: DataFrame, components: DataFrame) -> DataFrame:
-    """``(fingerprint, least)`` with the least of the whole component, for every fingerprint."""
-    linked = distinct.join(components, "fingerprint", "left")
-    linked = linked.select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("component"))
+def _least_of_component(nodes: DataFrame, components: DataFrame) -> DataFrame:
+    """``(node, least)`` with the least of the whole component, for every row of ``nodes(node, least)``."""
+    linked = nodes.join(components, "node", "left")
+    linked = linked.select("node", "least", F.coalesce("component", "node").alias("component"))
     least = linked.groupBy("component").agg(F.min("least").alias("least"))
-    return linked.select("fingerprint", "component").join(least, "component").select("fingerprint", "least")
+    return linked.select("node", "component").join(least, "component").select("node", "least")
+
+
+def describe(text: str | None, size: int) -> tuple[list[int], bytes]:
+    """Fingerprints of the text's distinct words, one for each of WORD_SEEDS, and the sketch of its shingles.
+
+    Byte i of the sketch is the low byte of the smallest shingle hash under permutation i, so two texts agree
+    in a byte with the probability of their shingles' Jaccard similarity. Zeros without words.
+    """
+    words: set[bytes] = set()
+    smallest = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
+    carried: list[bytes] = []
+    seen = False
+    for block in blocks_at_space(text or ""):
+        found = carried + block.encode("utf-8", "surrogatepass").lower().split()
+        words.update(found)
+        if len(found) >= size:
+            seen = True
+            _lower(smallest, _shingle_hashes(found, size))
+        carried = found[-(size - 1):]
+    if not words:
+        return [0] * len(WORD_SEEDS), bytes(SKETCH)
+    if not seen:
+        _lower(smallest, np.array([xxhash.xxh64_intdigest(b" ".join(carried), seed=SEED)], dtype=np.uint64))
+    prints = []
+    for seed in WORD_SEEDS:
+        hashes = np.fromiter((xxhash.xxh64_intdigest(word, seed=seed) for word in words), "<u8", len(words))
+        total = np.zeros(64, dtype=np.int64)
+        for start in range(0, len(hashes), 1 << 16):
+            part = hashes[start:start + (1 << 16)].view(np.uint8).reshape(-1, 8)
+            total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        prints.append(int(np.packbits(2 * total > len(hashes), bitorder="little").view("<i8")[0]))
+    return prints, smallest.astype(np.uint8).tobytes()
+
+
+def _lower(smallest: np.ndarray, hashes: np.ndarray) -> None:
+    hashes = np.unique(hashes)
+    for start in range(0, len(hashes), 4096):
+        mixed = hashes[start:start + 4096, None] * _FACTORS[None] + _SHIFTS[None]
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        np.minimum(smallest, mixed.min(axis=0), out=smallest)
 
 
 def keep_one(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, distance: int = MAX_DISTANCE
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8
 ) -> DataFrame:
-    """One row of each component, with all its columns: that with the smallest id, nulls last.
+    """One row of each group of near copies, with all its columns: that with the smallest id, nulls last.
 
-    Equal ids are told apart by the place of their rows, so of repeated rows one stays. The texts are
-    shuffled only if the list of rows that stay is too long to be broadcast.
+    Near copies have the similarity or more in shingles of ``size`` words. An edit changes ``size`` shingles,
+    but one word; so fingerprints are taken of the distinct words, two of them, and pairs within 5 bits in
+    either are compared by the sketches of their shingles, with MARGIN for the sketches' error. Groups are
+    connected components. All texts without words are one group.
+
+    Equal ids are told apart by the place of their rows, so of repeated rows one stays; ``docs`` must be a
+    table as read from files. Texts are shuffled only if the list of rows that go is too long to be
+    broadcast.
     """
-    mark, place = "fingerprint of the text", "place of the row"
-    while {mark, place} & set(docs.columns):
-        mark, place = mark + "_", place + "_"
-    placed = docs.withColumn(place, F.monotonically_increasing_id())
-    rows = materialise(
-        with_fingerprints(placed.select(F.col(doc_id).alias("doc_id"), place, F.col(text).alias("text")), "text", size)
-        .select(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", place).alias("row"), "fingerprint")
+    mark = "place of the row"
+    while mark in docs.columns:
+        mark += "_"
+    placed = docs.withColumn(mark, F.monotonically_increasing_id())
+    source = placed.select(
+        F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col(mark).alias("place")).alias("row"),
+        F.col(text).alias("text"),
     )
-    distinct = materialise(rows.groupBy("fingerprint").agg(F.min("row").alias("least")))
-    named = _named(distinct, fingerprint_components(distinct, distance))
-    stays = named.select(F.col(f"least.{place}").alias(place)).distinct()
-    return placed.join(stays, place, "left_semi").select(*docs.columns)
+
+    def look(batches):
+        for rows in batches:
+            found = [describe(value, size) for value in rows.column(1).to_pylist()]
+            prints = [pa.array([x[0][i] for x in found], pa.int64()) for i in range(len(WORD_SEEDS))]
+            sketch = pa.array([x[1] for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([rows.column(0), *prints, sketch], ["row", "first", "second", "sketch"])
+
+    schema = f"row {dict(source.dtypes)['row']}, first bigint, second bigint, sketch binary"
+    rows = materialise(map_batches(source, look, schema))
+    # Texts with the same words and sketch are one node, named by the place of its least row.
+    distinct = materialise(rows.groupBy("first", "second", "sketch").agg(F.min("row").alias("least")))
+    nodes = distinct.select(F.col("least.place").alias("node"), "least", "first", "second", "sketch")
+    links = [
+        fingerprint_links(nodes.select("node", F.col(name).alias("fingerprint"), "sketch"), 5, similarity - MARGIN)
+        for name in ("first", "second")
+    ]
+    least = _least_of_component(nodes.select("node", "least"), connected_components(links[0].union(links[1])))
+    stays = least.select(F.col("least.place").alias("place")).distinct()
+    goes = rows.select(F.col("row.place").alias("place")).join(stays, "place", "left_anti")
+    return placed.join(goes.withColumnRenamed("place", mark), mark, "left_anti").select(*docs.columns)
