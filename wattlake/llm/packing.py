@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ from wattlake.session import materialise
 
 WINDOW = 1024
 END = 0
-#: Left-overs packed together. More of them leave less padding; this many take 32 MB of ids at most.
+#: Left-overs packed together. More of them leave less padding; this many take 16 MB at most,
+#: or 32 MB where the vocabulary is larger than 65,536.
 SHARD = 8192
 
 
@@ -127,6 +129,8 @@ def pack(
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(source.dtypes)["doc_id"]
+    narrow = _encoder(vocabulary, ranks, pattern).slow.get_vocab_size() <= 1 << 16
+    code = np.dtype("<u2" if narrow else "<u4")  # of the ids on their way
 
     def cut(batches):
         encoder = _encoder(vocabulary, ranks, pattern)
@@ -134,11 +138,11 @@ def pack(
             own, starts, pieces, totals = [], [], [], []
             held = 0
             for i, value in enumerate(rows.column(1)):
-                ids = np.append(encoder.ids(value.as_py()), np.uint32(end)).astype(np.int32)
+                ids = np.append(encoder.ids(value.as_py()), end).astype(code)
                 for start in range(0, len(ids), window):
                     own.append(i)
                     starts.append(start)
-                    pieces.append(ids[start:start + window])
+                    pieces.append(ids[start:start + window].tobytes())
                     totals.append(len(ids))
                 held += len(ids)
                 if held > 1 << 20:
@@ -151,7 +155,7 @@ def pack(
         return pa.RecordBatch.from_arrays(
             [
                 rows.column(0).take(pa.array(own, pa.int32())), pa.array(starts, pa.int64()),
-                lists(pieces, pa.int32()), pa.array(totals, pa.int64()),
+                pa.array(pieces, pa.binary()), pa.array(totals, pa.int64()),
             ],
             ["doc_id", "start", "ids", "doc_tokens"],
         )
@@ -159,16 +163,24 @@ def pack(
     def fit(table):
         order = table.select(["doc_id", "start"]).append_column("n", pa.array(np.arange(table.num_rows)))
         table = table.take(order.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("n", "ascending")])["n"])
-        lengths = pa.compute.list_value_length(table["ids"]).to_numpy()
+        lengths = pc.binary_length(table["ids"]).to_numpy() // code.itemsize
         place, offset = best_fit_decreasing(lengths, window)
         sequence = (table["shard"].to_numpy() * shard * 64 + place) * 2 + 1
         return table.drop_columns(["shard"]).append_column("sequence_id", pa.array(sequence)).append_column(
             "offset", pa.array(offset)
         )
 
+    def spread(batches):
+        for rows in batches:
+            at = rows.schema.get_field_index("ids")
+            ids = [np.frombuffer(value, code) for value in rows.column(at).to_pylist()]
+            yield rows.set_column(at, "ids", lists(ids, pa.int32()))
+
+    columns = f"doc_id {kind}, start bigint, ids {{}}, doc_tokens bigint"
+    places = ", sequence_id bigint, offset bigint"
     pieces = materialise(
-        map_batches(source, cut, f"doc_id {kind}, start bigint, ids array<int>, doc_tokens bigint")
-        .withColumn("full", F.size("ids") == window)
+        map_batches(source, cut, columns.format("binary"))
+        .withColumn("full", F.octet_length("ids") == window * code.itemsize)
         .withColumn("place", F.monotonically_increasing_id())
     )
     full = pieces.where("full").select(
@@ -178,10 +190,8 @@ def pack(
     left = pieces.where("not full")
     shards = max(1, round(left.count() / shard))
     dealt = left.select("doc_id", "start", "ids", "doc_tokens", F.pmod(F.xxhash64("doc_id", "place"), F.lit(shards)).alias("shard"))
-    packed = dealt.groupBy("shard").applyInArrow(
-        fit, f"doc_id {kind}, start bigint, ids array<int>, doc_tokens bigint, sequence_id bigint, offset bigint"
-    )
-    return full.union(packed)
+    packed = dealt.groupBy("shard").applyInArrow(fit, columns.format("binary") + places)
+    return map_batches(full.union(packed), spread, columns.format("array<int>") + places)
 
 
 def digests(pieces: DataFrame) -> DataFrame:
