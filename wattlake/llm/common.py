@@ -9,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch. Texts are long, so the default of 10,000 rows could fill a worker's memory.
-BATCH_ROWS = 256
 #: Characters that a worker turns into word objects at a time.
 BLOCK_CHARS = 1 << 20
 #: White space of ASCII.
@@ -21,12 +19,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, function, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``rows`` rows."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df.mapInArrow(function, schema)
-
-
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text modulo ``folds``; null for a null id."""
     return F.crc32(doc_id.cast("string")) % folds

@@ -53,6 +53,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def least_of_component(nodes: DataFrame, components: DataFrame) -> DataFrame:
+    """``(node, least)`` with the least of the whole component, for every row of ``nodes(node, least)``."""
+    linked = nodes.join(components, "node", "left")
+    linked = linked.select("node", "least", F.coalesce("component", "node").alias("component"))
+    least = linked.groupBy("component").agg(F.min("least").alias("least"))
+    return linked.select("node", "component").join(least, "component").select("node", "least")
+
+
 def _signature(links: DataFrame) -> tuple:
     row = links.agg(
         F.count("*").alias("n"),

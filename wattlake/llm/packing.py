@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wattlake.llm.common import lists, map_batches
+from wattlake.llm.common import lists
 from wattlake.session import materialise
 
 WINDOW = 1024
@@ -179,7 +179,7 @@ def pack(
     columns = f"doc_id {kind}, start bigint, ids {{}}, doc_tokens bigint"
     places = ", sequence_id bigint, offset bigint"
     pieces = materialise(
-        map_batches(source, cut, columns.format("binary"))
+        source.mapInArrow(cut, columns.format("binary"))
         .withColumn("full", F.octet_length("ids") == window * code.itemsize)
         .withColumn("place", F.monotonically_increasing_id())
     )
@@ -191,7 +191,7 @@ def pack(
     shards = max(1, round(left.count() / shard))
     dealt = left.select("doc_id", "start", "ids", "doc_tokens", F.pmod(F.xxhash64("doc_id", "place"), F.lit(shards)).alias("shard"))
     packed = dealt.groupBy("shard").applyInArrow(fit, columns.format("binary") + places)
-    return map_batches(full.union(packed), spread, columns.format("array<int>") + places)
+    return full.union(packed).mapInArrow(spread, columns.format("array<int>") + places)
 
 
 def digests(pieces: DataFrame) -> DataFrame:
@@ -210,6 +210,6 @@ def digests(pieces: DataFrame) -> DataFrame:
 
     types = dict(pieces.dtypes)
     schema = ", ".join(f"{name} {types[name]}" for name in kept) + ", length bigint, ids_crc32 bigint"
-    return map_batches(pieces.select("ids", *kept), digest, schema).select(
+    return pieces.select("ids", *kept).mapInArrow(digest, schema).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import language, packing, simhash, toxicity
+from wattlake.llm import html_text, language, link_graph, packing, simhash, topk, toxicity, warc
 from wattlake.llm.common import fold_of, table
 
 QUERIES: dict = {}
@@ -30,6 +30,53 @@ def load_queries() -> tuple[dict, dict[str, str]]:
     return QUERIES | {"pipeline": corpus_pipeline.run}, sql
 
 
+#: The 160 bits of a SHA-1 as 32 digits of five bits, eight from each ten hexadecimal digits.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"1 + ((('0x' || substr(sha, {1 + 10 * (i // 8)}, 10))::BIGINT >> {35 - 5 * (i % 8)}) & 31)::INTEGER, 1)"
+    for i in range(32)
+)
+
+_ARCHIVED = f"""
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages
+), kept AS (
+    SELECT payload, max(page_id) AS page_id FROM payloads GROUP BY payload
+)
+SELECT p.page_id, strlen(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN p.page_id = k.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id <> k.page_id THEN k.page_id END AS refers_to
+FROM payloads p JOIN kept k USING (payload)
+"""
+
+
+@query("op1_warc", _ARCHIVED)
+def warc_records(spark: SparkSession, folder: str) -> DataFrame:
+    """A record for every page, written to archives and read back."""
+    return warc.archive_and_read(spark, table(spark, folder, "pages"), least_bytes=0)
+
+
+@query("op3_html_text")
+def page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract_text(table(spark, folder, "pages"))
+
+
+#: The rules of the URL query.
+RULES = [
+    link_graph.Rule.parse("block", "net/"),
+    link_graph.Rule.parse("allow", "example.net/en/"),
+    link_graph.Rule.parse("block", "example.com/de/"),
+    link_graph.Rule.parse("allow", "org/fr/"),
+]
+
+
+@query("op5_url_verdicts")
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return link_graph.judge_urls(table(spark, folder, "pages"), RULES)
+
+
 @query("op2_simhash_groups")
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of 4-word shingles and the groups within 4 bits."""
@@ -61,6 +108,30 @@ def document_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, profiles, extra=held_out)
 
 
+_TOP_20 = """
+WITH fine AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, max(list_inner_product(q.v, c.v))::BIGINT AS score
+    FROM fine q JOIN fine c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 20 = 0
+    GROUP BY 1, 2
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 20
+"""
+
+
+@query("op8_top_products", _TOP_20)
+def top_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector with all others."""
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query("op9_toxicity")
 def document_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """The toxicity of every document; a row without an id is not learned from and counts as held out."""

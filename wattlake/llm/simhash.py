@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from wattlake.llm.common import blocks_at_space, map_batches
-from wattlake.llm.components import connected_components, spanning_links
+from wattlake.llm.common import blocks_at_space
+from wattlake.llm.components import connected_components, least_of_component, spanning_links
 from wattlake.session import materialise
 
 SEED = 42
@@ -89,7 +89,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", size: int = 4, name:
             found = np.array([fingerprint(value, size) for value in rows.column(at).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found.view(np.int64))], names)
 
-    return map_batches(docs, add, _extended(docs, name))
+    return docs.mapInArrow(add, _extended(docs, name))
 
 
 def _extended(docs: DataFrame, name: str) -> StructType:
@@ -220,7 +220,7 @@ def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE, similarit
 
     types = dict(prints.dtypes)
     schema = "anchor int, home boolean, " + ", ".join(f"{name} {types[name]}" for name in names)
-    replicas = map_batches(prints.select(*names), replicate, schema, 2048)
+    replicas = prints.select(*names).mapInArrow(replicate, schema)
     crowded = (  # at most a row for each anchor: 3 times 4,096
         replicas.groupBy("anchor").count().where(F.col("count") > CHUNK)
         .select("anchor", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
@@ -240,7 +240,7 @@ def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE, similarit
         .agg(F.collect_list(F.when(F.col("home"), member)).alias("homes"), F.collect_list(F.when(~F.col("home"), member)).alias("others"))
         .select("homes", "others")
     )
-    return map_batches(groups, compare, "a bigint, b bigint", 32)
+    return groups.mapInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -258,7 +258,7 @@ def near_duplicates(
     distinct = materialise(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
     nodes = distinct.select(F.col("fingerprint").alias("node"), "least")
     links = fingerprint_links(distinct.select(F.col("fingerprint").alias("node"), "fingerprint"), distance)
-    named = _least_of_component(nodes, connected_components(links)).withColumnRenamed("node", "fingerprint")
+    named = least_of_component(nodes, connected_components(links)).withColumnRenamed("node", "fingerprint")
     return rows.join(named, "fingerprint").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
@@ -266,14 +266,6 @@ def near_duplicates(
     )
 
 
-def _least_of_component(nodes: DataFrame, components: DataFrame) -> DataFrame:
-    """``(node, least)`` with the least of the whole component, for every row of ``nodes(node, least)``."""
-    linked = nodes.join(components, "node", "left")
-    linked = linked.select("node", "least", F.coalesce("component", "node").alias("component"))
-    least = linked.groupBy("component").agg(F.min("least").alias("least"))
-    return linked.select("node", "component").join(least, "component").select("node", "least")
-
-
 def describe(text: str | None, size: int) -> tuple[list[int], bytes]:
     """Fingerprints of the text's distinct words, one for each of WORD_SEEDS, and the sketch of its shingles.
 
@@ -346,7 +338,7 @@ def keep_one(
             yield pa.RecordBatch.from_arrays([rows.column(0), *prints, sketch], ["row", "first", "second", "sketch"])
 
     schema = f"row {dict(source.dtypes)['row']}, first bigint, second bigint, sketch binary"
-    rows = materialise(map_batches(source, look, schema))
+    rows = materialise(source.mapInArrow(look, schema))
     # Texts with the same words and sketch are one node, named by the place of its least row.
     distinct = materialise(rows.groupBy("first", "second", "sketch").agg(F.min("row").alias("least")))
     nodes = distinct.select(F.col("least.place").alias("node"), "least", "first", "second", "sketch")
@@ -354,7 +346,7 @@ def keep_one(
         fingerprint_links(nodes.select("node", F.col(name).alias("fingerprint"), "sketch"), 5, similarity - MARGIN)
         for name in ("first", "second")
     ]
-    least = _least_of_component(nodes.select("node", "least"), connected_components(links[0].union(links[1])))
+    least = least_of_component(nodes.select("node", "least"), connected_components(links[0].union(links[1])))
     stays = least.select(F.col("least.place").alias("place")).distinct()
     goes = rows.select(F.col("row.place").alias("place")).join(stays, "place", "left_anti")
     return placed.join(goes.withColumnRenamed("place", mark), mark, "left_anti").select(*docs.columns)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import blocks_at_space, map_batches
+from wattlake.llm.common import blocks_at_space
 from wattlake.llm.language import Binder, Profiles, document_weights, ngrams, unit_rows
 
 BUCKETS = 1 << 16
@@ -352,7 +352,7 @@ def score(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "
                 ["doc_id", "score", "predicted"],
             )
 
-    return map_batches(source, predict, f"doc_id {dict(source.dtypes)['doc_id']}, score double, predicted int")
+    return source.mapInArrow(predict, f"doc_id {dict(source.dtypes)['doc_id']}, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
@@ -364,4 +364,4 @@ def keep_clean(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame
         for rows in batches:
             yield rows.filter(pa.array(shared.value.scores(rows.column(at).to_pylist()) < 0.5, pa.bool_()))
 
-    return map_batches(docs, keep, docs.schema)
+    return docs.mapInArrow(keep, docs.schema)
