@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import html_text, language, link_graph, packing, simhash, topk, toxicity, warc
+from wattlake.llm import embedding_graph, html_text, language, link_graph, packing, simhash, topk, toxicity, warc
 from wattlake.llm.common import fold_of, table
 
 QUERIES: dict = {}
@@ -98,6 +98,36 @@ def byte_bpe() -> dict[str, str]:
     }
 
 
+_NEAR_VECTORS = """
+WITH RECURSIVE able AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), component AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), degree AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN component c USING (vec_id) LEFT JOIN degree d USING (vec_id)
+"""
+
+
+@query("op6_near_vectors", _NEAR_VECTORS)
+def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and groups of vectors of a label with a cosine of at least 0.93."""
+    return embedding_graph.near_duplicate_vectors(table(spark, folder, "embeddings"), threshold=0.93)
+
+
 @query("op7_language")
 def document_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document; a row without an id is not learned from and counts as held out."""
