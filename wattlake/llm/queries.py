@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import embedding_graph, html_text, language, link_graph, packing, simhash, topk, toxicity, warc
+from wattlake.llm import embedding_graph, html_text, language, link_graph, packing, piece_dropout, simhash, topk, toxicity, warc
 from wattlake.llm.common import fold_of, table
 
 QUERIES: dict = {}
@@ -169,3 +169,18 @@ def document_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scorer = toxicity.learn(docs, labels.where(fold_of(F.col("doc_id"), 5) != 0))
     held_out = F.coalesce(fold_of(F.col("doc_id"), 5) == 0, F.lit(True)).alias("held_out")
     return toxicity.score(docs, scorer).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op10_piece_dropout")
+def piece_dropout_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's varied segmentation and whether it decodes to the very text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents")
+    whole = lambda text: F.encode(F.coalesce(text, F.lit("")), "utf-8")
+    sent = {"sent": F.struct(F.crc32(whole(F.col("text"))), F.octet_length(whole(F.col("text"))))}
+    back = piece_dropout.decode(piece_dropout.encode(docs, model, dropout=0.1, seed=1, extra=sent), model)
+    return back.select(
+        "doc_id", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+        F.octet_length("text").cast("long").alias("decoded_bytes"),
+        (F.struct(F.crc32(whole(F.col("text"))), F.octet_length(whole(F.col("text")))) == F.col("sent")).alias("lossless"),
+    )
