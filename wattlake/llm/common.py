@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of one Arrow batch.
+BATCH_BYTES = 4 << 20
 #: Characters that a worker turns into word objects at a time.
 BLOCK_CHARS = 1 << 20
 #: White space of ASCII.
@@ -19,6 +21,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``; Arrow batches of the session hold at most BATCH_BYTES from now on.
+
+    A worker holds a batch several times over, as Arrow data, as Python texts and as arrays.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text modulo ``folds``; null for a null id."""
     return F.crc32(doc_id.cast("string")) % folds

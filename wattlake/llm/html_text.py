@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattlake.llm.common import in_small_batches
+
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SILENT = frozenset(
     "head script style noscript template svg math iframe object canvas audio video title textarea select datalist button".split()
@@ -254,4 +256,4 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
             )
 
     kinds = dict(source.dtypes)
-    return source.mapInArrow(extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")
+    return in_small_batches(source).mapInArrow(extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")

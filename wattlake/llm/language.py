@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattlake.llm.common import in_small_batches
 from wattlake.session import materialise
 
 DIMENSIONS = 1024
@@ -185,7 +186,7 @@ def learn_profiles(
         yield batch(list(partial()))
 
     learned = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null")
-    parts = learned.mapInArrow(bundles, "lang string, at int, s bigint")
+    parts = in_small_batches(learned).mapInArrow(bundles, "lang string, at int, s bigint")
     sums = materialise(parts.groupBy("lang", "at").agg(F.sum("s").alias("s")))
     n = sums.where("at = 0").count()
     if n > MAX_LANGUAGES:
@@ -220,7 +221,7 @@ def identify(
 
     types = dict(source.dtypes)
     schema = ", ".join(f"`{name}` {types[name]}" for name in kept) + ", lang_pred string, score double"
-    return source.mapInArrow(predict, schema).select("doc_id", *extra, "lang_pred", "score")
+    return in_small_batches(source).mapInArrow(predict, schema).select("doc_id", *extra, "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text", least: float = 0.05) -> DataFrame:
@@ -236,4 +237,4 @@ def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text", lea
             found = [profiles.identify(value, binder) for value in rows.column(at).to_pylist()]
             yield rows.filter(pa.array([name != UNKNOWN and score >= least for name, score in found], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_small_batches(docs).mapInArrow(keep, docs.schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wattlake.llm.common import lists
+from wattlake.llm.common import in_small_batches, lists
 from wattlake.session import materialise
 
 WINDOW = 1024
@@ -179,7 +179,7 @@ def pack(
     columns = f"doc_id {kind}, start bigint, ids {{}}, doc_tokens bigint"
     places = ", sequence_id bigint, offset bigint"
     pieces = materialise(
-        source.mapInArrow(cut, columns.format("binary"))
+        in_small_batches(source).mapInArrow(cut, columns.format("binary"))
         .withColumn("full", F.octet_length("ids") == window * code.itemsize)
         .withColumn("place", F.monotonically_increasing_id())
     )

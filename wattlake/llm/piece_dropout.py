@@ -20,18 +20,21 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattlake.llm.common import in_small_batches
+
 DROPOUT, SEED = 0.1, 1
 #: Keys that the words of a text are dealt to.
 KEYS = 8
 #: Words of more characters go through a heap, so that time grows but little faster than length.
 LONG = 48
-#: Characters of the documents that are encoded together.
-GROUP_CHARS = 1 << 21
+#: Characters and words that are encoded together, and ids that are decoded together.
+GROUP_CHARS, GROUP_WORDS, GROUP_IDS = 1 << 21, 400_000, 1 << 20
 _SPACE = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -256,28 +259,54 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and each text's number of ids."""
         words: list[str] = []
-        counts, draws = [], []
-        for text in texts:
-            found = self.pieces.split(" " + text) if text else []
-            words += found
-            counts.append(len(found))
-            draws.append(xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")))
-        counts = np.array(counts, dtype=np.int64)
-        if not len(words):
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        blocks: list[tuple[int, int, int, int]] = []  # text, its hash, words of it before, words
+        parts, counts = [np.zeros(0, np.int32)], np.zeros(len(texts), dtype=np.int64)
+
+        def flush() -> None:
+            owner, draw, before, n = (np.array(x, dtype=np.uint64) for x in zip(*blocks, strict=True))
+            n = n.astype(np.int64)
+            ordinal = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(before, n).astype(np.int64)
+            ids, sizes = self._encode_words(words, mixed(self.seed, np.repeat(draw, n), ordinal))
+            parts.append(ids)
+            np.add.at(counts, np.repeat(owner, n).astype(np.int64), sizes)
+            words.clear()
+            blocks.clear()
+
+        for d, text in enumerate(texts):
+            if not text:
+                continue
+            draw, before = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")), 0
+            for block in _blocks(" " + text):
+                found = self.pieces.split(block)
+                words += found
+                blocks.append((d, draw, before, len(found)))
+                before += len(found)
+                if len(words) > GROUP_WORDS:
+                    flush()
+        if words:
+            flush()
+        return np.concatenate(parts), counts
+
+    def _encode_words(self, words: list[str], draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and each word's number of ids; equal words with equal keys once."""
         codes, distinct = pd.factorize(np.array(words, dtype=object))
-        if self.keys > 1:
-            ordinal = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
-            draw = mixed(self.seed, np.repeat(np.array(draws, dtype=np.uint64), counts), ordinal)
-            codes = codes * self.keys + (draw % np.uint64(self.keys)).astype(np.int64)
-            codes, kinds = pd.factorize(codes)
-            segmented, sizes = self._segment(distinct[kinds // self.keys].tolist(), kinds % self.keys)
-        else:
-            segmented, sizes = self._segment(distinct.tolist(), np.zeros(len(distinct), np.int64))
+        codes = codes * self.keys + (draw % np.uint64(self.keys)).astype(np.int64)
+        codes, kinds = pd.factorize(codes)
+        segmented, sizes = self._segment(distinct[kinds // self.keys].tolist(), kinds % self.keys)
         first = np.cumsum(sizes) - sizes
-        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
-        edges = np.concatenate([[0], np.cumsum(counts)])
-        return _gather(segmented, first[codes], sizes[codes]), np.diff(ends[edges])
+        return _gather(segmented, first[codes], sizes[codes]), sizes[codes]
+
+
+def _blocks(text: str):
+    """Pieces of a long text, cut only before the first of the spaces between two words."""
+    start = 0
+    while len(text) - start > GROUP_CHARS:
+        cut = start + GROUP_CHARS
+        while cut < len(text) and (text[cut] != " " or text[cut - 1] == " "):
+            cut += 1
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
 
 
 def _gather(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -287,10 +316,23 @@ def _gather(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndar
     return values[np.arange(total) + np.repeat(first - (ends - sizes), sizes)]
 
 
+def _stretches(sizes: np.ndarray, most: int):
+    """Ranges of rows, each of at most about ``most`` in all; a larger row is alone or last."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        held += size
+        if held >= most or i == len(sizes) - 1:
+            yield start, i + 1
+            start, held = i + 1, 0
+
+
 def decode_ids(pieces: Pieces, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Texts of id sequences that stand one after another; without the space that encoding puts first."""
     widths = pieces.width[ids]
-    raw = _gather(pieces.bytes, pieces.first[ids], widths)
+    parts = [
+        _gather(pieces.bytes, pieces.first[ids[i:i + GROUP_IDS]], widths[i:i + GROUP_IDS]) for i in range(0, len(ids), GROUP_IDS)
+    ]
+    raw = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
     edges = np.concatenate([[0], np.cumsum(widths)])[np.concatenate([[0], np.cumsum(counts)])]
     lead = (np.diff(edges) > 0) & (raw[np.minimum(edges[:-1], max(0, len(raw) - 1))] == 32) if len(raw) else np.zeros(len(counts), bool)
     keep = np.ones(len(raw), dtype=bool)
@@ -323,21 +365,17 @@ def encode(
     def run(batches):
         encoder = Encoder(pieces_of(model), dropout, seed)
         for rows in batches:
-            sizes = [0 if x is None else x for x in pa.compute.utf8_length(rows.column("text")).to_pylist()]
-            start, held = 0, 0
-            for i, size in enumerate(sizes):
-                held += size
-                if held >= GROUP_CHARS or i == len(sizes) - 1:
-                    part = rows.slice(start, i + 1 - start)
-                    ids, counts = encoder.encode(part.column("text").to_pylist())
-                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), lists], [*kept, "ids"])
-                    start, held = i + 1, 0
+            sizes = np.array(pc.fill_null(pc.utf8_length(rows.column("text")), 0), dtype=np.int64)
+            for start, end in _stretches(sizes, GROUP_CHARS):
+                part = rows.slice(start, end - start)
+                ids, counts = encoder.encode(part.column("text").to_pylist())
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), lists], [*kept, "ids"])
 
     kinds = dict(source.dtypes)
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in kept) + ", ids array<int>"
-    return source.mapInArrow(run, schema).select("doc_id", "ids", *extra)
+    return in_small_batches(source).mapInArrow(run, schema).select("doc_id", "ids", *extra)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", name: str = "text") -> DataFrame:
@@ -348,10 +386,11 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", name: str = "text")
     def run(batches):
         pieces = pieces_of(model)
         for rows in batches:
-            lists = rows.column(at)
-            counts = np.array(pa.compute.fill_null(pa.compute.list_value_length(lists), 0), dtype=np.int64)
-            texts = decode_ids(pieces, lists.flatten().to_numpy(zero_copy_only=False), counts)
-            yield pa.RecordBatch.from_arrays([*rows.columns, texts], names)
+            counts = np.array(pc.fill_null(pc.list_value_length(rows.column(at)), 0), dtype=np.int64)
+            for start, end in _stretches(counts, GROUP_IDS):
+                part = rows.slice(start, end - start)
+                ids = part.column(at).flatten().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([*part.columns, decode_ids(pieces, ids, counts[start:end])], names)
 
     schema = ", ".join(f"`{n}` {kind}" for n, kind in encoded.dtypes) + f", `{name}` string"
-    return encoded.mapInArrow(run, schema)
+    return in_small_batches(encoded).mapInArrow(run, schema)

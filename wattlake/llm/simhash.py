@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from wattlake.llm.common import blocks_at_space
+from wattlake.llm.common import blocks_at_space, in_small_batches
 from wattlake.llm.components import connected_components, least_of_component, spanning_links
 from wattlake.session import materialise
 
@@ -89,7 +89,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", size: int = 4, name:
             found = np.array([fingerprint(value, size) for value in rows.column(at).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found.view(np.int64))], names)
 
-    return docs.mapInArrow(add, _extended(docs, name))
+    return in_small_batches(docs).mapInArrow(add, _extended(docs, name))
 
 
 def _extended(docs: DataFrame, name: str) -> StructType:
@@ -240,7 +240,7 @@ def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE, similarit
         .agg(F.collect_list(F.when(F.col("home"), member)).alias("homes"), F.collect_list(F.when(~F.col("home"), member)).alias("others"))
         .select("homes", "others")
     )
-    return groups.mapInArrow(compare, "a bigint, b bigint")
+    return in_small_batches(groups).mapInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -338,7 +338,7 @@ def keep_one(
             yield pa.RecordBatch.from_arrays([rows.column(0), *prints, sketch], ["row", "first", "second", "sketch"])
 
     schema = f"row {dict(source.dtypes)['row']}, first bigint, second bigint, sketch binary"
-    rows = materialise(source.mapInArrow(look, schema))
+    rows = materialise(in_small_batches(source).mapInArrow(look, schema))
     # Texts with the same words and sketch are one node, named by the place of its least row.
     distinct = materialise(rows.groupBy("first", "second", "sketch").agg(F.min("row").alias("least")))
     nodes = distinct.select(F.col("least.place").alias("node"), "least", "first", "second", "sketch")

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlake.llm.common import in_small_batches
 from wattlake.session import materialise
 
 BUCKET, BLOCK = 4096, 512
@@ -204,7 +205,7 @@ def top_k(
     # Every block with every bucket that its bounds leave: the stated queries against all rows, in blocks.
     pairs = bounded.join(buckets, "size").where("longest >= need").select("query_ids", "qs", "low", "ids", "vs")
     spread = pairs.repartition(F.col("query_ids")[0], F.col("ids")[0])
-    found = spread.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+    found = in_small_batches(spread).mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import blocks_at_space
+from wattlake.llm.common import blocks_at_space, in_small_batches
 from wattlake.llm.language import Binder, Profiles, document_weights, ngrams, unit_rows
 
 BUCKETS = 1 << 16
@@ -76,7 +76,8 @@ class Network:
         return [[vectors @ bank[j] for j in range(len(bank))] for bank in self.banks]
 
     def logit(self, pooled: np.ndarray) -> np.ndarray:
-        return np.maximum(pooled, 0) @ self.out + self.bias
+        """Rounded, because the last digits of matrix products depend on what else is in a batch."""
+        return np.round((np.maximum(pooled, 0) * self.out).sum(axis=1, dtype=np.float64) + self.bias, 4)
 
 
 def _responses(tables: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
@@ -272,7 +273,7 @@ class Scorer:
 
 
 def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Where fewest rows fall on the wrong side; amid the gap."""
+    """Where fewest rows fall on the wrong side; of several such places amid the widest gap."""
     order = np.argsort(logits, kind="stable")
     x, y = logits[order], labels[order]
     # Cutting before row i calls rows i.. positive.
@@ -281,7 +282,9 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     cost = (missed + wrong).astype(np.float64)
     edge = np.concatenate([[True], x[1:] > x[:-1], [True]])
     cost[~edge] = np.inf
-    i = int(np.flatnonzero(cost == cost.min())[-1])
+    gap = np.concatenate([[0.0], x[1:] - x[:-1], [0.0]])
+    gap[cost > cost.min()] = -1
+    i = int(np.argmax(gap))
     if i == 0:
         return float(x[0] - 1)
     if i == len(x):
@@ -352,7 +355,7 @@ def score(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "
                 ["doc_id", "score", "predicted"],
             )
 
-    return source.mapInArrow(predict, f"doc_id {dict(source.dtypes)['doc_id']}, score double, predicted int")
+    return in_small_batches(source).mapInArrow(predict, f"doc_id {dict(source.dtypes)['doc_id']}, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
@@ -364,4 +367,4 @@ def keep_clean(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame
         for rows in batches:
             yield rows.filter(pa.array(shared.value.scores(rows.column(at).to_pylist()) < 0.5, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_small_batches(docs).mapInArrow(keep, docs.schema)

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlake.llm.common import in_small_batches
 from wattlake.session import materialise, scratch_path
 
 #: Bytes of a payload in one row, and bytes read from an archive at a time.
@@ -146,7 +147,7 @@ def write_archives(
         )
 
     marked = mark_revisits(pages, least_bytes).select("url", "html", "record_id", "refers_to")
-    return materialise(marked.mapInArrow(write, "path string, records long"))
+    return materialise(in_small_batches(marked).mapInArrow(write, "path string, records long"))
 
 
 @dataclass
@@ -271,7 +272,7 @@ def read_chunks(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFram
     # One archive a task, as far as there are tasks.
     count = max(1, archives.count())
     spread = archives.select("path").repartition(min(count, 1 << 16), "path")
-    return spread.mapInArrow(read, CHUNKS)
+    return in_small_batches(spread).mapInArrow(read, CHUNKS)
 
 
 def summaries(chunks: DataFrame) -> DataFrame:
