@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of one Arrow batch.
-BATCH_BYTES = 4 << 20
+#: Bytes of one Arrow batch, and rows that a Parquet reader decodes at a time.
+BATCH_BYTES, READER_ROWS = 4 << 20, 512
 #: Characters that a worker turns into word objects at a time.
 BLOCK_CHARS = 1 << 20
 #: White space of ASCII.
@@ -22,11 +22,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:
-    """``df``; Arrow batches of the session hold at most BATCH_BYTES from now on.
+    """``df``; from now on the session's Arrow batches hold at most BATCH_BYTES, and readers READER_ROWS rows.
 
-    A worker holds a batch several times over, as Arrow data, as Python texts and as arrays.
+    A worker holds a batch several times over, as Arrow data, as Python texts and as arrays, and a reader
+    holds its rows in buffers that double.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    df.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
     return df
 
 

@@ -28,7 +28,8 @@ SYMBOLS = 64
 _WEIGHT = 1 << 16
 #: More languages than this mean that the column doesn't hold languages.
 MAX_LANGUAGES = 2048
-_CACHE_ROWS = 8192
+_CACHE_ROWS = 4096
+_BOUND_ROWS = 512
 _PIECE = 1 << 22
 
 
@@ -82,14 +83,19 @@ class Binder:
         self.slot = np.full(SYMBOLS**3, -1, dtype=np.int32)
 
     def bound(self, grams: np.ndarray) -> np.ndarray:
-        return self.twice[grams >> 12] * self.once[(grams >> 6) & 63] * self.letters[grams & 63]
+        out = np.empty((len(grams), self.dimensions), dtype=np.float32)
+        for start in range(0, len(grams), _BOUND_ROWS):
+            part = grams[start:start + _BOUND_ROWS]
+            np.multiply(self.twice[part >> 12], self.once[(part >> 6) & 63], out=out[start:start + _BOUND_ROWS])
+            out[start:start + _BOUND_ROWS] *= self.letters[part & 63]
+        return out
 
     def bundle(self, grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The weighted sum of the n-grams' vectors, exact for integer weights up to 2**53 in all."""
         total = np.zeros(self.dimensions)
-        for start in range(0, len(grams), _CACHE_ROWS):
-            part = grams[start:start + _CACHE_ROWS]
-            total += weights[start:start + _CACHE_ROWS].astype(np.float64) @ self.bound(part)
+        for start in range(0, len(grams), _BOUND_ROWS):
+            part = grams[start:start + _BOUND_ROWS]
+            total += weights[start:start + _BOUND_ROWS].astype(np.float64) @ self.bound(part)
         return total
 
     def text_vector(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:

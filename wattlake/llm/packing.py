@@ -10,6 +10,7 @@ task holds more than a shard.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import deque
 from functools import lru_cache
@@ -89,8 +90,9 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None) -> None:
-        self.slow = Tokenizer.from_file(vocabulary)
-        self.special = [token.content for token in self.slow.get_added_tokens_decoder().values()]
+        self.vocabulary, self.slow = vocabulary, None
+        with open(vocabulary, encoding="utf-8") as lines:
+            self.special = [token["content"] for token in json.load(lines)["added_tokens"]]
         self.fast = None
         if ranks is not None:
             with open(ranks, "rb") as lines:
@@ -100,6 +102,8 @@ class Encoder:
     def ids(self, text: str | None) -> np.ndarray:
         text = text or ""
         if self.fast is None or any(token in text for token in self.special):
+            if self.slow is None:
+                self.slow = Tokenizer.from_file(self.vocabulary)
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return self.fast.encode_to_numpy(text, disallowed_special=())
 
@@ -129,7 +133,7 @@ def pack(
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(source.dtypes)["doc_id"]
-    narrow = _encoder(vocabulary, ranks, pattern).slow.get_vocab_size() <= 1 << 16
+    narrow = Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16
     code = np.dtype("<u2" if narrow else "<u4")  # of the ids on their way
 
     def cut(batches):

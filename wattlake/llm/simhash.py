@@ -14,6 +14,7 @@ compared on its own. Where links are dense, an anchor hands on only what connect
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ CHUNK = 20_000
 WORD_SEEDS = (42, 43)
 SKETCH = 64
 MARGIN = 0.1
-_PAIRS = 1 << 22
+_PAIRS = 1 << 20
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = np.random.default_rng(SEED + 1).integers(0, 1 << 63, SKETCH, dtype=np.uint64)
 
@@ -99,21 +100,18 @@ def _extended(docs: DataFrame, name: str) -> StructType:
 @lru_cache(maxsize=1)
 def _patterns() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By syndrome: error patterns of weight up to RADIUS + 1 (the first is the only one up to RADIUS)."""
-    bits = [1 << i for i in range(23)]
-    single = np.array([_syndrome(b) for b in bits])
     by: list[list[int]] = [[] for _ in range(2048)]
-    weights = np.bitwise_count(np.arange(1 << 23, dtype=np.uint32))
-    patterns = np.flatnonzero(weights <= RADIUS + 1)
-    found = np.zeros(len(patterns), dtype=np.int64)
-    for i in range(23):
-        found ^= np.where(patterns >> i & 1, single[i], 0)
-    for s, p in sorted(zip(found.tolist(), patterns.tolist(), strict=True), key=lambda x: (x[0], weights[x[1]])):
-        by[s].append(p)
+    for weight in range(RADIUS + 2):
+        for bits in combinations(range(23), weight):
+            pattern = sum(1 << i for i in bits)
+            by[_syndrome(pattern)].append(pattern)
     counts = np.array([len(x) for x in by])
     return np.concatenate([np.array(x) for x in by]), np.cumsum(counts) - counts, counts
 
 
 def _syndrome(word: int) -> int:
+    """The remainder by the generator; words of the code have none. Bits above the 23rd are not looked at."""
+    word &= (1 << 23) - 1
     for i in range(22, 10, -1):
         if word >> i & 1:
             word ^= GENERATOR << (i - 11)
@@ -121,11 +119,14 @@ def _syndrome(word: int) -> int:
 
 
 @lru_cache(maxsize=1)
-def _syndromes() -> np.ndarray:
-    table = np.zeros(1 << 23, dtype=np.int16)
-    for i in range(23):
-        table[1 << i:2 << i] = table[:1 << i] ^ _syndrome(1 << i)
-    return table
+def _syndrome_tables() -> np.ndarray:
+    """Syndromes of each value of each byte; the code is linear, so a word's is their exclusive or."""
+    return np.array([[_syndrome(value << shift) for value in range(256)] for shift in (0, 8, 16)])
+
+
+def _syndromes(words: np.ndarray) -> np.ndarray:
+    low, middle, high = _syndrome_tables()
+    return low[words & 255] ^ middle[words >> 8 & 255] ^ high[words >> 16]
 
 
 def anchors(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +137,7 @@ def anchors(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for segment, width in enumerate(SEGMENTS):
         points = (prints >> np.uint64(shift) & np.uint64((1 << width) - 1)).astype(np.int64)
         shift += width
-        syndrome = _syndromes()[points]
+        syndrome = _syndromes(points)
         n = counts[syndrome]
         row = np.repeat(np.arange(len(prints)), n)
         within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)

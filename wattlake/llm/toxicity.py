@@ -34,7 +34,7 @@ CALIBRATION = 5
 #: A language needs so many calibration rows of either label for a threshold of its own.
 LEAST_ROWS = 8
 _WORD = re.compile(r"\w+")
-_CACHE_WORDS = 60_000
+_CACHE_WORDS = 40_000
 
 
 def _features(word: str) -> list[int]:
@@ -262,8 +262,8 @@ class Scorer:
         if not len(grams) or not self.profiles.languages:
             return None
         fresh = grams[np.isnan(self.closeness[grams, 0])]
-        for start in range(0, len(fresh), 4096):
-            part = fresh[start:start + 4096]
+        for start in range(0, len(fresh), 512):
+            part = fresh[start:start + 512]
             self.closeness[part] = self.binder.bound(part) @ self.profiles.prototypes.T
         return self.profiles.languages[int(np.argmax(counts.astype(np.float32) @ self.closeness[grams]))]
 
