@@ -157,9 +157,12 @@ def test_run_ids_stay_text_and_dates_prune(spark, tmp_path):
     one = lake.read("bronze_weather", {DAY: "007"})
     assert one.columns == ["region", "observed_at", "temp_c"] and one.count() == 1
     assert lake.read("bronze_weather", {date(2020, 1, 1): "007"}).count() == 0
-    # The same run writing fewer dates again leaves the others alone.
-    lake.write("bronze", data.limit(1), F.lit("bronze_weather"), dt, F.lit("007"), many_dates=True)
-    assert lake.history("bronze_weather").count() == 2
+    # The same run writing fewer dates again adds an attempt: nothing is replaced, and the newest is read.
+    before = {r.file for r in lake.history("bronze_weather").select(F.input_file_name().alias("file")).collect()}
+    assert lake.write("bronze", data.limit(1), F.lit("bronze_weather"), dt, F.lit("007"), many_dates=True).rows == 1
+    after = {r.file for r in lake.history("bronze_weather").select(F.input_file_name().alias("file")).collect()}
+    assert before < after and lake.history("bronze_weather").count() == 3
+    assert lake.read("bronze_weather", {DAY: "007"}).count() == 1
     listed = files.inventory(spark, str(tmp_path)).collect()
     assert [(r.layer, r.dataset, r.runs) for r in listed] == [("bronze", "bronze_weather", 1)]
 

@@ -109,7 +109,7 @@ def _columns_by_name(spark, folder):
 
 
 def _cleansed_lake(spark: SparkSession, folder: str) -> Lake:
-    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake = Lake(spark, scratch_path(spark, "lake"), "only")
     rows = medallion.silver_cleanse(bronze(spark, folder), Options())
     day = F.col("business_date")
     lake.write("silver", rows, F.col("dataset"), day, F.concat(F.lit("r-"), day.cast("string")), many_dates=True)

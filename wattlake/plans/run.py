@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 from wattlake.plans.catalog import DATASETS, PHASES, PUBLISHED, STEPS, Step
 from wattlake.plans.medallion import BUILD, Options
 from wattlake.publish import Target, Warehouse
-from wattlake.quality import ERROR, Check, Expectation, QualityGateError, evaluate
+from wattlake.quality import Check, Expectation, QualityGateError, evaluate, gate
 from wattlake.runlog import RunLog
-from wattlake.sources.files import folder_bytes
-from wattlake.sources.lake import Lake
+from wattlake.sources.lake import Lake, new_attempt
 
 SUCCEEDED, FAILED, COMPENSATED, RUNNING = "succeeded", "failed", "compensated", "running"
 
@@ -59,7 +58,9 @@ class Engine:
 
     Data passes between steps as files: the gate has to see what was written,
     a lost executor cannot take finished steps with it, and a failed run leaves
-    its evidence. The driver only handles counts, paths and check results.
+    its evidence. Each call is an attempt with folders of its own, so what is published
+    stays as it was until a later attempt has passed every gate. The driver only handles
+    counts, paths and check results.
     """
 
     def __init__(
@@ -84,8 +85,7 @@ class Engine:
         Whatever fails, also ``after_publish``, takes back what this run had
         published, is recorded, and is raised.
         """
-        state = _Progress({day: run_id})
-        self._start(state)
+        state = self._begin({day: run_id})
         try:
             self._steps(state)
             error = state.errors.get(day)
@@ -120,21 +120,30 @@ class Engine:
         return replace(done, completed=[*completed, *done.completed])
 
     def run_dates(self, days: Sequence[date], prefix: str) -> BackfillResult:
-        """The given dates in one job per step; run ids are the prefix and the date."""
+        """The given dates in one job per step; run ids are the prefix and the date.
+
+        If a job fails, the dates are halved and tried again until those that make it fail are alone; they
+        are recorded as failed and the others go on. A date that fails after it was published is taken back.
+        """
         if not days:
             return BackfillResult([], [], 0, {})
-        state = _Progress({d: f"{prefix}{d.isoformat()}" for d in sorted(days)})
-        self._start(state)
+        days = sorted(days)
+        state = self._begin({d: f"{prefix}{d.isoformat()}" for d in days})
         try:
             self._steps(state)
             self._publish(state)
         except Exception as error:
-            for day in list(state.alive):
-                state.fail(day, error)
-            self._finish(state)
-            raise
+            for day, result in state.results.items():
+                taken = self.warehouse.restore(result.run_id, day, f"{type(error).__name__}: {error}")
+                if taken.restored or taken.deleted:
+                    result.status = COMPENSATED
+            if len(days) > 1:
+                half = len(days) // 2
+                return _merged([self.run_dates(days[:half], prefix), self.run_dates(days[half:], prefix)])
+            state.fail(days[0], error)
         for day, result in state.results.items():
-            result.status = FAILED if day in state.errors else SUCCEEDED
+            if result.status != COMPENSATED:
+                result.status = FAILED if day in state.errors else SUCCEEDED
         self._finish(state)
         return BackfillResult(
             list(state.alive), sorted(state.errors),
@@ -143,7 +152,15 @@ class Engine:
 
     # -- steps -------------------------------------------------------------
 
+    def _begin(self, runs: Mapping[date, str]) -> _Progress:
+        state = _Progress(runs, self.lake.bound(new_attempt()))
+        self._start(state)
+        return state
+
     def _steps(self, state: _Progress) -> None:
+        for name in {n for s in self.steps.values() for n in s.inputs if DATASETS[n].layer == "landing" and DATASETS[n].dated}:
+            for day in self.lake.missing(name, list(state.alive)):
+                state.fail(day, FileNotFoundError(f"{name} has no files of {day}"))
         for _, keys in PHASES:
             if not state.alive:
                 return
@@ -159,7 +176,7 @@ class Engine:
         frames = {name: self._input(name, days, state) for name in step.inputs}
         rows = BUILD[step.key](frames, replace(self.options, dates=(min(days), max(days))))
         placed_at = days if step.per_date else dict([next(iter(days.items()))])
-        self._write(step, rows, placed_at)
+        self._write(step, rows, placed_at, state.lake)
         state.dimension_runs.update({name: placed_at for name in step.outputs if not step.per_date})
         seconds = round(time.monotonic() - started, 3)
 
@@ -173,49 +190,60 @@ class Engine:
         counts = [Expectation("row_count_min", n, params={"min": 0}) for n in counted]
         # With one date there is nothing to tell apart, and the aggregates need no key.
         by = "dt" if len(days) > 1 else None
-        checks = evaluate([*step.expectations, *counts], known, by=by, groups=list(days))
+        # What is published must be of its own date; over many dates the folders follow from it.
+        published = [n for n in step.outputs if n in PUBLISHED] if by is None else []
+        own = [
+            Expectation("between", n, "business_date", {"min": min(days), "max": max(days)}, name=f"own_date:{n}")
+            for n in published
+        ]
+        checks = evaluate([*step.expectations, *own, *counts], known, by=by, groups=list(days))
         split = len(step.expectations) * len(days)
-        rows_of = {(c.dataset, c.group): int(c.observed) for c in checks[split:] if c.observed}
-        return _Outcome(step, days, seconds, checks[:split], rows_of)
+        strangers = [c for c in checks[split:split + len(own)] if not c.passed]
+        rows_of = {(c.dataset, c.group): int(c.observed) for c in checks[split + len(own):] if c.observed}
+        return _Outcome(step, days, seconds, checks[:split] + strangers, rows_of)
 
     def _input(self, name: str, days: Mapping[date, str], state: _Progress) -> DataFrame:
         if DATASETS[name].layer == "landing":
-            return self.lake.landing(name, list(days))
+            return state.lake.landing(name, list(days))
         keep_dt = name == "bronze_weather"
-        return self.lake.read(name, state.dimension_runs.get(name, days), keep_dt=keep_dt)
+        return state.lake.read(name, state.dimension_runs.get(name, days), keep_dt=keep_dt)
 
     def _counted_input(self, name: str, days: Mapping[date, str], state: _Progress) -> DataFrame:
         if DATASETS[name].layer == "landing":
-            return self.lake.landing(name, list(days))
+            return state.lake.landing(name, list(days))
         return self._written(name, days, state)
 
     def _written(self, name: str, days: Mapping[date, str], state: _Progress) -> DataFrame:
         """A written dataset for checking: split by ``dt`` unless it is the same on every date."""
         if name in state.dimension_runs:
-            return self.lake.read(name, state.dimension_runs[name])
-        return self.lake.read(name, days, keep_dt=True)
+            return state.lake.read(name, state.dimension_runs[name])
+        return state.lake.read(name, days, keep_dt=True)
 
-    def _write(self, step: Step, rows: DataFrame, days: Mapping[date, str]) -> None:
-        dataset = F.col("dataset") if "dataset" in rows.columns else F.lit(step.outputs[0])
+    def _write(self, step: Step, rows: DataFrame, days: Mapping[date, str], lake: Lake) -> None:
+        dataset = F.col("dataset") if len(step.outputs) > 1 else step.outputs[0]
         if len(days) == 1:
             (day, run), = days.items()
             dt, run_of = F.lit(day), F.lit(run)
             if len(step.outputs) == 1:
-                self.lake.write_one(step.outputs[0], rows.drop("dt"), day, run)
+                lake.write_one(step.outputs[0], rows.drop("dt"), day, run)
                 return
         else:
             dt = F.col("dt") if "dt" in rows.columns else F.col("business_date")
             prefix = next(iter(days.values())).removesuffix(next(iter(days)).isoformat())
             run_of = F.concat(F.lit(prefix), dt.cast("string"))
-        self.lake.write(step.layer, rows, dataset, dt, run_of, many_dates=len(days) > 1)
+        lake.write(step.layer, rows, dataset, dt, run_of, many_dates=len(days) > 1)
 
     def _settle(self, outcome: _Outcome, state: _Progress) -> None:
         """Record a finished step per date and drop the dates whose gate did not pass."""
         step, metrics, results, lineage = outcome.step, [], [], []
         for day, run in outcome.days.items():
             checks = [c for c in outcome.checks if c.group == day]
-            failed = any(not c.passed and c.severity == ERROR for c in checks)
-            error = QualityGateError(step.key, checks) if failed else None
+            error = None
+            try:
+                gate(step.key, checks)
+            except QualityGateError as found:
+                error = found
+            failed = error is not None
             breached = outcome.seconds > step.sla_seconds
             result = state.results[day]
             result.steps_failed += failed
@@ -226,14 +254,14 @@ class Engine:
                 state.fail(day, error)
             placed = state.dimension_runs.get(step.outputs[0], outcome.days)
             where = (day, run) if day in placed else next(iter(placed.items()))
-            uri = self.lake.path(step.outputs[0], *where)
+            uri = state.lake.path(step.outputs[0], *where)
             metrics.append({
                 "run_id": run, "step_key": step.key, "layer": step.layer,
                 "state": FAILED if failed else SUCCEEDED, "attempts": 1,
                 "rows_in": sum(outcome.rows.get((n, day), 0) for n in step.inputs),
                 "rows_out": outcome.rows.get((step.outputs[0], day), 0),
                 "rows_rejected": sum(outcome.rows.get((n, day), 0) for n in step.outputs[1:]),
-                "duration_seconds": outcome.seconds, "bytes_out": folder_bytes(self.spark, uri),
+                "duration_seconds": outcome.seconds, "bytes_out": state.lake.bytes(step.outputs[0], *where),
                 "threads": self.spark.sparkContext.defaultParallelism, "memory_limit": "",
                 "sla_seconds": step.sla_seconds, "sla_breached": breached,
                 "output_uri": uri, "error": str(error or ""),
@@ -258,7 +286,7 @@ class Engine:
 
     def _publish(self, state: _Progress) -> None:
         items = [
-            (run, Target(table, self.lake.path(name, day, run), day,
+            (run, Target(table, state.lake.path(name, day, run), day,
                          state.rows.get((name, day)), DATASETS[name].schema))
             for day, run in state.alive.items()
             for name, table in PUBLISHED.items()
@@ -288,7 +316,8 @@ class Engine:
 class _Progress:
     """Dates still going, with their run ids, and what has been found out about each."""
 
-    def __init__(self, runs: Mapping[date, str]):
+    def __init__(self, runs: Mapping[date, str], lake: Lake):
+        self.lake = lake
         self.alive = dict(runs)
         self.started = _now()
         self.results = {d: RunResult(run, d) for d, run in runs.items()}
@@ -304,6 +333,14 @@ class _Progress:
         self.results[day].error = f"{type(error).__name__}: {error}"
 
 
+def _merged(parts: Sequence[BackfillResult]) -> BackfillResult:
+    runs = {d: r for p in parts for d, r in p.runs.items()}
+    return BackfillResult(
+        [d for p in parts for d in p.completed], [d for p in parts for d in p.failed],
+        sum(p.rows_published for p in parts), runs,
+    )
+
+
 @dataclass(frozen=True)
 class _Outcome:
     step: Step

@@ -136,7 +136,9 @@ class Warehouse:
         if not items:
             return PublishResult(label)
         days = {t.business_date for _, t in items}
-        past = self._events_of(days)
+        past: dict[tuple[str, date], list[Row]] = {}
+        for e in self._events_of(days):
+            past.setdefault((e.table_name, e.business_date), []).append(e)
         state = self.events().groupBy("table_name").agg(
             F.min_by("schema", F.when(F.col("event") == PUBLISH, F.col("seq"))).alias("schema"),
             F.max("seq").alias("seq"),
@@ -147,7 +149,7 @@ class Warehouse:
         result, events, at = PublishResult(label), [], _now()
         for run_id, target in items:
             seq += 1
-            of_date = [e for e in past if (e.table_name, e.business_date) == (target.table, target.business_date)]
+            of_date = past.get((target.table, target.business_date), [])
             before = _owner(of_date, other_than=run_id)
             current = _current(of_date)
             done = PublishedTable(

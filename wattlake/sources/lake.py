@@ -1,27 +1,30 @@
 """Where datasets live, and how they are read and written.
 
     <root>/landing/<dataset>/[dt=<date>/]                        input, no run
-    <root>/<layer>/dataset=<dataset>/dt=<date>/run=<run>/*.parquet
+    <root>/<layer>/dataset=<dataset>/dt=<date>/run=<run>/attempt=<attempt>/*.parquet
 
-Everything a run writes carries its run id in the path and is never changed by
-another run. ``dataset``, ``dt`` and ``run`` are partition columns, so a single
-job can fill several datasets and dates, and a read touches only the folders it names.
+Every attempt of a run writes to folders of its own, so nothing that was written is ever
+changed, also not by the same run. ``dataset``, ``dt``, ``run`` and ``attempt`` are
+partition columns, so a single job can fill several datasets and dates, and a read
+touches only the folders it names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
-from datetime import date
+from dataclasses import dataclass
+from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattlake.plans.catalog import DATASETS, Dataset
-from wattlake.sources.files import exists, folder_bytes
+from wattlake.sources.files import children, exists, folder_sizes
 
 #: Column types that only the path knows; declared, because inference turns run 007 into 7.
-_PATH_COLUMNS = "dt date, run string"
+_PATH_COLUMNS = "dt date, run string, attempt string"
 
 
 def read_source(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet", schema: str | None = None):
@@ -49,15 +52,35 @@ def register_source(spark: SparkSession, name: str, path: str, fmt: str = "parqu
     return frame
 
 
-def query(spark: SparkSession, sql: str, limit: int = 200) -> DataFrame:
-    """Ad-hoc read-only SQL with a row cap. Used as a subquery, so statements that write do not parse."""
-    return spark.sql(f"SELECT * FROM (\n{sql.rstrip().rstrip(';')}\n) LIMIT {int(limit)}")
+def query(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
+    """Ad-hoc read-only SQL, with a row cap if one is given. Used as a subquery, so statements that write do not parse."""
+    rows = spark.sql(f"SELECT * FROM (\n{sql.rstrip().rstrip(';')}\n)")
+    return rows if limit is None else rows.limit(limit)
+
+
+def new_attempt() -> str:
+    """A name that no other attempt has; later ones sort behind earlier ones."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+@dataclass(frozen=True)
+class Written:
+    """The receipt of a write."""
+
+    rows: int
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str):
+    """Datasets below ``root``; with an attempt, reads and writes are those of this attempt."""
+
+    def __init__(self, spark: SparkSession, root: str, attempt: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.attempt = attempt
+        self._sizes: dict[str, dict[str, int]] = {}
+
+    def bound(self, attempt: str) -> Lake:
+        return Lake(self.spark, self.root, attempt)
 
     def dataset_path(self, dataset: Dataset) -> str:
         if dataset.layer == "landing":
@@ -65,61 +88,99 @@ class Lake:
         return f"{self.root}/{dataset.layer}/dataset={dataset.name}"
 
     def path(self, name: str, day: date, run: str) -> str:
-        """Folder of one dataset, date and run."""
-        return f"{self.dataset_path(DATASETS[name])}/dt={day.isoformat()}/run={run}"
+        """Folder of one dataset, date and run: of this attempt, or without one of the newest."""
+        of_run = f"{self.dataset_path(DATASETS[name])}/dt={day.isoformat()}/run={run}"
+        if self.attempt is not None:
+            return f"{of_run}/attempt={self.attempt}"
+        return f"{of_run}/{max(children(self.spark, of_run), default='attempt=')}"
+
+    def missing(self, name: str, days: Sequence[date]) -> list[date]:
+        """Dates for which a landing dataset has no folder."""
+        there = children(self.spark, self.dataset_path(DATASETS[name]))
+        return [d for d in days if f"dt={d.isoformat()}" not in there]
 
     def landing(self, name: str, days: Sequence[date]) -> DataFrame:
-        """Raw input; a dated one has the column ``dt`` and only the given dates."""
+        """Raw input; a dated one has the column ``dt`` and only the given dates, all of which must be there."""
         dataset = DATASETS[name]
         base = self.dataset_path(dataset)
         if not dataset.dated:
             return read_source(self.spark, base, dataset.fmt, dataset.schema)
-        return self._existing(
-            [f"{base}/dt={d.isoformat()}" for d in days], base, f"{dataset.schema}, dt date"
-        )
+        return self._read([f"{base}/dt={d.isoformat()}" for d in days], base, f"{dataset.schema}, dt date")
 
     def read(self, name: str, runs: Mapping[date, str], *, keep_dt: bool = False) -> DataFrame:
-        """The given run of each date. Columns are those of the catalog, plus ``dt`` if kept."""
+        """The given run of each date. Columns are those of the catalog, plus ``dt`` if kept.
+
+        A date for which the run wrote no row of the dataset has none.
+        """
         dataset = DATASETS[name]
-        frame = self._existing(
-            [self.path(name, d, run) for d, run in runs.items()],
-            self.dataset_path(dataset),
-            f"{dataset.schema}, {_PATH_COLUMNS}",
-        )
-        return frame.drop("run") if keep_dt else frame.drop("run", "dt")
+        paths = [self.path(name, d, run) for d, run in runs.items()]
+        sizes = self._listed(name) if self.attempt is not None else None
+        found = [p for p in paths if (exists(self.spark, p) if sizes is None else _plain(p) in sizes)]
+        frame = self._read(found, self.dataset_path(dataset), f"{dataset.schema}, {_PATH_COLUMNS}")
+        return frame.drop("run", "attempt") if keep_dt else frame.drop("run", "attempt", "dt")
 
     def history(self, name: str) -> DataFrame:
-        """Every run that ever wrote the dataset, with ``dt`` and ``run`` as columns."""
+        """Everything that was ever written to the dataset, with ``dt``, ``run`` and ``attempt`` as columns."""
         dataset = DATASETS[name]
         base = self.dataset_path(dataset)
-        return self._existing([base], base, f"{dataset.schema}, {_PATH_COLUMNS}")
-
-    def write(self, layer: str, rows: DataFrame, dataset: Column, dt: Column, run: Column, many_dates: bool) -> None:
-        """Write rows into the folders their dataset, date and run call for.
-
-        Only the folders that receive rows are replaced, so a repeated run
-        overwrites itself. Over many dates the rows are first gathered by date, in
-        pieces of a reasonable size, or every task would add a file to every date.
+        found = [base] if exists(self.spark, base) else []
+        return self._read(found, base, f"{dataset.schema}, {_PATH_COLUMNS}")
+
+    def write(
+        self, layer: str, rows: DataFrame, dataset: str | Column, dt: Column, run: Column, many_dates: bool
+    ) -> Written:
+        """Add rows to the folders that their dataset, date and run call for, in this attempt.
+
+        Nothing is replaced. Jobs that add to one folder at a time would clear each other's unfinished
+        files, so steps that run side by side name their one dataset and write below it. Over many dates the rows are first gathered by date, in pieces of a
+        reasonable size, or every task would add a file to every date. Row groups are those of the
+        session. The receipt's count is taken while the rows are written.
         """
-        placed = rows.withColumns({"dataset": dataset, "dt": dt, "run": run})
+        placed = rows.withColumns({"dt": dt, "run": run, "attempt": F.lit(self._own_attempt())})
+        if isinstance(dataset, str):
+            by, target = ["dt", "run", "attempt"], self.dataset_path(DATASETS[dataset])
+            placed = placed.drop("dataset")
+        else:
+            by, target = ["dataset", "dt", "run", "attempt"], f"{self.root}/{layer}"
+            placed = placed.withColumn("dataset", dataset)
         if many_dates:
-            placed = placed.hint("rebalance", "dataset", "dt")
+            placed = placed.hint("rebalance", *by[:-2])
+        observed = Observation()
         (
-            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd").partitionBy("dataset", "dt", "run")
-            .parquet(f"{self.root}/{layer}")
+            placed.observe(observed, F.count(F.lit(1)).alias("n"))
+            .write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(target)
         )
+        return Written(observed.get["n"])
 
-    def write_one(self, name: str, rows: DataFrame, day: date, run: str) -> None:
+    def write_one(self, name: str, rows: DataFrame, day: date, run: str) -> Written:
         """Write rows of one dataset and date straight into their folder."""
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name, day, run))
+        observed, lake = Observation(), self.bound(self._own_attempt())
+        rows.observe(observed, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(lake.path(name, day, run))
+        return Written(observed.get["n"])
 
     def bytes(self, name: str, day: date, run: str) -> int:
-        return folder_bytes(self.spark, self.path(name, day, run))
-
-    def _existing(self, paths: list[str], base: str, schema: str) -> DataFrame:
-        """The paths that are there; none of them gives no rows, not an error."""
-        found = [p for p in paths if exists(self.spark, p)]
-        if not found:
+        path = self.path(name, day, run)
+        return (self._listed(name) if self.attempt is not None else folder_sizes(self.spark, f"{path}/*.parquet")).get(_plain(path), 0)
+
+    def _own_attempt(self) -> str:
+        """The attempt that is bound, or one for a single write."""
+        return self.attempt or new_attempt()
+
+    def _listed(self, name: str) -> dict[str, int]:
+        """Bytes by folder of what this attempt wrote to a dataset, from one listing after the write."""
+        if name not in self._sizes:
+            found = folder_sizes(self.spark, f"{self.dataset_path(DATASETS[name])}/dt=*/run=*/attempt={self.attempt}/*.parquet")
+            if not found:
+                return found
+            self._sizes[name] = found
+        return self._sizes[name]
+
+    def _read(self, paths: list[str], base: str, schema: str) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("basePath", base).schema(schema).parquet(*found)
+        return self.spark.read.option("basePath", base).schema(schema).parquet(*paths)
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and host, as listings give it."""
+    return "/" + path.split("://", 1)[-1].split("/", 1)[-1] if "://" in path else path.removeprefix("file:")
