@@ -33,6 +33,9 @@ END = 0
 SHARD = 8192
 
 
+OUTPUT = ["doc_id", "start", "ids", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
 class RoomTree:
     """A segment tree over room sizes 0..largest; a leaf counts the open windows with that room."""
 
@@ -124,7 +127,8 @@ def pack(
     text: str = "text",
     shard: int = SHARD,
 ) -> DataFrame:
-    """Pieces ``doc_id, start, ids, doc_tokens, sequence_id, offset`` of sequences of at most ``window`` ids.
+    """Pieces ``doc_id, start, ids, length, ids_crc32, doc_tokens, sequence_id, offset`` of sequences of at most
+    ``window`` ids. ``ids_crc32`` is of the ids as little-endian unsigned 32-bit numbers.
 
     Every row of ``docs`` is a document of its own: its ids and then ``end``. A null text counts as empty, so
     such a document is the end id alone. Repeated rows and null ids are packed like others. A sequence
@@ -176,9 +180,12 @@ def pack(
 
     def spread(batches):
         for rows in batches:
-            at = rows.schema.get_field_index("ids")
-            ids = [np.frombuffer(value, code) for value in rows.column(at).to_pylist()]
-            yield rows.set_column(at, "ids", lists(ids, pa.int32()))
+            doc, start, raw, totals, sequence, offset = rows.columns
+            ids = [np.frombuffer(value, code) for value in raw.to_pylist()]
+            sums = pa.array([zlib.crc32(x.astype("<u4")) for x in ids], pa.int64())
+            sizes = pa.array([len(x) for x in ids], pa.int64())
+            arrays = [doc, start, lists(ids, pa.int32()), sizes, sums, totals, sequence, offset]
+            yield pa.RecordBatch.from_arrays(arrays, OUTPUT)
 
     columns = f"doc_id {kind}, start bigint, ids {{}}, doc_tokens bigint"
     places = ", sequence_id bigint, offset bigint"
@@ -195,25 +202,5 @@ def pack(
     shards = max(1, round(left.count() / shard))
     dealt = left.select("doc_id", "start", "ids", "doc_tokens", F.pmod(F.xxhash64("doc_id", "place"), F.lit(shards)).alias("shard"))
     packed = dealt.groupBy("shard").applyInArrow(fit, columns.format("binary") + places)
-    return full.union(packed).mapInArrow(spread, columns.format("array<int>") + places)
-
-
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with ``length`` and ``ids_crc32`` (of the ids as little-endian unsigned 32-bit) for their ids."""
-    kept = ["doc_id", "start", "doc_tokens", "sequence_id", "offset"]
-
-    def digest(batches):
-        for rows in batches:
-            ids, arrays = rows.column(0), [rows.column(name) for name in kept]
-            values, offsets = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            sums = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(np.diff(offsets), pa.int64()), pa.array(sums, pa.int64())],
-                [*kept, "length", "ids_crc32"],
-            )
-
-    types = dict(pieces.dtypes)
-    schema = ", ".join(f"{name} {types[name]}" for name in kept) + ", length bigint, ids_crc32 bigint"
-    return pieces.select("ids", *kept).mapInArrow(digest, schema).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
-    )
+    schema = f"doc_id {kind}, start bigint, ids array<int>, length bigint, ids_crc32 bigint, doc_tokens bigint" + places
+    return full.union(packed).mapInArrow(spread, schema)

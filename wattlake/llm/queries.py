@@ -86,7 +86,7 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_packed_sequences")
 def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 1024 ids."""
-    return packing.digests(packing.pack(table(spark, folder, "documents"), **byte_bpe()))
+    return packing.pack(table(spark, folder, "documents"), **byte_bpe()).drop("ids")
 
 
 def byte_bpe() -> dict[str, str]:
