@@ -93,10 +93,23 @@ def test_only_a_right_side_of_proven_size_is_broadcast(spark):
     with pytest.raises(ValueError, match="too large"):
         asof_join(l, r, ["k"], "ts", "since", strategy="broadcast", broadcast_bytes=100)
     large = asof_join(l, r, ["k"], "ts", "since", broadcast_bytes=100)
-    assert "Join" not in large._jdf.queryExecution().executedPlan().toString()
+    text = large._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in text and "NestedLoop" not in text and "Cartesian" not in text
     assert rows(large) == rows(small)
 
 
+def test_many_rows_at_one_key_and_time_meet_the_sorted_pass_as_one(spark):
+    left = [("a", T0, i) for i in range(3000)] + [("a", T0 + timedelta(hours=1), -1), ("b", T0, -2), (None, T0, -3)]
+    right = [("a", T0 - timedelta(hours=2), 1), ("a", T0, 5), ("a", T0, 3), ("c", T0, 9)]
+    for limit in (10**6, 2):
+        for how in ("inner", "left"):
+            l, r = frames(spark, left, right)
+            joined = asof_join(l, r, ["k"], "ts", "since", how, strategy="sorted", max_group_rows=limit)
+            assert rows(joined) == brute_force(left, right, how, True)
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in text.split("Window")[-1]  # rows of one key and time are one before they are dealt
+
+
 def test_crowded_buckets_are_not_broadcast(spark):
     crowd = [("a", T0 + timedelta(milliseconds=i), i) for i in range(1500)]
     _, r = frames(spark, [], crowd)

@@ -1,3 +1,5 @@
+import shutil
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -8,7 +10,7 @@ from wattlake import reports
 from wattlake.plans.catalog import DATASETS, PHASES, PUBLISHED, STEPS
 from wattlake.plans.medallion import BUILD
 from wattlake.plans.run import Engine, dates_between
-from wattlake.quality import QualityGateError
+from wattlake.quality import Expectation, QualityGateError
 from wattlake.sources.synthetic import readings, seed_landing
 
 DAY, NEXT = date(2026, 8, 1), date(2026, 8, 2)
@@ -215,3 +217,62 @@ def test_synthetic_rows_are_reproducible(spark):
     assert rows(a) == rows(b.filter(F.col("dt") == F.lit(DAY)))
     with pytest.raises(ValueError, match="unknown scenario"):
         seed_landing(spark, "/nowhere", [DAY], 1, "flood")
+
+
+def _with_gold_check(engine, **params):
+    gold = STEPS["gold_daily_region"]
+    failing = Expectation("row_count_min", "gold_daily_region", params={"min": 99}, name="impossible")
+    steps = dict(STEPS) | {"gold_daily_region": replace(gold, expectations=(*gold.expectations, failing))}
+    return Engine(engine.spark, engine.lake.root, engine.warehouse.root, steps=steps)
+
+
+def test_a_failed_gate_leaves_what_is_published(spark, tmp_path):
+    engine = engine_for(spark, tmp_path)
+    engine.backfill(DAY, DAY)
+    before = {t: rows(engine.warehouse.table(t)) for t in PUBLISHED.values()}
+    halved = readings(spark, [DAY], METERS // 2)
+    halved.write.mode("overwrite").partitionBy("dt").parquet(f"{tmp_path}/lake/landing/landing_readings")
+    done = _with_gold_check(engine).backfill(DAY, DAY)
+    assert (done.completed, done.failed) == ([], [DAY])
+    assert {t: rows(engine.warehouse.table(t)) for t in PUBLISHED.values()} == before
+    # The same run id again, now passing, replaces it; taking that back gives the files of before.
+    again = engine.backfill(DAY, DAY)
+    assert again.completed == [DAY]
+    assert {t: rows(engine.warehouse.table(t)) for t in PUBLISHED.values()} != before
+
+
+def test_an_emptied_date_fails_and_stays_published(spark, tmp_path):
+    engine = engine_for(spark, tmp_path, (DAY, NEXT))
+    engine.backfill(DAY, NEXT)
+    before = {t: rows(engine.warehouse.table(t)) for t in PUBLISHED.values()}
+    shutil.rmtree(f"{tmp_path}/lake/landing/landing_readings/dt={NEXT}")
+    done = engine.backfill(DAY, NEXT)
+    assert (done.completed, done.failed) == ([DAY], [NEXT])
+    assert "no files" in done.runs[NEXT].error
+    assert {t: rows(engine.warehouse.table(t)) for t in PUBLISHED.values()} == before
+
+
+def test_a_date_without_weather_fails(spark, tmp_path):
+    engine = engine_for(spark, tmp_path, (DAY, NEXT))
+    shutil.rmtree(f"{tmp_path}/lake/landing/landing_weather/dt={DAY}")
+    done = engine.backfill(DAY, NEXT)
+    assert (done.completed, done.failed) == ([NEXT], [DAY])
+    assert "landing_weather" in done.runs[DAY].error
+
+
+@pytest.mark.parametrize("fault", ["file", "value"])
+def test_a_date_that_breaks_a_job_does_not_stop_the_others(spark, tmp_path, fault):
+    days = dates_between(DAY, date(2026, 8, 3))
+    engine = engine_for(spark, tmp_path, days)
+    folder = f"{tmp_path}/lake/landing/landing_readings/dt={NEXT}"
+    if fault == "file":
+        with open(f"{folder}/broken.parquet", "wb") as f:
+            f.write(b"PAR1 this is no Parquet file PAR1")
+    else:
+        odd = spark.createDataFrame([("M1", "not a number")], "meter_id string, cumulative_kwh string")
+        odd.write.mode("append").parquet(folder)
+    done = engine.backfill(days[0], days[-1])
+    assert (done.completed, done.failed) == ([DAY, date(2026, 8, 3)], [NEXT])
+    assert {r.business_date for r in engine.warehouse.table(DAILY).collect()} == {DAY, date(2026, 8, 3)}
+    status = {r.run_id: r.status for r in engine.log.table("runs").collect()}
+    assert status == {f"backfill-{d}": "failed" if d == NEXT else "succeeded" for d in days}

@@ -6,10 +6,10 @@ Two plans, chosen by measuring the right side:
                its successor, cut into time buckets, and is broadcast; a left row
                looks up (key, bucket) and only tests the few intervals in there.
                The left side, usually the fact table, is not shuffled at all.
-``sorted``     Both sides go through one shuffle by key and one sort by time, and a
-               running "last right row" is read off. Keys that hold a large part of
-               the rows are walked in slices, each given the right row in force at
-               its start. There is no bound on either side.
+``sorted``     The distinct keys and times of both sides go through one shuffle by key and
+               one sort by time, and a running "last right row" is read off and joined
+               back by key and time. Keys with very many times are walked in slices, each
+               given the right row in force at its start. There is no bound on either side.
 
 A private nested-loop form and an all-pairs range join are deliberately not used.
 """
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from wattlake.functions import epoch_hours
 from wattlake.operators.slices import CARRIED, MAX_GROUP_ROWS, SLICE, hot_groups
-from wattlake.session import materialise
 
 #: Upper bound of what the broadcast plan may ship to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -82,13 +81,12 @@ def asof_join(
     right = _present(right, on, right_time)
     plan = None
     if strategy != "sorted":
-        # A snapshot of at most so many rows: what is measured is what is broadcast.
-        few = materialise(right.limit(_BROADCAST_ROWS + 1))
-        plan = _bucket_plan(few, on, right_time, broadcast_bytes, focus)
+        # Decided from aggregates of the whole right side, whose own size is fixed.
+        plan = _bucket_plan(right, on, right_time, broadcast_bytes, focus)
         if plan is None and strategy == "broadcast":
             raise ValueError("the right side is too large to broadcast")
     if plan is not None:
-        joined = _by_broadcast(left, few, on, left_time, right_time, how, allow_exact, plan)
+        joined = _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan)
     else:
         joined = _by_sort(left, right, on, left_time, right_time, how, allow_exact, max_group_rows)
     return joined.select(*left.columns, *(F.col(_PAYLOAD)[c].alias(c) for c in extra))
@@ -178,17 +176,22 @@ def _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan
 
 
 def _by_sort(left, right, on, left_time, right_time, how, allow_exact, max_group_rows):
+    """Matches the distinct keys and times of the left side, and gives its rows their match by both.
+
+    Rows that share key and time, however many, meet the sorted pass as one, and the join back is by key
+    and time, which spreads them like any skewed join.
+    """
     matchable = reduce(Column.__and__, (F.col(c).isNotNull() for c in [*on, left_time]))
     payload_type = right.schema[_PAYLOAD].dataType
-    # At equal times the right row has to come first to be seen, or last not to be;
-    # of several, the greatest payload is the last and therefore the one in force.
+    # At equal times the right row has to come first to be seen, or last not to be.
     first, second = (0, 1) if allow_exact else (1, 0)
     events = (
-        left.filter(matchable)
-        .withColumns({_PAYLOAD: F.lit(None).cast(payload_type), "_side": F.lit(second)})
+        left.filter(matchable).select(*on, left_time).distinct()
+        .select(*on, left_time, F.lit(None).cast(payload_type).alias(_PAYLOAD), F.lit(second).alias("_side"))
         .unionByName(
-            right.select(*on, F.col(right_time).alias(left_time), _PAYLOAD, F.lit(first).alias("_side")),
-            allowMissingColumns=True,
+            # Of several right rows at one time the greatest payload is in force.
+            right.groupBy(*on, F.col(right_time).alias(left_time)).agg(F.max(_PAYLOAD).alias(_PAYLOAD))
+            .withColumn("_side", F.lit(first))
         )
     )
     hot = hot_groups(events.select(*on, left_time), on, left_time, max_group_rows)
@@ -196,18 +199,18 @@ def _by_sort(left, right, on, left_time, right_time, how, allow_exact, max_group
     if hot is not None:
         events = hot.add_slices(events, left_time)
         by.append(SLICE)
-        in_force = hot.carry_last(events.filter(F.col("_side") == first), [left_time, _PAYLOAD])
+        in_force = hot.carry_last(events, [left_time], F.col("_side") == first)
         events = events.withColumn(CARRIED, F.lit(False)).unionByName(
             in_force.withColumn(CARRIED, F.lit(True))
         )
     so_far = (
-        Window.partitionBy(*by).orderBy(left_time, "_side", _PAYLOAD)
+        Window.partitionBy(*by).orderBy(left_time, "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    matched = events.withColumn(_PAYLOAD, F.last(_PAYLOAD, ignorenulls=True).over(so_far)).filter(
-        F.col("_side") == second
+    matched = (
+        events.withColumn(_PAYLOAD, F.last(_PAYLOAD, ignorenulls=True).over(so_far))
+        .filter((F.col("_side") == second) & F.col(_PAYLOAD).isNotNull())
+        .select(*(F.col(k).alias(f"_m_{k}") for k in [*on, left_time]), _PAYLOAD)
     )
-    if how == "inner":
-        return matched.filter(F.col(_PAYLOAD).isNotNull())
-    unmatchable = left.filter(~matchable).withColumn(_PAYLOAD, F.lit(None).cast(payload_type))
-    return matched.select(*left.columns, _PAYLOAD).unionByName(unmatchable)
+    met = reduce(Column.__and__, (F.col(k) == F.col(f"_m_{k}") for k in [*on, left_time]))
+    return left.join(matched, met, how).drop(*(f"_m_{k}" for k in [*on, left_time]))

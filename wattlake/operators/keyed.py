@@ -47,7 +47,7 @@ def previous_by_key(
     if hot is None:
         return _with_previous(df, keys, time, previous)
     sliced = hot.add_slices(df, time)
-    seeds = hot.carry_last(sliced.filter(F.col(time).isNotNull()), [time])
+    seeds = hot.carry_last(sliced, [time], F.col(time).isNotNull())
     rows = sliced.withColumn(CARRIED, F.lit(False)).unionByName(seeds.withColumn(CARRIED, F.lit(True)))
     return (
         _with_previous(rows, [*keys, SLICE], time, previous)

@@ -2,14 +2,13 @@
 
 A window keeps a whole group in one task. That is fine for thousands of groups
 of a similar size and hopeless when one of them holds a third of the table. The
-helpers here measure the groups first. Only those above a limit are cut into
-*slices*: consecutive ranges of the ordering column, bounded by its quantiles.
-A window then runs per (key, slice), and what a slice needs from the earlier
-ones travels in one carried row per slice.
-
-The number of hot groups and of slices is bounded by ``_MAX_HOT`` whatever the
-data, because a group is called hot only above 1/``_MAX_HOT`` of all rows. The
-table of cut points is therefore small enough to broadcast.
+helpers here measure the groups first. Only those above a fixed number of rows are
+cut into *slices*: consecutive ranges of the ordering column, as Spark's own range
+partitioning finds them. A window then runs per (key, slice), and what a slice needs
+from the earlier ones travels in one carried row per slice.
+
+The limit does not depend on the size of the table, and neither keys nor cut points
+reach the driver.
 """
 
 from __future__ import annotations
@@ -21,63 +20,61 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlake.session import materialise
+
 #: Rows one task sorts and walks through without becoming a straggler.
 MAX_GROUP_ROWS = 2_000_000
 
-_MAX_HOT = 4_000
+#: Keys are counted by hash first; no key is hotter than its bucket is full.
+_BUCKETS = 65_536
 
 SLICE = "_slice"
 CARRIED = "_carried"
-_CUTS = "_cuts"
+_HOT = "_hot"
 
 
 @dataclass(frozen=True)
 class HotGroups:
-    """Cut points per hot group: the key columns and an array in ``_cuts``."""
+    """The keys above the limit, and how many slices all their rows make."""
 
-    cuts: DataFrame
+    hot: DataFrame
     keys: tuple[str, ...]
+    slices: int
 
     def add_slices(self, df: DataFrame, order: str, nulls_high: bool = True) -> DataFrame:
         """Add ``_slice``: 0 outside hot groups, else the range ``order`` falls into.
 
-        A value always lands in the slice of its equals, so ties stay together.
+        A value always lands in the slice of its equals, so ties stay together. The hot rows are dealt by
+        ranges of key and value and written once, because the ranges are those of one deal.
         """
-        joined = _null_safe_join(df, F.broadcast(self.cuts), self.keys, "left")
-        below = F.size(F.filter(F.col(_CUTS), lambda cut: cut <= F.col(order)))
-        for_null = F.size(_CUTS) if nulls_high else F.lit(0)
-        return joined.withColumn(
-            SLICE,
-            F.when(F.col(_CUTS).isNull(), 0).when(F.col(order).isNull(), for_null).otherwise(below),
-        ).drop(_CUTS)
-
-    def slice_grid(self) -> DataFrame:
-        """Every (hot key, slice) there can be."""
-        return self.cuts.select(
-            *self.keys, F.explode(F.sequence(F.lit(0), F.size(_CUTS))).alias(SLICE)
+        marked = _null_safe_join(df, self.hot.withColumn(_HOT, F.lit(True)), self.keys, "left")
+        cold = marked.filter(F.col(_HOT).isNull()).drop(_HOT).withColumn(SLICE, F.lit(0))
+        value = F.col(order).asc_nulls_last() if nulls_high else F.col(order).asc_nulls_first()
+        hot = (
+            marked.filter(_HOT).drop(_HOT)
+            .repartitionByRange(self.slices, *self.keys, value)
+            .withColumn(SLICE, F.spark_partition_id() + 1)
         )
+        return cold.unionByName(materialise(hot))
 
-    def only_hot(self, df: DataFrame) -> DataFrame:
-        return _null_safe_join(df, F.broadcast(self.cuts.select(*self.keys)), self.keys, "left_semi")
-
-    def carry_last(self, sliced: DataFrame, order: Sequence[str]) -> DataFrame:
-        """For each slice, the last row (by ``order``) of the slices before it.
+    def carry_last(self, sliced: DataFrame, order: Sequence[str], of: Column | None = None) -> DataFrame:
+        """For each slice, the last row (by ``order``) of the slices before it; rows for which ``of`` holds count.
 
         Pre-aggregated per slice, so the window below only sees one row per slice.
         """
         columns = sliced.columns
+        row = F.struct(*columns) if of is None else F.when(of, F.struct(*columns))
+        at = F.struct(*order) if of is None else F.when(of, F.struct(*order))
         tails = (
-            self.only_hot(sliced)
-            .groupBy(*self.keys, SLICE)
-            .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_tail"))
+            sliced.filter(F.col(SLICE) > 0).groupBy(*self.keys, SLICE)
+            .agg(F.max_by(row, at).alias("_tail"))
         )
         earlier = (
             Window.partitionBy(*self.keys).orderBy(SLICE)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         return (
-            _null_safe_join(self.slice_grid(), tails, (*self.keys, SLICE), "left")
-            .withColumn("_tail", F.last("_tail", ignorenulls=True).over(earlier))
+            tails.withColumn("_tail", F.last("_tail", ignorenulls=True).over(earlier))
             .filter(F.col("_tail").isNotNull())
             .select(F.col(SLICE).alias("_target"), "_tail.*")
             .withColumn(SLICE, F.col("_target"))
@@ -90,40 +87,25 @@ def hot_groups(
 ) -> HotGroups | None:
     """Measure the groups of ``df``; None when a plain window will do.
 
-    Costs one pre-aggregated pass over the key columns. The cut points come to
-    the driver: at most ``2 * _MAX_HOT`` values.
+    Costs one pass over the key columns that shuffles at most _BUCKETS rows from each task: a key is never
+    larger than its bucket. Only if a bucket is too full are the keys of such buckets counted themselves.
     """
     keys = tuple(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if not total or largest <= max_group_rows:
-        return None
-
-    limit = max(max_group_rows, -(-total // _MAX_HOT))
-    if largest <= limit:
+    bucketed = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int").alias("_bucket"))
+    buckets = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    full = [r["_bucket"] for r in buckets.filter(F.col("_n") > max_group_rows).collect()]  # at most _BUCKETS
+    if not full:
         return None
-    levels = -(-largest // limit)
-    hot = counts.filter(F.col("_n") > limit)
-    fractions = [i / levels for i in range(1, levels)]
-    quantiles = F.percentile_approx(order, fractions, max(10_000, 20 * levels))
-    parts = F.ceil(F.col("_n") / limit).cast("int")
-    # Every hot group has the same grid of quantiles; a group keeps as many as its size asks for.
-    picked = F.transform(
-        F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))),
-        lambda i: F.get("_q", F.floor(i * levels / parts).cast("int") - 1),
-    )
-    none = F.array().cast(f"array<{df.schema[order].dataType.simpleString()}>")
-    cut_points = (
-        _null_safe_join(df.select(*keys, order), F.broadcast(hot.select(*keys, "_n")), keys, "inner")
-        .groupBy(*keys, "_n")
-        .agg(quantiles.alias("_q"))
-        .select(
-            *keys,
-            F.coalesce(F.array_sort(F.array_distinct(F.array_compact(picked))), none).alias(_CUTS),
-        )
+    crowded = df.sparkSession.createDataFrame([(b,) for b in full], "_bucket int")
+    counts = materialise(
+        bucketed.join(F.broadcast(crowded), "_bucket", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > max_group_rows)
     )
-    rows = cut_points.collect()
-    return HotGroups(df.sparkSession.createDataFrame(rows, cut_points.schema), keys)
+    rows = counts.agg(F.sum("_n")).first()[0]
+    if not rows:
+        return None
+    # Ranges are found from a sample; twice as many as needed leaves room for its error.
+    return HotGroups(counts.select(*keys), keys, 2 * -(-rows // max_group_rows))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -25,7 +25,6 @@ from wattlake.operators import (
 from wattlake.operators.rolling import days_back
 from wattlake.operators.slices import MAX_GROUP_ROWS
 from wattlake.plans.catalog import HIGH_VOLTAGE, LOW_VOLTAGE, PEAK_HOURS, SPIKE_KWH, TOP_METERS
-from wattlake.session import materialise
 
 Frames = Mapping[str, DataFrame]
 
@@ -244,7 +243,7 @@ def gold_meter_anomalies(frames: Frames, options: Options) -> DataFrame:
     """
     peers = ["region"] + (["business_date"] if options.scope == "run" else [])
     scored = score_against_group(
-        materialise(meter_totals(frames["silver_enriched"])), peers, "kwh_per_kw", top_n=TOP_METERS,
+        meter_totals(frames["silver_enriched"]), peers, "kwh_per_kw", top_n=TOP_METERS,
         mean="region_avg", deviation="region_sd",
     )
     return scored.filter((F.col("anomaly_band") != "normal") | F.col("is_leader")).select(
