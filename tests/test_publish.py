@@ -37,8 +37,8 @@ def test_publish_is_idempotent(spark, tmp_path, warehouse):
     first, second = warehouse.publish("run-1", [target]), warehouse.publish("run-1", [target])
     assert first.total_rows == second.total_rows == 3
     assert len(current(warehouse)) == 3
-    assert second.tables[0].previous_run_id == ""
-    assert (first.tables[0].rows_deleted, second.tables[0].rows_deleted) == (0, 3)
+    assert second.events[0].previous_run_id == ""
+    assert (first.events[0].rows_deleted, second.events[0].rows_deleted) == (0, 3)
     assert warehouse.publish_log().count() == 1
 
 
@@ -46,7 +46,7 @@ def test_restore_returns_to_the_run_before(spark, tmp_path, warehouse):
     good, bad = write(spark, tmp_path, "good", 100.0), write(spark, tmp_path, "bad", 999.0)
     warehouse.publish("run-good", [Target("gold.t", good, DAY)])
     done = warehouse.publish("run-bad", [Target("gold.t", bad, DAY)])
-    assert done.tables[0].previous_run_id == "run-good"
+    assert done.events[0].previous_run_id == "run-good"
     assert current(warehouse)[0] == 999.0
     result = warehouse.restore("run-bad", DAY, "quality gate failed")
     assert result.restored == ["gold.t@2026-08-01->run run-good"] and not result.deleted
@@ -67,8 +67,8 @@ def test_restore_is_idempotent(spark, tmp_path, warehouse):
     warehouse.publish("run-1", [Target("gold.t", write(spark, tmp_path, "only", 42.0), DAY)])
     warehouse.restore("run-1", DAY, "boom")
     again = warehouse.restore("run-1", DAY, "boom")
-    assert "nothing had been published" in again.note and not again.deleted
-    assert "nothing had been published" in warehouse.restore("run-x", DAY, "boom").note
+    assert "no publish of this run stands" in again.note and not again.deleted
+    assert "no publish of this run stands" in warehouse.restore("run-x", DAY, "boom").note
 
 
 def test_publishing_again_after_a_restore_counts_again(spark, tmp_path, warehouse):
@@ -86,7 +86,7 @@ def test_an_undone_run_is_nobodys_predecessor(spark, tmp_path, warehouse):
         warehouse.publish(f"run-{i}", [Target("gold.t", paths[i], DAY)])
     warehouse.restore("run-1", DAY, "boom")
     done = warehouse.publish("run-2", [Target("gold.t", paths[2], DAY)])
-    assert done.tables[0].previous_run_id == "run-0"
+    assert done.events[0].previous_run_id == "run-0"
 
 
 def test_restore_of_a_replaced_run_uses_its_own_predecessor(spark, tmp_path, warehouse):

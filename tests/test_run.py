@@ -41,7 +41,7 @@ def test_catalog_holds_together():
             assert all(e.dataset in DATASETS for e in STEPS[key].expectations)
         known |= {o for key in keys for o in STEPS[key].outputs}
     assert known == set(DATASETS) and set(PUBLISHED) <= known
-    labels = [e.label() for s in STEPS.values() for e in s.expectations]
+    labels = [e.name for s in STEPS.values() for e in s.expectations]
     assert len(set(labels)) == len(labels)
 
 
@@ -69,7 +69,7 @@ def test_columns_are_those_of_the_catalog(clean, spark):
 def test_checks_and_lineage_are_recorded_under_their_step(clean):
     engine, _ = clean
     recorded = {(r.step_key, r.check_name) for r in engine.log.table("dq_results").collect()}
-    assert recorded == {(k, e.label()) for k, s in STEPS.items() for e in s.expectations}
+    assert recorded == {(k, e.name) for k, s in STEPS.items() for e in s.expectations}
     assert all(r.passed for r in engine.log.table("dq_results").collect())
     edges = {(r.step_key, r.upstream, r.downstream) for r in engine.log.table("lineage").collect()}
     assert edges == {(k, up, down) for k, s in STEPS.items() for up, down in s.lineage()}

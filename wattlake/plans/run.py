@@ -291,11 +291,10 @@ class Engine:
             for day, run in state.alive.items()
             for name, table in PUBLISHED.items()
         ]
-        done = self.warehouse.publish_many(items, "")
-        for t in done.tables:
-            result = state.results[t.business_date]
-            result.rows_published += t.rows_written
-            result.published_tables.append(t.table)
+        for event in self.warehouse.publish_many(items).events:
+            result = state.results[event.business_date]
+            result.rows_published += event.rows_written
+            result.published_tables.append(event.table_name)
 
     def _start(self, state: _Progress) -> None:
         self.log.append({"runs": [self._run_row(r, state) for r in state.results.values()]})

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -42,30 +42,49 @@ class Target:
 
 
 @dataclass(frozen=True)
-class PublishedTable:
-    table: str
+class Event:
+    """A change of the pointer of one table and date: a row of the log."""
+
+    event: str
+    run_id: str
+    table_name: str
     business_date: date
-    rows_deleted: int
-    rows_written: int
-    previous_run_id: str
-    previous_source_uri: str
+    source_uri: str
+    rows_deleted: int = 0
+    rows_written: int = 0
+    previous_run_id: str = ""
+    previous_source_uri: str = ""
+    schema: str | None = None
 
+    @property
+    def place(self) -> str:
+        return f"{self.table_name}@{self.business_date}"
 
-@dataclass
-class PublishResult:
-    run_id: str
-    tables: list[PublishedTable] = field(default_factory=list)
+
+@dataclass(frozen=True)
+class Changes:
+    """The events that one call appended, and why."""
+
+    events: tuple[Event, ...] = ()
+    reason: str = ""
 
     @property
     def total_rows(self) -> int:
-        return sum(t.rows_written for t in self.tables)
+        return sum(e.rows_written for e in self.events)
+
+    @property
+    def restored(self) -> list[str]:
+        """Places that point at an earlier run again."""
+        return [f"{e.place}->run {e.previous_run_id}" for e in self.events if e.event == RESTORE and e.previous_source_uri]
 
+    @property
+    def deleted(self) -> list[str]:
+        """Places that had no earlier run."""
+        return [e.place for e in self.events if e.event == RESTORE and not e.previous_source_uri]
 
-@dataclass
-class RestoreResult:
-    restored: list[str] = field(default_factory=list)
-    deleted: list[str] = field(default_factory=list)
-    note: str = ""
+    @property
+    def note(self) -> str:
+        return self.reason if self.events else f"{self.reason}: no publish of this run stands"
 
 
 def _now() -> datetime:
@@ -87,9 +106,11 @@ class Warehouse:
             return self.spark.createDataFrame([], _EVENTS)
         return self.spark.read.schema(_EVENTS).parquet(self._log)
 
-    def _append(self, rows: Sequence[dict]) -> None:
-        """One file, so that all rows appear together or not at all."""
-        small_table(self.spark, list(rows), _EVENTS).coalesce(1).write.mode("append").parquet(self._log)
+    def _append(self, events: Sequence[Event], after: int) -> None:
+        """One file, so that all events appear together or not at all; they are numbered on."""
+        at = _now()
+        rows = [vars(e) | {"seq": after + n, "published_at": at} for n, e in enumerate(events, start=1)]
+        small_table(self.spark, rows, _EVENTS).coalesce(1).write.mode("append").parquet(self._log)
 
     def publish_log(self) -> DataFrame:
         """One row per run, table and date: its last publish, and whether it was undone since."""
@@ -123,18 +144,18 @@ class Warehouse:
 
     # -- publish and restore -----------------------------------------------
 
-    def publish(self, run_id: str, targets: Sequence[Target]) -> PublishResult:
+    def publish(self, run_id: str, targets: Sequence[Target]) -> Changes:
         """Make these files the current ones of their dates, all in one append.
 
         Publishing again by the same run changes nothing: a run is not its own
         predecessor. A source must have rows of its own date only.
         """
-        return self.publish_many([(run_id, t) for t in targets], run_id)
+        return self.publish_many([(run_id, t) for t in targets])
 
-    def publish_many(self, items: Sequence[tuple[str, Target]], label: str) -> PublishResult:
+    def publish_many(self, items: Sequence[tuple[str, Target]]) -> Changes:
         """Like ``publish``, for targets of several runs."""
         if not items:
-            return PublishResult(label)
+            return Changes()
         days = {t.business_date for _, t in items}
         past: dict[tuple[str, date], list[Row]] = {}
         for e in self._events_of(days):
@@ -146,53 +167,34 @@ class Warehouse:
         schemas = {r.table_name: StructType.fromJson(json.loads(r.schema)) for r in state}
         seq = max((r.seq for r in state), default=0)
         rows = self._count_rows([t for _, t in items], schemas)
-        result, events, at = PublishResult(label), [], _now()
+        events = []
         for run_id, target in items:
-            seq += 1
             of_date = past.get((target.table, target.business_date), [])
-            before = _owner(of_date, other_than=run_id)
-            current = _current(of_date)
-            done = PublishedTable(
-                target.table, target.business_date,
-                current.rows_written if current else 0, rows[target.source_uri],
-                before.run_id if before else "", before.source_uri if before else "",
-            )
-            result.tables.append(done)
-            events.append({
-                "seq": seq, "event": PUBLISH, "run_id": run_id, "table_name": done.table,
-                "business_date": done.business_date, "source_uri": target.source_uri,
-                "rows_deleted": done.rows_deleted, "rows_written": done.rows_written,
-                "previous_run_id": done.previous_run_id, "previous_source_uri": done.previous_source_uri,
-                "published_at": at, "schema": schemas[target.table].json(),
-            })
-        self._append(events)
-        return result
-
-    def restore(self, run_id: str, business_date: date, reason: str) -> RestoreResult:
+            before, current = _owner(of_date, other_than=run_id), _current(of_date)
+            events.append(Event(
+                PUBLISH, run_id, target.table, target.business_date, target.source_uri,
+                rows_deleted=current.rows_written if current else 0, rows_written=rows[target.source_uri],
+                previous_run_id=before.run_id if before else "",
+                previous_source_uri=before.source_uri if before else "",
+                schema=schemas[target.table].json(),
+            ))
+        self._append(events, seq)
+        return Changes(tuple(events))
+
+    def restore(self, run_id: str, business_date: date, reason: str) -> Changes:
         """Undo what a run published: point back at the files recorded as its predecessor,
         or leave the date absent if there was none. A second call finds nothing to do."""
-        out = RestoreResult(note=reason)
-        past = self._events_of({business_date})
-        mine = [e for e in _standing(past) if e.run_id == run_id]
-        if not mine:
-            out.note = f"{reason} (nothing had been published yet)"
-            return out
-        seq = self.events().agg(F.max("seq")).first()[0]
-        events, at = [], _now()
-        for n, row in enumerate(mine, start=1):
-            where = f"{row.table_name}@{row.business_date}"
-            if row.previous_source_uri:
-                out.restored.append(f"{where}->run {row.previous_run_id}")
-            else:
-                out.deleted.append(where)
-            events.append({
-                "seq": seq + n, "event": RESTORE, "run_id": run_id, "table_name": row.table_name,
-                "business_date": row.business_date, "source_uri": row.source_uri,
-                "rows_deleted": 0, "rows_written": 0, "previous_run_id": row.previous_run_id,
-                "previous_source_uri": row.previous_source_uri, "published_at": at,
-            })
-        self._append(events)
-        return out
+        mine = [e for e in _standing(self._events_of({business_date})) if e.run_id == run_id]
+        events = [
+            Event(
+                RESTORE, run_id, e.table_name, e.business_date, e.source_uri,
+                previous_run_id=e.previous_run_id, previous_source_uri=e.previous_source_uri,
+            )
+            for e in mine
+        ]
+        if events:
+            self._append(events, self.events().agg(F.max("seq")).first()[0])
+        return Changes(tuple(events), reason)
 
     def _events_of(self, days: set[date]) -> list[Row]:
         """Events of a few dates, oldest first: a handful per publish of these dates."""
