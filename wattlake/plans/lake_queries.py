@@ -29,6 +29,7 @@ from wattlake.plans.telemetry_queries import (
     landing,
 )
 from wattlake.publish import Target, Warehouse
+from wattlake.quality import Expectation
 from wattlake.runlog import latest_runs
 from wattlake.session import scratch_path
 from wattlake.sources import files
@@ -52,18 +53,54 @@ def _table_counts(spark, folder):
 
 @query(
     "input_footprint",
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, 1 AS files, count(*) AS rows FROM {t}" for t in _TABLES),
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, 1 AS files, count(*) AS rows, true AS has_bytes FROM {t}" for t in _TABLES),
 )
 def _input_footprint(spark, folder):
     sizes = files.footprint(spark, [f"{folder}/{name}.parquet" for name in _TABLES])
     return sizes.select(
-        F.regexp_extract("path", "([a-z]+)\\.parquet$", 1).alias("table_name"), "files", "rows"
+        F.regexp_extract("path", "([a-z]+)\\.parquet$", 1).alias("table_name"), "files", "rows",
+        (F.col("bytes") > 0).alias("has_bytes"),
     )
 
 
-@query("input_size_class")
+@query(
+    "input_size_class",
+    """SELECT source, count(DISTINCT lang) AS files, count(*) AS rows, sum(n_chars)::BIGINT AS bytes,
+              if(sum(n_chars) >= 125000, 'roomy', 'lean') AS class
+       FROM documents GROUP BY source""",
+)
 def _input_size_class(spark, folder):
-    return files.size_class(files.footprint(spark, [f"{folder}/{name}.parquet" for name in _TABLES]))
+    """Documents by source as inputs: their languages stand in for files and their characters for bytes."""
+    sizes = table(spark, folder, "documents").groupBy("source", F.col("lang")).agg(
+        F.lit(1).alias("files"), F.count(F.lit(1)).alias("rows"), F.sum("n_chars").alias("bytes")
+    )
+    return files.size_class(sizes, threshold_mb=0.125, by=("source",))
+
+
+_PROFILED = {"lineitem": ("l_quantity", "l_discount", "l_linenumber", "l_returnflag"), "customer": ("c_acctbal", "c_nationkey", "c_mktsegment", "c_name")}
+
+
+def _profile_sql(table_name: str, column: str) -> str:
+    text = column in ("l_returnflag", "c_mktsegment", "c_name")
+    number, words = ("NULL::DOUBLE", "{0}::VARCHAR") if text else ("{0}::DOUBLE", "NULL::VARCHAR")
+    quantile = "NULL::DOUBLE" if text else f"quantile_disc({column}, {{q}})::DOUBLE"
+    return (
+        f"SELECT '{table_name}' AS table_name, '{column}' AS column_name, count(*) AS rows, "
+        f"(count(*) - count({column})) / count(*) AS null_share, count(DISTINCT {column}) AS distinct_values, "
+        f"{number.format(f'min({column})')} AS least, {number.format(f'max({column})')} AS greatest, "
+        f"{words.format(f'min({column})')} AS first_text, {words.format(f'max({column})')} AS last_text, "
+        f"{quantile.format(q=0.25)} AS lower_quartile, {quantile.format(q=0.5)} AS median, "
+        f"{quantile.format(q=0.75)} AS upper_quartile FROM {table_name}"
+    )
+
+
+@query("column_profile", " UNION ALL ".join(_profile_sql(t, c) for t, columns in _PROFILED.items() for c in columns))
+def _column_profile(spark, folder):
+    parts = [
+        reports.column_profile(table(spark, folder, t).select(*columns), exact_distinct=True).select(F.lit(t).alias("table_name"), "*")
+        for t, columns in _PROFILED.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 _AD_HOC = """SELECT o_orderpriority, o_orderstatus, count(*) AS orders, max(o_totalprice) AS largest
@@ -87,12 +124,10 @@ def _csv_round_trip(spark, folder):
     )
 
 
-@query("csv_inferred", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+@query("csv_inferred", "SELECT * FROM orders")
 def _csv_inferred(spark, folder):
     path = scratch_path(spark, "csv")
-    table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").write.option(
-        "header", True
-    ).csv(path)
+    table(spark, folder, "orders").write.option("header", True).csv(path)
     return read_source(spark, path, "csv")
 
 
@@ -133,14 +168,16 @@ def _run_scoped_write(spark, folder):
 @query(
     "lake_inventory",
     f"""WITH {_SILVER_SQL}
-    SELECT 'silver' AS layer, 'silver_readings' AS dataset, count(DISTINCT business_date) AS runs
+    SELECT 'silver' AS layer, 'silver_readings' AS dataset, count(DISTINCT business_date) AS files,
+           count(DISTINCT business_date) AS runs
     FROM silver_readings
     UNION ALL
-    SELECT 'silver', 'silver_quarantine', count(DISTINCT business_date) FROM silver_quarantine""",
+    SELECT 'silver', 'silver_quarantine', count(DISTINCT business_date), count(DISTINCT business_date)
+    FROM silver_quarantine""",
 )
 def _lake_inventory(spark, folder):
     lake = _cleansed_lake(spark, folder)
-    return files.inventory(spark, lake.root).select("layer", "dataset", "runs")
+    return files.inventory(spark, lake.root)
 
 
 # --- publishing -----------------------------------------------------------
@@ -157,6 +194,10 @@ _RESTORED = (date(2024, 1, 15), date(2024, 1, 16))
 )
 def _publish_and_restore(spark, folder):
     """Two runs of every date; the second replaces the first and is taken back on two dates."""
+    return _published_twice(spark, folder).table("gold.daily")
+
+
+def _published_twice(spark, folder) -> Warehouse:
     root = scratch_path(spark, "publish")
     daily = medallion.daily_totals(enriched(spark, folder)).select("business_date", "region", "meters", "kwh")
     warehouse = Warehouse(spark, f"{root}/warehouse")
@@ -171,7 +212,55 @@ def _publish_and_restore(spark, folder):
         ])
     for day in _RESTORED:
         warehouse.restore("second", day, "taken back")
-    return warehouse.table("gold.daily")
+    return warehouse
+
+
+@query(
+    "publish_log",
+    f"""WITH {_GOLD_SQL},
+    dates AS (SELECT business_date, count(*) AS n FROM totals GROUP BY 1)
+    SELECT 'first' AS run_id, 'gold.daily' AS table_name, business_date, 0 AS rows_deleted, n AS rows_written,
+           '' AS previous_run_id, false AS compensated
+    FROM dates
+    UNION ALL
+    SELECT 'second', 'gold.daily', business_date, n, n, 'first',
+           business_date IN (DATE '2024-01-15', DATE '2024-01-16')
+    FROM dates""",
+)
+def _publish_log(spark, folder):
+    """One row per run and date: what it replaced, whose files those were, and whether it was taken back."""
+    return _published_twice(spark, folder).publish_log().select(
+        "run_id", "table_name", "business_date", "rows_deleted", "rows_written", "previous_run_id", "compensated"
+    )
+
+
+@query(
+    "publish_by_name",
+    """WITH days AS (
+        SELECT CAST(ts AS DATE) AS business_date, event_type, count(*) AS n, sum(floor(value)) AS amount
+        FROM events GROUP BY 1, 2
+    )
+    SELECT business_date, event_type, n, amount FROM days WHERE business_date < DATE '2024-01-16'
+    UNION ALL
+    SELECT business_date, event_type, NULL, amount FROM days WHERE business_date >= DATE '2024-01-16'""",
+)
+def _publish_by_name(spark, folder):
+    """The first publish gives the columns; a later one has them in another order and lacks one."""
+    root = scratch_path(spark, "named")
+    daily = table(spark, folder, "events").groupBy(F.to_date("ts").alias("business_date"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.floor("value").cast("double")).alias("amount")
+    ).withColumn("dt", F.col("business_date"))
+    late = F.col("business_date") >= F.lit(_NAMED_FROM)
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    daily.filter(~late).write.partitionBy("dt").parquet(f"{root}/early")
+    daily.filter(late).select("amount", "event_type", "business_date", "dt").write.partitionBy("dt").parquet(f"{root}/late")
+    for run in ("early", "late"):
+        days = [r.business_date for r in spark.read.parquet(f"{root}/{run}").select("business_date").distinct().collect()]
+        warehouse.publish(run, [Target("gold.events", f"{root}/{run}/dt={day}", day) for day in sorted(days)])
+    return warehouse.table("gold.events")
+
+
+_NAMED_FROM = date(2024, 1, 16)
 
 
 #: The catalog's gates with the value sets of the given tables, and counts that suit some thirty readings a day.
@@ -199,6 +288,13 @@ def _own_steps():
 )
 def _backfill_daily_region(spark, folder):
     """Landing files of all dates, every step over all of them at once, gates per date, one publish."""
+    engine, first, last = _landed(spark, folder)
+    engine.backfill(first, last)
+    return engine.warehouse.table("gold.daily_region_consumption")
+
+
+def _landed(spark, folder) -> tuple[Engine, date, date]:
+    """An engine over the landing files of all dates, and the first and last of them."""
     root = scratch_path(spark, "backfill")
     raw = landing(spark, folder)
     for name in ("landing_readings", "landing_weather"):
@@ -206,11 +302,49 @@ def _backfill_daily_region(spark, folder):
     for name in ("landing_meters", "landing_tariffs"):
         raw[name].write.option("header", True).csv(f"{root}/lake/landing/{name}")
     first, last = table(spark, folder, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-    engine = Engine(spark, f"{root}/lake", f"{root}/warehouse", steps=_own_steps())
+    return Engine(spark, f"{root}/lake", f"{root}/warehouse", steps=_own_steps()), first, last
+
+
+@query(
+    "republish_failed_gate",
+    f"WITH {_GOLD_SQL} {_DAILY_SELECT.format(week=_WEEK['run'])}",
+)
+def _republish_failed_gate(spark, folder):
+    """A backfill, and a second one under the same run ids whose last gate fails on every date."""
+    engine, first, last = _landed(spark, folder)
     engine.backfill(first, last)
+    gold = engine.steps["gold_daily_region"]
+    never = Expectation("row_count_max", "gold_daily_region", params={"max": 0}, name="never")
+    failing = dict(engine.steps) | {"gold_daily_region": replace(gold, expectations=(*gold.expectations, never))}
+    Engine(spark, engine.lake.root, engine.warehouse.root, steps=failing).backfill(first, last)
     return engine.warehouse.table("gold.daily_region_consumption")
 
 
+@query(
+    "backfill_step_metrics",
+    f"""WITH {_GOLD_SQL},
+    days AS (SELECT DISTINCT business_date FROM bronze_readings),
+    counts AS (
+        SELECT business_date,
+               (SELECT count(*) FROM bronze_readings r WHERE r.business_date = d.business_date) AS raw,
+               (SELECT count(*) FROM silver_readings r WHERE r.business_date = d.business_date) AS accepted,
+               (SELECT count(*) FROM silver_quarantine r WHERE r.business_date = d.business_date) AS rejected,
+               (SELECT count(*) FROM silver_enriched r WHERE r.business_date = d.business_date) AS enriched,
+               (SELECT count(*) FROM totals r WHERE r.business_date = d.business_date) AS regions
+        FROM days d
+    )
+    SELECT 'backfill-' || business_date AS run_id, unnest(['bronze_readings', 'silver_cleanse', 'silver_enrich', 'gold_daily_region']) AS step_key,
+           'succeeded' AS state, unnest([raw, accepted, enriched, regions]) AS rows_out, unnest([0, rejected, 0, 0]) AS rows_rejected
+    FROM counts""",
+)
+def _backfill_step_metrics(spark, folder):
+    """What the run log says of every step of every date after a full backfill."""
+    engine, first, last = _landed(spark, folder)
+    engine.backfill(first, last)
+    kept = F.col("step_key").isin("bronze_readings", "silver_cleanse", "silver_enrich", "gold_daily_region")
+    return engine.log.table("step_metrics").filter(kept).select("run_id", "step_key", "state", "rows_out", "rows_rejected")
+
+
 # --- records and reports --------------------------------------------------
 # Orders stand in for runs, order lines for their steps and checks.
 

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from wattlake.functions import round_to
 
@@ -124,3 +125,35 @@ def sla_breaches(step_metrics: DataFrame) -> DataFrame:
     return step_metrics.filter(F.col("duration_seconds") > F.col("sla_seconds")).select(
         "run_id", "step_key", "sla_seconds", "duration_seconds"
     )
+
+
+#: Quartiles are exact up to so many rows and off by at most a millionth of the ranks beyond.
+PROFILE_ACCURACY = 1_000_000
+
+
+def column_profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
+    """One row a column: rows, share of nulls, distinct values, least and greatest, and quartiles of numbers.
+
+    All of it is one aggregate whose state is of a fixed size, so nothing but that state is shuffled. Exact
+    distinct counts shuffle every distinct value of every column and are for tables of a known size. A table
+    without rows has null shares and extremes.
+    """
+    numeric = {f.name: isinstance(f.dataType, NumericType) for f in df.schema.fields}
+    cells = []
+    for name, is_number in numeric.items():
+        value = F.col(f"`{name}`")
+        quartiles = F.percentile_approx(value.cast("double"), [0.25, 0.5, 0.75], PROFILE_ACCURACY) if is_number else F.lit(None).cast("array<double>")
+        text = lambda x: (F.lit(None) if is_number else x).cast("string")  # noqa: B023, E731
+        number = lambda x: (x if is_number else F.lit(None)).cast("double")  # noqa: B023, E731
+        cells.append(F.struct(
+            F.lit(name).alias("column_name"), F.count(F.lit(1)).alias("rows"),
+            (F.count_if(value.isNull()) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("null_share"),
+            (F.count_distinct(value) if exact_distinct else F.approx_count_distinct(value)).alias("distinct_values"),
+            number(F.min(value)).alias("least"), number(F.max(value)).alias("greatest"),
+            text(F.min(value)).alias("first_text"), text(F.max(value)).alias("last_text"),
+            quartiles.alias("q"),
+        ))
+    return df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select(
+        "c.column_name", "c.rows", "c.null_share", "c.distinct_values", "c.least", "c.greatest", "c.first_text", "c.last_text",
+        F.get("c.q", 0).alias("lower_quartile"), F.get("c.q", 1).alias("median"), F.get("c.q", 2).alias("upper_quartile"),
+    )

@@ -108,9 +108,9 @@ def _readable(spark: SparkSession, path: str) -> bool:
 LARGE_MB = 16
 
 
-def size_class(footprints: DataFrame, threshold_mb: float = LARGE_MB) -> DataFrame:
-    """``roomy`` if the inputs together reach the threshold, else ``lean``; no input is lean."""
-    return footprints.agg(
+def size_class(footprints: DataFrame, threshold_mb: float = LARGE_MB, by: tuple[str, ...] = ()) -> DataFrame:
+    """``roomy`` if the inputs together, or those of a group, reach the threshold, else ``lean``; no input is lean."""
+    return footprints.groupBy(*by).agg(
         F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),

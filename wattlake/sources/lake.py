@@ -18,7 +18,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampType
 
 from wattlake.plans.catalog import DATASETS, Dataset
 from wattlake.sources.files import children, exists, folder_sizes
@@ -37,7 +37,11 @@ def read_source(spark: SparkSession, path: str | Sequence[str], fmt: str = "parq
     if fmt == "csv":
         rows = spark.read.option("header", True).csv(paths, inferSchema=schema is None)
         if schema is None:
-            return rows
+            # Times without a zone stay as they are written.
+            return rows.select(*(
+                F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType == TimestampType() else F.col(f.name)
+                for f in rows.schema.fields
+            ))
         types = StructType.fromDDL(schema)
         return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in types.fields))
     if schema is None:
