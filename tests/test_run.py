@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wattlake import reports
 from wattlake.plans.catalog import DATASETS, PHASES, PUBLISHED, STEPS
-from wattlake.plans.medallion import BUILD
+from wattlake.plans.medallion import BUILD, Options
 from wattlake.plans.run import Engine, dates_between
 from wattlake.quality import Expectation, QualityGateError
 from wattlake.sources.synthetic import readings, seed_landing
@@ -276,3 +276,25 @@ def test_a_date_that_breaks_a_job_does_not_stop_the_others(spark, tmp_path, faul
     assert {r.business_date for r in engine.warehouse.table(DAILY).collect()} == {DAY, date(2026, 8, 3)}
     status = {r.run_id: r.status for r in engine.log.table("runs").collect()}
     assert status == {f"backfill-{d}": "failed" if d == NEXT else "succeeded" for d in days}
+
+
+def test_single_dates_of_the_history_scope_equal_one_backfill(spark, tmp_path):
+    days = dates_between(DAY, date(2026, 8, 3))
+    seed_landing(spark, f"{tmp_path}/lake", days, METERS)
+    options = Options(scope="history")
+    together = Engine(spark, f"{tmp_path}/lake", f"{tmp_path}/a", options)
+    assert together.backfill(days[0], days[-1]).completed == days
+    alone = Engine(spark, f"{tmp_path}/lake", f"{tmp_path}/b", options)
+    for day in days:
+        alone.run_date(day, f"alone-{day}")
+    for table in PUBLISHED.values():
+        assert rows(alone.warehouse.table(table)) == rows(together.warehouse.table(table))
+    week = {(r.business_date, r.region): (r.kwh, r.kwh_7d_avg) for r in together.warehouse.table(DAILY).collect()}
+    for (day, region), (_, mean) in week.items():
+        own = [week[d, region][0] for d in days if d <= day]
+        assert mean == pytest.approx(sum(own) / len(own), abs=1e-3)
+    # Only the first day of all has first readings without a predecessor.
+    lost = together.lake.history("silver_quarantine").filter("reject_reason = 'no_prior_reading' and run like 'backfill%'")
+    firsts = {r.business_date: r["count"] for r in lost.groupBy("business_date").count().collect()}
+    assert firsts[DAY] > METERS / 2 and all(n < METERS / 2 for d, n in firsts.items() if d != DAY)
+    assert alone.touched([DAY]) == days and engine_for(spark, tmp_path / "x").touched([DAY]) == [DAY]

@@ -3,7 +3,9 @@
 Each function takes the frames of one date or of many; ``business_date`` tells the
 rows apart. With ``scope="run"`` windows and group figures stay inside a date, so a
 job over many dates gives what separate runs per date would. ``scope="history"``
-lets the rolling mean look back over the dates in scope.
+lets the first reading of a day look back at the day before and the rolling mean at
+six days before; what of those is not in the run comes in as ``day_before`` and
+``earlier_days``, so runs of single dates, oldest first, give the same as well.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ from wattlake.functions import round_to, safe_divide, to_hour
 from wattlake.operators import (
     asof_join,
     dedupe_and_difference,
+    difference_by_key,
     dimension_join,
+    latest_per_key,
     score_against_group,
 )
 from wattlake.operators.rolling import days_back
@@ -109,18 +113,40 @@ def classified_readings(readings: DataFrame, options: Options) -> DataFrame:
     The difference is taken before anything is rejected: after a NULL reading the
     next has no prior one, and the return from a spike is a rollback.
     """
-    keys = ["meter_id"] + (["business_date"] if options.scope == "run" else [])
-    return (
-        dedupe_and_difference(
-            readings, keys, "reading_ts", "src_updated_at", "cumulative_kwh",
-            previous_value="prev_kwh", previous_time="prev_ts", difference="interval_kwh",
-            max_group_rows=options.max_group_rows,
+    names = {"previous_value": "prev_kwh", "previous_time": "prev_ts", "difference": "interval_kwh"}
+    keys = ["meter_id", "business_date"]
+    if options.scope == "run":
+        stepped = dedupe_and_difference(
+            readings, keys, "reading_ts", "src_updated_at", "cumulative_kwh", **names, max_group_rows=options.max_group_rows
         )
+    else:
+        stepped = _across_midnight(readings, keys, names, options)
+    return (
+        stepped
         .withColumn("reject_reason", reject_reason(options.spike_kwh))
         .withColumn("interval_kwh", round_to(F.col("interval_kwh"), 4))
     )
 
 
+def _across_midnight(readings: DataFrame, keys: list[str], names: Mapping[str, str], options: Options) -> DataFrame:
+    """Differences in which a day's first reading follows the last one of the day before, if there is any.
+
+    Only one row per meter and day is carried over, pre-aggregated.
+    """
+    latest = latest_per_key(readings, ["meter_id", "reading_ts"], "src_updated_at")
+    within = difference_by_key(
+        latest, keys, "reading_ts", "cumulative_kwh", **names, max_group_rows=options.max_group_rows
+    )
+    seeds = latest.groupBy(*keys).agg(
+        F.max_by(F.struct("cumulative_kwh", "reading_ts"), "reading_ts").alias("_seed")
+    ).withColumn("business_date", F.date_add("business_date", 1))
+    first = F.col("prev_ts").isNull() & F.col("_seed").isNotNull()
+    return within.join(seeds, keys, "left").withColumns({
+        "prev_kwh": F.when(first, F.col("_seed.cumulative_kwh")).otherwise(F.col("prev_kwh")),
+        "prev_ts": F.when(first, F.col("_seed.reading_ts")).otherwise(F.col("prev_ts")),
+    }).withColumn("interval_kwh", F.col("cumulative_kwh") - F.col("prev_kwh")).drop("_seed")
+
+
 def accepted(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("reject_reason").isNull()).select(
         "meter_id", "reading_ts", "business_date", "cumulative_kwh", "interval_kwh",
@@ -141,7 +167,12 @@ def silver_cleanse(frames: Frames, options: Options) -> DataFrame:
     One pass serves both outputs: the writer sorts the rows into their folders.
     Columns that only one of the two has are NULL in the other.
     """
-    rows = classified_readings(frames["bronze_readings"], options)
+    readings, before = frames["bronze_readings"], frames.get("day_before")
+    if options.scope == "history" and before is not None:
+        known = readings.withColumn("_own", F.lit(True)).unionByName(before.withColumn("_own", F.lit(False)))
+        rows = classified_readings(known, options).filter("_own").drop("_own")
+    else:
+        rows = classified_readings(readings, options)
     rejected = F.col("reject_reason").isNotNull()
     only_rejected, only_accepted = ("prev_kwh", "prev_ts"), ("quality_flag", "src_updated_at")
     return rows.withColumns(
@@ -165,10 +196,7 @@ def silver_enrich(frames: Frames, options: Options) -> DataFrame:
     place = ["region"]
     if "dt" in weather.columns:
         weather = weather.withColumnRenamed("dt", "business_date")
-        if options.scope == "run":
-            place = ["region", "business_date"]
-        else:
-            weather = weather.drop("business_date")
+        place = ["region", "business_date"]
     # Left: a missing observation must not remove consumption.
     observed = asof_join(
         priced, weather, place, "reading_ts", "observed_at", "left",
@@ -201,13 +229,19 @@ def gold_daily_region(frames: Frames, options: Options) -> DataFrame:
     in_scope = ["region"] + (["business_date"] if options.scope == "run" else [])
     week = days_back(in_scope, "business_date", 7)
     of_day = Window.partitionBy("business_date").orderBy(F.col("kwh").desc_nulls_last())
-    return daily_totals(frames["silver_enriched"]).select(
+    totals, earlier = daily_totals(frames["silver_enriched"]), frames.get("earlier_days")
+    if options.scope == "history" and earlier is not None:
+        totals = totals.withColumn("_own", F.lit(True)).unionByName(
+            earlier.select("business_date", "region", "kwh", F.lit(False).alias("_own")), allowMissingColumns=True
+        )
+    daily = totals.select(
         "*",
         round_to(safe_divide(F.col("kwh"), F.col("meters")), 4).alias("kwh_per_meter"),
         round_to(safe_divide(100.0 * F.col("peak_kwh"), F.col("kwh")), 2).alias("peak_share_pct"),
         round_to(F.avg("kwh").over(week), 3).alias("kwh_7d_avg"),
         F.dense_rank().over(of_day).cast("long").alias("rank_in_day"),
     )
+    return daily.filter("_own").drop("_own") if "_own" in daily.columns else daily
 
 
 def hourly_load_profile(enriched: DataFrame) -> DataFrame:
@@ -241,7 +275,7 @@ def gold_meter_anomalies(frames: Frames, options: Options) -> DataFrame:
     The totals per meter feed the group figures, the cut-offs and the rows
     themselves; they are far smaller than their input and computed once.
     """
-    peers = ["region"] + (["business_date"] if options.scope == "run" else [])
+    peers = ["region", "business_date"]
     scored = score_against_group(
         meter_totals(frames["silver_enriched"]), peers, "kwh_per_kw", top_n=TOP_METERS,
         mean="region_avg", deviation="region_sd",

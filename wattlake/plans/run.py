@@ -18,6 +18,9 @@ from wattlake.quality import Check, Expectation, QualityGateError, evaluate, gat
 from wattlake.runlog import RunLog
 from wattlake.sources.lake import Lake, new_attempt
 
+#: How many days the rolling mean looks back beyond its own.
+DAYS_BACK = 6
+
 SUCCEEDED, FAILED, COMPENSATED, RUNNING = "succeeded", "failed", "compensated", "running"
 
 
@@ -173,7 +176,7 @@ class Engine:
     def _step(self, step: Step, state: _Progress) -> _Outcome:
         started = time.monotonic()
         days = dict(state.alive)
-        frames = {name: self._input(name, days, state) for name in step.inputs}
+        frames = {name: self._input(name, days, state) for name in step.inputs} | self._looked_back_at(step, days)
         rows = BUILD[step.key](frames, replace(self.options, dates=(min(days), max(days))))
         placed_at = days if step.per_date else dict([next(iter(days.items()))])
         self._write(step, rows, placed_at, state.lake)
@@ -208,6 +211,32 @@ class Engine:
         keep_dt = name == "bronze_weather"
         return state.lake.read(name, state.dimension_runs.get(name, days), keep_dt=keep_dt)
 
+    def _looked_back_at(self, step: Step, days: Mapping[date, str]) -> dict[str, DataFrame]:
+        """What the history scope needs of dates outside this run: readings of days before, published totals."""
+        if self.options.scope != "history":
+            return {}
+        if step.key == "silver_cleanse":
+            before = {d - timedelta(days=1) for d in days} - set(days)
+            there = sorted(before - set(self.lake.missing("landing_readings", sorted(before))))
+            if there:
+                raw = {"landing_readings": self.lake.landing("landing_readings", there)}
+                return {"day_before": BUILD["bronze_readings"](raw, self.options)}
+        table = PUBLISHED.get(step.key)
+        if step.key == "gold_daily_region" and table in self.warehouse.tables():
+            on = F.col("business_date")
+            window = on.between(min(days) - timedelta(days=DAYS_BACK), max(days)) & ~on.isin(list(days))
+            return {"earlier_days": self.warehouse.table(table).filter(window)}
+        return {}
+
+    def touched(self, days: Sequence[date]) -> list[date]:
+        """The dates, and in the history scope the published ones whose figures look back at them."""
+        if self.options.scope != "history":
+            return sorted(days)
+        table = PUBLISHED["gold_daily_region"]
+        known = {p.business_date for p in self.warehouse.pointers().filter(F.col("table_name") == table).collect()}
+        later = {d + timedelta(days=n) for d in days for n in range(1, DAYS_BACK + 1)}
+        return sorted(set(days) | (later & known))
+
     def _counted_input(self, name: str, days: Mapping[date, str], state: _Progress) -> DataFrame:
         if DATASETS[name].layer == "landing":
             return state.lake.landing(name, list(days))

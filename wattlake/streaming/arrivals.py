@@ -5,8 +5,11 @@ new files; those dates are then run again in one batch job over everything they
 have, so late, repeated and out-of-order readings end up as in a full reprocess:
 window functions and group figures of a date need all of it anyway.
 
+Where figures look back over days (``scope="history"``), the published dates that
+look back at a changed one are run again with it.
+
 The batch number is part of the run id. A batch that is delivered twice repeats
-the same runs, which replace their own files and publishes.
+the same runs as new attempts, which publish the same rows again.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ def process_arrivals(
     def rerun(batch: DataFrame, batch_id: int) -> None:
         # Dates come from the folder names; no column of the files is read.
         days = [r.dt for r in batch.select("dt").distinct().collect()]
-        engine.run_dates(days, prefix=f"arrivals-{batch_id}-")
+        engine.run_dates(engine.touched(days), prefix=f"arrivals-{batch_id}-")
 
     writer = arrivals.writeStream.foreachBatch(rerun).option("checkpointLocation", checkpoint)
     if available_now:
