@@ -73,6 +73,18 @@ def test_odd_rows_have_defined_results(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 1, 4, 5]
 
 
+def test_short_texts_are_accepted_and_long_ones_must_be_like_a_language(spark):
+    learned = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    profiles = language.learn_profiles(learned)
+    binder = profiles.binder()
+    assert profiles.accepts("Para el que las de", binder) and profiles.accepts("the " * 500, binder)
+    rng = np.random.default_rng(6)
+    strange = " ".join("".join(chr(0x400 + i) for i in rng.integers(0, 80, 7)) for _ in range(200))
+    assert not profiles.accepts(strange, binder)
+    assert not profiles.accepts("12 34 !", binder) and not profiles.accepts(None, binder)
+    assert language.keep_identified(learned, profiles).count() == learned.count()
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     profiles = language.learn_profiles(none)

@@ -22,6 +22,8 @@ from wattlake.session import materialise
 DIMENSIONS = 1024
 SEED = 20_240_607
 UNKNOWN = "und"
+#: What a text with so many distinct n-grams must reach to be accepted as one of the languages.
+LEAST_COSINE, ENOUGH_GRAMS = 0.1, 100
 #: Symbols of the alphabet: 0 is anything but a letter, then a to z, then 37 classes for all other letters.
 SYMBOLS = 64
 #: A document's n-gram frequencies are rounded to integers of this sum, so that sums don't depend on order.
@@ -126,7 +128,16 @@ class Profiles:
 
     def identify(self, text: str | None, binder: Binder) -> tuple[str, float]:
         """The language and the cosine, cut to 0..1; ``und`` and 0 for a text without a letter."""
+        return self._nearest(*ngrams(text), binder)
+
+    def accepts(self, text: str | None, binder: Binder) -> bool:
+        """Whether the text is like one of the languages: it has letters, and its cosine is above zero, or at
+        least LEAST_COSINE if it has ENOUGH_GRAMS distinct n-grams. A short text's cosine is low in any case."""
         grams, counts = ngrams(text)
+        name, score = self._nearest(grams, counts, binder)
+        return name != UNKNOWN and score > 0 and (len(grams) < ENOUGH_GRAMS or score >= LEAST_COSINE)
+
+    def _nearest(self, grams: np.ndarray, counts: np.ndarray, binder: Binder) -> tuple[str, float]:
         if not len(grams) or not self.languages:
             return UNKNOWN, 0.0
         vector = binder.text_vector(grams, counts)
@@ -230,17 +241,16 @@ def identify(
     return in_small_batches(source).mapInArrow(predict, schema).select("doc_id", *extra, "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text", least: float = 0.05) -> DataFrame:
-    """The rows of ``docs`` whose text has a language: not ``und``, and a cosine of ``least`` or more.
+def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is like one of the languages (``Profiles.accepts``).
 
-    All columns stay as they are, whatever their names.
+    All columns stay as they are, whatever their names. Null, empty and letterless texts go.
     """
     at = docs.columns.index(text)
 
     def keep(batches):
         binder = profiles.binder()
         for rows in batches:
-            found = [profiles.identify(value, binder) for value in rows.column(at).to_pylist()]
-            yield rows.filter(pa.array([name != UNKNOWN and score >= least for name, score in found], pa.bool_()))
+            yield rows.filter(pa.array([profiles.accepts(x, binder) for x in rows.column(at).to_pylist()], pa.bool_()))
 
     return in_small_batches(docs).mapInArrow(keep, docs.schema)
