@@ -48,3 +48,14 @@ def test_totals_read_only_the_columns_they_need(bronze, spark, tmp_path):
     read = re.search(r"FileScan parquet \[([^\]]*)\]", text).group(1)
     columns = {c.split("#")[0] for c in read.split(",")}
     assert columns == {"business_date", "region", "meter_id", "interval_kwh", "cost_eur", "is_peak", "temp_c"}
+
+
+def test_scores_read_their_input_once(spark):
+    from wattlake.plans.operator_queries import _scored
+
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    text = plan(_scored(spark, "/root/testdata/sf0.001"))
+    # The input is written once; what is left is a broadcast of the groups to it.
+    assert "FileScan" not in text and len(re.findall(r"\bExchange\b", text)) <= 3
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - before <= 16
