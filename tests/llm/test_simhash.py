@@ -138,3 +138,51 @@ def test_one_row_of_each_group_stays(spark, tmp_path):
     assert kept.columns == docs.columns
     ids = sorted(r.doc_id for r in kept.collect())
     assert ids == [4 * i for i in range(30)] + [apart + i for i in range(50)] + [2000]
+
+
+def edited(rng, words, vocabulary, kind, similarity, size=5):
+    """A copy of about the similarity in shingles, by one kind of edit."""
+    n = len(words)
+    if kind == "appended":
+        return words + [str(x) for x in rng.choice(vocabulary, int(n / similarity) - n)]
+    if kind == "cut":
+        return words[: int(np.ceil(n * similarity)) + size - 1]
+    changed = list(words)
+    shared = int(2 * similarity / (1 + similarity) * (n - size + 1)) + 1
+    for i in range((n - size + 1 - shared) // size):
+        changed[(i * n // max(1, (n - size + 1 - shared) // size) + 7) % n] = f"new{rng.integers(1 << 40)}"
+    return changed
+
+
+def brute_force_kept(texts, similarity=0.8, size=5):
+    sets = []
+    for text in texts:
+        words = text.lower().split()
+        sets.append({tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))})
+    root, linked = list(range(len(sets))), {}
+    for i, x in enumerate(sets):
+        for j in range(i):
+            common = len(x & sets[j])
+            linked[j, i] = common / len(x | sets[j])
+            if linked[j, i] >= similarity:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return sorted(set(root)), linked
+
+
+def test_copies_of_every_kind_go_as_brute_force_says(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    texts, copies = [], []
+    for similarity in (0.6, 0.72, 0.78, 0.8, 0.82, 0.9):
+        for kind in ("appended", "cut", "scattered"):
+            for _ in range(5):
+                words = [str(x) for x in rng.choice(vocabulary, int(rng.integers(80, 500)))]
+                copies.append((len(texts), len(texts) + 1))
+                texts += [" ".join(words), " ".join(edited(rng, words, vocabulary, kind, similarity))]
+    expected, linked = brute_force_kept(texts)
+    near = sum(linked[pair] >= 0.8 for pair in copies)
+    assert 30 < near < len(copies) - 30
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), DOCS.split(",")[0] + ", text string").write.parquet(path)
+    assert sorted(r.doc_id for r in simhash.keep_one(spark.read.parquet(path)).collect()) == expected

@@ -19,13 +19,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from wattlake.llm.common import blocks_at_space, in_small_batches
 from wattlake.llm.components import connected_components, least_of_component, spanning_links
-from wattlake.session import materialise
+from wattlake.session import materialise, scratch_path
 
 SEED = 42
 MAX_DISTANCE = 4
@@ -36,13 +36,10 @@ RADIUS = 3
 GENERATOR = 0b1100_0111_0101
 #: Fingerprints of one anchor compared in one go; more are cut into chunks of this size.
 CHUNK = 20_000
-#: For keep_one: seeds of the fingerprints of words, bytes of a sketch, and what is left to the sketch's error.
-WORD_SEEDS = (42, 43)
-SKETCH = 64
-MARGIN = 0.1
+#: For keep_one: documents of the sample that tells common shingles, how often one is in it at least, and how many count.
+ORDER_DOCS, ORDER_LEAST, ORDER_SHINGLES = 4_000, 3, 50_000
 _PAIRS = 1 << 20
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = np.random.default_rng(SEED + 1).integers(0, 1 << 63, SKETCH, dtype=np.uint64)
+_NONE = np.zeros(0, dtype=np.uint64)
 
 
 def votes(text: str | None, size: int) -> tuple[np.ndarray, int]:
@@ -148,13 +145,8 @@ def anchors(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(home)
 
 
-def close_links(
-    home: np.ndarray, away: np.ndarray, distance: int, sketches: np.ndarray | None = None, agree: int = 0
-) -> tuple[np.ndarray, np.ndarray]:
-    """Links (indices into home and then away) that join those within ``distance`` bits of one at home.
-
-    With sketches, a row a member, a pair must also agree in at least ``agree`` of their bytes.
-    """
+def close_links(home: np.ndarray, away: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (indices into home and then away) that join those within ``distance`` bits of one at home."""
     members = np.concatenate([home, away])
     n, block = len(members), max(1, _PAIRS // max(1, len(members)))
     left: list[np.ndarray] = []
@@ -166,9 +158,6 @@ def close_links(
         a, b = (a + start)[a != b], (b + start)[a != b]
         for cut in range(0, len(a), 1 << 18):
             x, y = a[cut:cut + (1 << 18)], b[cut:cut + (1 << 18)]
-            if sketches is not None:
-                alike = (sketches[x] == sketches[y]).sum(axis=1) >= agree
-                x, y = x[alike], y[alike]
             left.append(x)
             right.append(y)
             held += len(x)
@@ -180,15 +169,14 @@ def close_links(
     return spanning_links(n, np.concatenate(left), np.concatenate(right))
 
 
-def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE, similarity: float | None = None) -> DataFrame:
-    """``(a, b)``: links that connect the nodes of ``prints(node, fingerprint[, sketch])`` within ``distance``.
+def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
+    """``(a, b)``: links that connect the nodes of ``prints(node, fingerprint)`` within ``distance``.
 
-    With a similarity, ``sketch`` must agree in that share of its bytes as well. Not every link is returned,
-    but the connected components are those of all links.
+    Not every link is returned, but the connected components are those of all links.
     """
     if distance // len(SEGMENTS) > 1:
         raise ValueError("the segments cover distances up to 5")
-    names = ["node", "fingerprint", *(["sketch"] if similarity is not None else [])]
+    names = ["node", "fingerprint"]
 
     def replicate(batches):
         for rows in batches:
@@ -206,13 +194,7 @@ def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE, similarit
                     continue
                 members = pa.concat_arrays([home, away])
                 values = members.field(1).to_numpy().view(np.uint64)
-                sketches, agree = None, 0
-                if similarity is not None:
-                    wide = members.field(2)
-                    size = len(wide[0].as_py())
-                    sketches = np.frombuffer(b"".join(wide.to_pylist()), np.uint8).reshape(-1, size)
-                    agree = int(np.ceil(similarity * size))
-                a, b = close_links(values[:len(home)], values[len(home):], distance, sketches, agree)
+                a, b = close_links(values[:len(home)], values[len(home):], distance)
                 nodes = members.field(0).to_numpy()
                 left.append(nodes[a])
                 right.append(nodes[b])
@@ -267,45 +249,151 @@ def near_duplicates(
     )
 
 
-def describe(text: str | None, size: int) -> tuple[list[int], bytes]:
-    """Fingerprints of the text's distinct words, one for each of WORD_SEEDS, and the sketch of its shingles.
-
-    Byte i of the sketch is the low byte of the smallest shingle hash under permutation i, so two texts agree
-    in a byte with the probability of their shingles' Jaccard similarity. Zeros without words.
-    """
-    words: set[bytes] = set()
-    smallest = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """The distinct hashes of the text's shingles, in order; fewer words than ``size`` are one, none give none."""
+    parts: list[np.ndarray] = []
     carried: list[bytes] = []
-    seen = False
     for block in blocks_at_space(text or ""):
-        found = carried + block.encode("utf-8", "surrogatepass").lower().split()
-        words.update(found)
-        if len(found) >= size:
-            seen = True
-            _lower(smallest, _shingle_hashes(found, size))
-        carried = found[-(size - 1):]
-    if not words:
-        return [0] * len(WORD_SEEDS), bytes(SKETCH)
-    if not seen:
-        _lower(smallest, np.array([xxhash.xxh64_intdigest(b" ".join(carried), seed=SEED)], dtype=np.uint64))
-    prints = []
-    for seed in WORD_SEEDS:
-        hashes = np.fromiter((xxhash.xxh64_intdigest(word, seed=seed) for word in words), "<u8", len(words))
-        total = np.zeros(64, dtype=np.int64)
-        for start in range(0, len(hashes), 1 << 16):
-            part = hashes[start:start + (1 << 16)].view(np.uint8).reshape(-1, 8)
-            total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        prints.append(int(np.packbits(2 * total > len(hashes), bitorder="little").view("<i8")[0]))
-    return prints, smallest.astype(np.uint8).tobytes()
-
-
-def _lower(smallest: np.ndarray, hashes: np.ndarray) -> None:
-    hashes = np.unique(hashes)
-    for start in range(0, len(hashes), 4096):
-        mixed = hashes[start:start + 4096, None] * _FACTORS[None] + _SHIFTS[None]
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        np.minimum(smallest, mixed.min(axis=0), out=smallest)
+        words = carried + block.encode("utf-8", "surrogatepass").lower().split()
+        if len(words) >= size:
+            parts.append(np.unique(_shingle_hashes(words, size)))
+        carried = words[-(size - 1):] if size > 1 else []
+    if not parts and carried:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(carried), seed=SEED)], dtype="<u8")
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype="<u8")
+
+
+def rarest(shingles: np.ndarray, n: int, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first ``n`` of the shingles: those not in ``common`` by hash, then the others by their rank."""
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        behind = np.where(common[at] == shingles, 1 + rank[at], 0)
+        shingles = shingles[np.argsort(behind, kind="stable")]
+    return shingles[:n]
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    """Of two sets in one order with the similarity, each has a common member among so many first ones of its own."""
+    return n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
+
+
+def describe(
+    text: str | None, size: int, similarity: float = 0.8, common: np.ndarray = _NONE, rank: np.ndarray = _NONE
+) -> tuple[bytes, int, list[int]]:
+    """A 128-bit name of the text's set of shingles, their number, and the first of them in the order of ``rarest``."""
+    found = shingle_set(text, size)
+    first = rarest(found, prefix_length(len(found), similarity), common, rank)
+    return xxhash.xxh3_128_digest(found.tobytes()), len(found), first.view(np.int64).tolist()
+
+
+def _common_shingles(texts: DataFrame, size: int, seed: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles common in a sample, in order, and their ranks, rare first. They only say what is compared first."""
+    total = texts.count()
+    sample = texts.where(F.pmod(F.xxhash64(seed), F.lit(max(1, total // ORDER_DOCS))) == 0).select("text")
+
+    def cut(batches):
+        for rows in batches:
+            sets = [shingle_set(text, size) for text in rows.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["shingle"])
+
+    found = (
+        in_small_batches(sample).mapInArrow(cut, "shingle bigint").groupBy("shingle").count()
+        .where(F.col("count") >= ORDER_LEAST).orderBy(F.desc("count"), "shingle").limit(ORDER_SHINGLES).collect()
+    )
+    hashes = np.array([row.shingle for row in reversed(found)], dtype=np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], order
+
+
+def _filed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as compressed files in the shared folder."""
+    path = scratch_path(df.sparkSession, "near_duplicates")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def similar_links(docs: DataFrame, shared: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``(a, b)``: links that connect the nodes that ``similarity`` joins; every link is one by its shingles.
+
+    ``docs(node, text)`` has the nodes' texts, ``shared(token, node, size, at)`` the first shingles of each
+    with their places, of which two similar ones share one. Each node is first compared with the least that
+    shares a token; then, where a token's nodes are not in one component yet, with the least of the token and
+    at last all those in different components. So the links are not all, but their components are those of all.
+    """
+    def may(x: str, y: str) -> Column:
+        n, m = F.col(f"{x}.size"), F.col(f"{y}.size")
+        left = F.least(n - F.col(f"{x}.at"), m - F.col(f"{y}.at"))  # no more can be common from here on
+        return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9) & (
+            left >= similarity / (1 + similarity) * (n + m) - 1e-9
+        )
+
+    member = F.struct("node", "size", "at")
+    # One shuffle of all tokens; most are met once and go.
+    alike = Window.partitionBy("token")
+    met = _filed(
+        shared.select("token", member.alias("x"))
+        .select("token", "x", F.min("x").over(alike).alias("y"), F.count("*").over(alike).alias("n"))
+        .where("n > 1").drop("n")
+    )
+    member_of = F.col("x.node").alias("node")
+    # First one pair for each node, then the least of each token, then all, so that large groups stay stars.
+    links = done = None
+    for turn in ("one", "least", "all"):
+        if links is None:
+            pairs = met.where("x.node <> y.node").where(may("x", "y")).groupBy(F.col("x.node").alias("b")).agg(
+                F.min("y.node").alias("a")
+            ).select("a", "b")
+        else:
+            components = materialise(connected_components(links))
+            named = met.select("token", "x", "y", member_of).join(components, "node", "left").select(
+                "token", "x", "y", F.coalesce("component", "node").alias("component")
+            )
+            lowest = named.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"),
+                                                F.min_by("component", "x.node").alias("least")).where("c <> d")
+            open_ = _filed(named.join(lowest.select("token", "least"), "token"))
+            if turn == "least":
+                pairs = open_.where("component <> least and x.node <> y.node").where(may("x", "y"))
+            else:
+                other = open_.select("token", F.col("x").alias("z"), F.col("component").alias("others"))
+                pairs = open_.drop("y").join(other.withColumnRenamed("z", "y"), "token").where(
+                    "y.node < x.node and component <> others"
+                ).where(may("x", "y"))
+            pairs = pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = materialise(pairs)
+        found = _verified(docs, pairs, size, similarity)
+        if links is not None:  # one link for each two components
+            for end in ("a", "b"):
+                named = components.withColumnsRenamed({"node": end, "component": "to"})
+                found = found.join(named, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+            found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        found = materialise(found)
+        links, done = (found, pairs) if links is None else (links.union(found), done.union(pairs))
+    return links
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose sets of shingles have the Jaccard similarity or more."""
+    def cut(batches):
+        for rows in batches:
+            sets = [shingle_set(text, size).tobytes() for text in rows.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    def test(batches):
+        for rows in batches:
+            keep = np.zeros(rows.num_rows, dtype=bool)
+            for i in range(rows.num_rows):
+                x, y = (np.frombuffer(rows.column(k)[i].as_buffer(), "<u8") for k in (2, 3))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep[i] = common >= similarity * (len(x) + len(y) - common) - 1e-9
+            yield rows.select(["a", "b"]).filter(pa.array(keep))
+
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = _filed(in_small_batches(docs.join(needed, "node", "left_semi").select("node", "text")).mapInArrow(cut, "node bigint, shingles binary"))
+    both = pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(
+        sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b"
+    )
+    return in_small_batches(both.select("a", "b", "x", "y")).mapInArrow(test, "a bigint, b bigint")
 
 
 def keep_one(
@@ -313,14 +401,13 @@ def keep_one(
 ) -> DataFrame:
     """One row of each group of near copies, with all its columns: that with the smallest id, nulls last.
 
-    Near copies have the similarity or more in shingles of ``size`` words. An edit changes ``size`` shingles,
-    but one word; so fingerprints are taken of the distinct words, two of them, and pairs within 5 bits in
-    either are compared by the sketches of their shingles, with MARGIN for the sketches' error. Groups are
-    connected components. All texts without words are one group.
+    Near copies have the Jaccard similarity or more in their sets of shingles of ``size`` words, whatever the
+    kind of edit. Candidates share one of the first shingles of each in an order of all shingles (prefix
+    filter), which no similar pair fails; each is then verified on the shingles. Groups are connected
+    components. All texts without words are one group.
 
-    Equal ids are told apart by the place of their rows, so of repeated rows one stays; ``docs`` must be a
-    table as read from files. Texts are shuffled only if the list of rows that go is too long to be
-    broadcast.
+    Equal ids are told apart by the place of their rows, so of repeated rows one stays. Texts are shuffled
+    only if a list of rows is too long to be broadcast.
     """
     mark = "place of the row"
     while mark in docs.columns:
@@ -330,24 +417,28 @@ def keep_one(
         F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col(mark).alias("place")).alias("row"),
         F.col(text).alias("text"),
     )
+    common = _common_shingles(source, size, F.col("row.place"))
+    shared = docs.sparkSession.sparkContext.broadcast(common)  # at most ORDER_SHINGLES
 
     def look(batches):
         for rows in batches:
-            found = [describe(value, size) for value in rows.column(1).to_pylist()]
-            prints = [pa.array([x[0][i] for x in found], pa.int64()) for i in range(len(WORD_SEEDS))]
-            sketch = pa.array([x[1] for x in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([rows.column(0), *prints, sketch], ["row", "first", "second", "sketch"])
-
-    schema = f"row {dict(source.dtypes)['row']}, first bigint, second bigint, sketch binary"
-    rows = materialise(in_small_batches(source).mapInArrow(look, schema))
-    # Texts with the same words and sketch are one node, named by the place of its least row.
-    distinct = materialise(rows.groupBy("first", "second", "sketch").agg(F.min("row").alias("least")))
-    nodes = distinct.select(F.col("least.place").alias("node"), "least", "first", "second", "sketch")
-    links = [
-        fingerprint_links(nodes.select("node", F.col(name).alias("fingerprint"), "sketch"), 5, similarity - MARGIN)
-        for name in ("first", "second")
-    ]
-    least = least_of_component(nodes.select("node", "least"), connected_components(links[0].union(links[1])))
+            found = [describe(value, size, similarity, *shared.value) for value in rows.column(1).to_pylist()]
+            kinds = pa.binary(), pa.int64(), pa.list_(pa.int64())
+            arrays = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([rows.column(0), *arrays], ["row", "name", "size", "tokens"])
+
+    schema = f"row {dict(source.dtypes)['row']}, name binary, size bigint, tokens array<bigint>"
+    rows = _filed(in_small_batches(source).mapInArrow(look, schema))
+    # Texts with the same shingles are one node, named by the place of its least row.
+    distinct = materialise(rows.groupBy("name").agg(F.min("row").alias("least")))
+    nodes = distinct.select(F.col("least.place").alias("node"), "least")
+    again = rows.select(F.col("row.place").alias("node")).join(nodes.select("node"), "node", "left_anti")
+    tokens = (
+        rows.select(F.col("row.place").alias("node"), "size", "tokens").join(again, "node", "left_anti")
+        .select("node", "size", F.posexplode("tokens").alias("at", "token"))
+    )
+    links = similar_links(source.select(F.col("row.place").alias("node"), "text"), tokens, size, similarity)
+    least = least_of_component(nodes, connected_components(links))
     stays = least.select(F.col("least.place").alias("place")).distinct()
     goes = rows.select(F.col("row.place").alias("place")).join(stays, "place", "left_anti")
     return placed.join(goes.withColumnRenamed("place", mark), mark, "left_anti").select(*docs.columns)
