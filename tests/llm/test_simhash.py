@@ -186,3 +186,18 @@ def test_copies_of_every_kind_go_as_brute_force_says(spark, tmp_path):
     path = str(tmp_path / "docs")
     spark.createDataFrame(list(enumerate(texts)), DOCS.split(",")[0] + ", text string").write.parquet(path)
     assert sorted(r.doc_id for r in simhash.keep_one(spark.read.parquet(path)).collect()) == expected
+
+
+def test_rows_stay_the_same_however_files_are_split_later(spark, tmp_path):
+    rows = [(i, f"text {i // 2} " + " ".join(f"a{i // 2}x{k}" for k in range(30)), i % 16) for i in range(160)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, DOCS + ", part int").repartition(16, "part").write.parquet(path)
+    settings = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    kept = simhash.keep_one(spark.read.parquet(path))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 160, 2))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

@@ -101,3 +101,21 @@ def test_reading_holds_no_whole_record():
         sha.update(row[5])
         size += len(row[5])
     assert size == len(payload) and row[8] and row[7] == base64.b32encode(sha.digest()).decode()
+
+
+def test_records_keep_their_names_however_files_are_split(spark, tmp_path):
+    rows = [(i % 40, f"u{i}", f"payload {i % 20}", i % 16) for i in range(160)]
+    path = str(tmp_path / "pages")
+    spark.createDataFrame(rows, PAGES + ", part int").repartition(16, "part").write.parquet(path)
+    settings = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    one = sorted(map(tuple, warc.mark_revisits(spark.read.parquet(path)).select("url", "record_id", "refers_to").collect()), key=str)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        two = sorted(map(tuple, warc.mark_revisits(spark.read.parquet(path)).select("url", "record_id", "refers_to").collect()), key=str)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert one == two and len({record for _, record, _ in one}) == 160
+    kept = {record for _, record, refers in one if refers is None}
+    assert len(kept) == 20 and all(refers in kept for _, _, refers in one if refers is not None)

@@ -412,7 +412,8 @@ def keep_one(
     mark = "place of the row"
     while mark in docs.columns:
         mark += "_"
-    placed = docs.withColumn(mark, F.monotonically_increasing_id())
+    # Written once: where rows stand in a scan depends on how it is split, which may change until the next.
+    placed = _filed(docs.withColumn(mark, F.monotonically_increasing_id()))
     source = placed.select(
         F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col(mark).alias("place")).alias("row"),
         F.col(text).alias("text"),

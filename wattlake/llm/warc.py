@@ -22,7 +22,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import in_small_batches
@@ -82,6 +83,25 @@ class _Archives:
             self.stream = None
 
 
+def _placed(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html, place``; a row has the same place however often and in whatever splits it is read.
+
+    Rows of Parquet files stand where their file says. What isn't read as it is from files is computed once.
+    """
+    columns = ["page_id", "url", "html"]
+    if pages._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
+        try:
+            return pages.select(*columns, F.struct("_metadata.file_path", "_metadata.row_index").alias("place"))
+        except AnalysisException:  # files whose rows have no numbers
+            pass
+    numbered = F.struct(F.lit("").alias("file_path"), F.monotonically_increasing_id().alias("row_index"))
+    return materialise(pages.select(*columns, numbered.alias("place")))
+
+
+def _spelled(place: str) -> tuple[Column, ...]:
+    return F.hex(F.xxhash64(f"{place}.file_path")), F.lit("-"), F.col(f"{place}.row_index").cast("string")
+
+
 def mark_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """``page_id, url, html, record_id, refers_to``: which record each page's record repeats, or null.
 
@@ -90,22 +110,20 @@ def mark_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     refer to it. Only payloads that occur again are joined back; the join is broadcast when they are few and
     split where one payload is very common.
     """
-    source = pages.select(
-        "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("place")
-    )
+    source = _placed(pages).select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), "place")
     keys = ["sha", "size", "hash"]
     keyed = source.select(
         "*", F.unhex(F.sha1(F.encode("html", "utf-8"))).alias("sha"), F.octet_length("html").alias("size"),
         F.xxhash64("html").alias("hash"),
         F.concat(F.lit("<urn:x-page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(":"),
-                 F.col("place").cast("string"), F.lit(">")).alias("record_id"),
+                 *_spelled("place"), F.lit(">")).alias("record_id"),
     )
     often = (
         keyed.select("page_id", "place", *keys).where(F.col("size") >= least_bytes).groupBy(*keys)
         .agg(F.max(F.struct("page_id", "place")).alias("kept"), F.count("*").alias("n")).where("n > 1")
         .select(*keys, "kept.place", F.concat(
             F.lit("<urn:x-page:"), F.coalesce(F.col("kept.page_id").cast("string"), F.lit("null")), F.lit(":"),
-            F.col("kept.place").cast("string"), F.lit(">")).alias("refers_to"))
+            *_spelled("kept.place"), F.lit(">")).alias("refers_to"))
         .withColumnRenamed("place", "kept_place")
     )
     return keyed.join(often, keys, "left").select(
