@@ -100,3 +100,30 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "any text", "en"), (2, None, None)], DOCS)
     assert [r.predicted for r in toxicity.score(some, scorer).collect()] == [0, 0]
     assert toxicity.learn(some, spark.createDataFrame([(1, 1)], "doc_id long, toxic int")).scores(["x"])[0] > 0.5
+
+
+def test_all_labels_set_thresholds_in_their_true_mix(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_POSITIVE", 60)
+    monkeypatch.setattr(toxicity, "FIT_NEGATIVE", 100)
+    rng = np.random.default_rng(12)
+    spoken = {"en": "the of and to in that", "xx": "zu wir und nicht der das"}
+    rows, labels = [], []
+    for i in range(6000):
+        lang = "xx" if i % 4 == 0 else "en"
+        toxic = i % 10 == 0 if lang == "en" else i % 160 == 0  # few toxic labels in xx, but well over LEAST_ROWS
+        words = [str(w) for w in rng.choice(spoken[lang].split(), 20)]
+        # The word of most toxic rows is in a tenth of the clean ones, so errors cannot be avoided.
+        if rng.random() < (0.8 if toxic else 0.1):
+            words.insert(int(rng.integers(20)), f"bad{rng.integers(5)}")
+        rows.append((i, " ".join(words), lang))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, DOCS)
+    scorer = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert set(scorer.thresholds) == {"en", "xx"}
+    y = np.array([v for _, v in labels])
+    logits = scorer.logits([t for _, t, _ in rows])
+    for lang in ("en", "xx"):
+        own = np.array([r[2] == lang for r in rows])
+        errors = ((logits[own] >= scorer.thresholds[lang]) != y[own]).sum()
+        best = ((logits[own] >= toxicity.best_threshold(logits[own], y[own])) != y[own]).sum()
+        assert errors <= best + 0.02 * own.sum()

@@ -29,10 +29,12 @@ FILTERS = 8
 #: The fit takes at most so many labelled rows of either label, and only texts of at most so many characters.
 FIT_POSITIVE, FIT_NEGATIVE, FIT_CHARS = 3000, 5000, 32_768
 EPOCHS, BATCH_DOCS, RATE = 6, 32, 0.02
-#: Every fifth row of the sample sets thresholds and isn't learned from.
+#: Every fifth row of the sample isn't learned from, so that small tables have such rows for thresholds as well.
 CALIBRATION = 5
-#: A language needs so many calibration rows of either label for a threshold of its own.
+#: A language needs so many rows of either label for a threshold of its own.
 LEAST_ROWS = 8
+#: Thresholds are chosen on logits in steps of 1 / STEPS, cut off beyond FARTHEST.
+STEPS, FARTHEST = 100, 50
 _WORD = re.compile(r"\w+")
 _CACHE_WORDS = 40_000
 
@@ -272,14 +274,15 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.logits(texts) - limits, -30, 30)))
 
 
-def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Where fewest rows fall on the wrong side; of several such places amid the widest gap."""
+def best_threshold(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """Where fewest rows, or least weight, fall on the wrong side; of several such places amid the widest gap."""
     order = np.argsort(logits, kind="stable")
     x, y = logits[order], labels[order]
+    w = np.ones(len(x)) if weights is None else weights[order]
     # Cutting before row i calls rows i.. positive.
-    missed = np.concatenate([[0], np.cumsum(y == 1)])
-    wrong = np.concatenate([np.cumsum((y == 0)[::-1])[::-1], [0]])
-    cost = (missed + wrong).astype(np.float64)
+    missed = np.concatenate([[0], np.cumsum(w * (y == 1))])
+    wrong = np.concatenate([np.cumsum((w * (y == 0))[::-1])[::-1], [0]])
+    cost = np.round(missed + wrong, 6)
     edge = np.concatenate([[True], x[1:] > x[:-1], [True]])
     cost[~edge] = np.inf
     gap = np.concatenate([[0.0], x[1:] - x[:-1], [0.0]])
@@ -292,12 +295,18 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     return float((x[i - 1] + x[i]) / 2)
 
 
+def _held(labels: np.ndarray) -> np.ndarray:
+    """Which rows of the sample aren't learned from."""
+    held = np.arange(len(labels)) % CALIBRATION == 0
+    if len(labels) and (labels[held].sum() == 0 or labels[~held].sum() == 0):
+        held[:] = False
+    return held
+
+
 def fit(texts: list[str], labels: list[int], languages: list[str | None], seed: int = 7) -> Scorer:
     """A scorer from labelled texts. A text's language serves to learn profiles and to group thresholds."""
     y, n = np.asarray(labels, dtype=np.int64), len(texts)
-    held = np.arange(n) % CALIBRATION == 0
-    if n and (y[held].sum() == 0 or y[~held].sum() == 0):
-        held[:] = False
+    held = _held(y)
     net = train([t for t, h in zip(texts, held, strict=True) if not h], y[~held], seed)
     names = sorted({x for x in languages if x is not None})
     binder = Binder()
@@ -307,26 +316,48 @@ def fit(texts: list[str], labels: list[int], languages: list[str | None], seed:
         if name is not None and len(grams):
             sums[names.index(name)] += binder.bundle(grams, weights)
     scorer = Scorer(net, Profiles(names, unit_rows(sums)), {}, 0.0)
-    check = held if held.any() else np.ones(n, dtype=bool)
-    if n and 0 < y[check].sum() < check.sum():
-        known = [t for t, h in zip(texts, check, strict=True) if h]
-        logits, y = scorer.logits(known), y[check]
-        spoken = np.array([scorer.language(t) or "" for t in known])
-        scorer.threshold = best_threshold(logits, y)
-        for name in names:
-            own = spoken == name
-            if LEAST_ROWS <= y[own].sum() <= own.sum() - LEAST_ROWS:
-                scorer.thresholds[name] = best_threshold(logits[own], y[own])
+    spoken = np.array([scorer.language(t) or "" for t in texts], dtype=object)
+    set_thresholds(scorer, spoken, scorer.logits(texts) if n else np.zeros(0), y, ~held, np.ones(n))
     return scorer
 
 
+def set_thresholds(
+    scorer: Scorer, languages: np.ndarray, logits: np.ndarray, labels: np.ndarray, learned: np.ndarray, counts: np.ndarray
+) -> None:
+    """Sets the thresholds by counts of labelled rows, of each language with enough rows and of all.
+
+    Rows learned from have logits that no other row would get. So the others stand for all rows of their label
+    where they are LEAST_ROWS of either label, with the weight of all, so the mix of labels is the true one.
+    Where they are fewer, all rows are taken.
+    """
+    def total(chosen: np.ndarray) -> list[float]:
+        return [float(counts[chosen & (labels == label)].sum()) for label in (0, 1)]
+
+    def choose(own: np.ndarray) -> float:
+        every, others = total(own), total(own & ~learned)
+        if min(others) < LEAST_ROWS:
+            return best_threshold(logits[own], labels[own], counts[own])
+        share = np.array([every[0] / others[0], every[1] / others[1]])
+        own = own & ~learned
+        return best_threshold(logits[own], labels[own], counts[own] * share[labels[own]])
+
+    everyone = np.ones(len(labels), dtype=bool)
+    scorer.thresholds, scorer.threshold = {}, 0.0
+    if min(total(everyone)) > 0:
+        scorer.threshold = choose(everyone)
+    for name in scorer.profiles.languages:
+        if min(total(languages == name)) >= LEAST_ROWS:
+            scorer.thresholds[name] = choose(languages == name)
+
+
 def learn(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> Scorer:
     """A scorer fitted to documents ``(doc_id, text, lang)`` with labels ``(doc_id, toxic)``.
 
-    The fit takes a bounded sample: at most ``FIT_POSITIVE`` and ``FIT_NEGATIVE`` labelled ids, spread over
-    all of them by a hash of the id, and their texts of at most ``FIT_CHARS`` characters. Rows with a null
-    id, label or text are left out; an id labelled in both ways counts as toxic. Without labels every score
-    is the same, below one half.
+    The network takes a bounded sample: at most ``FIT_POSITIVE`` and ``FIT_NEGATIVE`` labelled ids, spread over
+    all of them by a hash of the id, and their texts of at most ``FIT_CHARS`` characters. The thresholds are
+    set on all labelled rows, scored whole, by counts in the true mix of labels. Rows with a null id, label or
+    text are left out; an id labelled in both ways counts as toxic. Without labels every score is the same,
+    below one half.
     """
     one = labelled.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(seed))
@@ -338,7 +369,37 @@ def learn(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> Scorer:
         texts.join(F.broadcast(sample), "doc_id")  # at most FIT_POSITIVE + FIT_NEGATIVE rows
         .orderBy(order, "text", "lang").limit(FIT_POSITIVE + FIT_NEGATIVE).collect()
     )
-    return fit([r.text for r in rows], [r.toxic for r in rows], [r.lang for r in rows], seed)
+    scorer = fit([r.text for r in rows], [r.toxic for r in rows], [r.lang for r in rows], seed)
+    held = _held(np.array([r.toxic for r in rows], dtype=np.int64))
+    learned = {r.doc_id for r, h in zip(rows, held, strict=True) if not h}
+    found = _label_counts(docs, one, scorer, learned).collect()  # bounded by languages and steps
+    if found:
+        language, step, toxic, seen, n = (np.array(x, dtype=object) for x in zip(*found, strict=True))
+        set_thresholds(
+            scorer, language, step.astype(np.float64) / STEPS, toxic.astype(np.int64), seen.astype(bool), n.astype(np.float64)
+        )
+    return scorer
+
+
+def _label_counts(docs: DataFrame, labels: DataFrame, scorer: Scorer, learned: set) -> DataFrame:
+    """``language, step, toxic, learned, n``: counts of labelled rows by recognised language and rounded logit."""
+    source = docs.select("doc_id", "text").where("text is not null").join(labels, "doc_id").select("doc_id", "toxic", "text")
+    shared = docs.sparkSession.sparkContext.broadcast((scorer, learned))
+
+    def look(batches):
+        own, known = shared.value
+        for rows in batches:
+            texts = rows.column(2).to_pylist()
+            steps = np.rint(np.clip(own.logits(texts), -FARTHEST, FARTHEST) * STEPS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([own.language(text) or "" for text in texts], pa.string()), pa.array(steps), rows.column(1),
+                 pa.array([x in known for x in rows.column(0).to_pylist()], pa.bool_())],
+                ["language", "step", "toxic", "learned"],
+            )
+
+    kind = dict(source.dtypes)["toxic"]
+    found = in_small_batches(source).mapInArrow(look, f"language string, step int, toxic {kind}, learned boolean")
+    return found.groupBy("language", "step", "toxic", "learned").agg(F.count("*").alias("n"))
 
 
 def score(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
