@@ -26,6 +26,8 @@ def query(name: str, sql: str | None = None):
 def load_queries() -> tuple[dict, dict[str, str]]:
     import corpus_pipeline
 
+    from wattlake.llm import audit_queries  # noqa: F401  registers its queries here
+
     sql = EQUIVALENT_SQL | ({} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL})
     return QUERIES | {"pipeline": corpus_pipeline.run}, sql
 
