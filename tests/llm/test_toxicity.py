@@ -2,6 +2,7 @@ import pickle
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wattlake.llm import toxicity
@@ -127,3 +128,20 @@ def test_all_labels_set_thresholds_in_their_true_mix(spark, monkeypatch):
         errors = ((logits[own] >= scorer.thresholds[lang]) != y[own]).sum()
         best = ((logits[own] >= toxicity.best_threshold(logits[own], y[own])) != y[own]).sum()
         assert errors <= best + 0.02 * own.sum()
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_no_text_is_shuffled_whatever_the_number_of_labels(spark, limit):
+    """The same scores with labels broadcast and shuffled, and as from scoring with the learned scorer."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        scorer, logits = toxicity._learned(docs, labels, 7)
+        assert "text" not in toxicity._label_counts(logits, labels, [])._jdf.queryExecution().optimizedPlan().toString()
+        once = {r.doc_id: r.score for r in toxicity.classify(docs, labels).collect()}
+        again = {r.doc_id: r.score for r in toxicity.score(docs, scorer).collect()}
+        assert once.keys() == again.keys() and all(abs(once[i] - again[i]) < 1e-6 for i in once)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

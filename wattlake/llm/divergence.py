@@ -13,6 +13,7 @@ Then shares are compared block by block of slots, all sources of a language side
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import groupby
 
 import numpy as np
@@ -154,12 +155,10 @@ class PerfectHash:
 def kept_terms(docs: DataFrame, least: int) -> DataFrame:
     """``lang, term, hash``: the terms in at least ``least`` documents of the language, counted exactly."""
     def count(batches):
-        held: dict[str, dict[bytes, int]] = {}
+        held: dict[str, Counter] = {}
         for rows in batches:
             for lang, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                own = held.setdefault(lang, {})
-                for term in set().union(*term_blocks(text)):
-                    own[term] = own.get(term, 0) + 1
+                held.setdefault(lang, Counter()).update(set().union(*term_blocks(text)))
             if sum(map(len, held.values())) > HELD_TERMS:
                 yield from counted(held)
                 held = {}
@@ -178,11 +177,17 @@ def kept_terms(docs: DataFrame, least: int) -> DataFrame:
     return kept.select("lang", "term", F.xxhash64("term").alias("hash"))
 
 
-def _shards(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``lang, shard, n, bytes`` and the parts of each shard's perfect hash; and V by language."""
-    sizes = materialise(kept.groupBy("lang").agg(F.count("*").alias("v")))
-    shards = F.greatest(F.lit(1), F.ceil(F.col("v") * 1.1 / SHARD)).cast("long")
-    dealt = kept.join(sizes, "lang").select("lang", F.pmod(F.shiftrightunsigned("hash", 24), shards).alias("shard"), "term")
+def _sizes(kept: DataFrame) -> DataFrame:
+    """``lang, v, shards``: the kept terms of each language and over how many shards they are dealt."""
+    rows = kept.groupBy("lang").agg(F.count("*").alias("v")).collect()  # a number for each language
+    found = [{"lang": r.lang, "v": r.v, "shards": max(1, -(-r.v * 11 // (10 * SHARD)))} for r in rows]
+    return small_table(kept.sparkSession, found, "lang string, v bigint, shards bigint")
+
+
+def _shards(kept: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``lang, shard, n`` and the parts of each shard's perfect hash."""
+    shard = F.pmod(F.shiftrightunsigned("hash", 24), F.col("shards")).alias("shard")
+    dealt = kept.join(F.broadcast(sizes), "lang").select("lang", shard, "term")
 
     def build(table):
         own = PerfectHash(table["term"].to_pylist())
@@ -195,7 +200,7 @@ def _shards(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
     path = scratch_path(kept.sparkSession, "divergence")
     columns = "lang string, shard bigint, n bigint, bits binary, words binary, terms binary, width binary, rest binary"
     dealt.groupBy("lang", "shard").applyInArrow(build, columns).write.parquet(path)
-    return kept.sparkSession.read.parquet(path), sizes
+    return kept.sparkSession.read.parquet(path)
 
 
 def _rounds(shards: DataFrame) -> list[list[tuple[str, int, int]]]:
@@ -214,7 +219,7 @@ def _rounds(shards: DataFrame) -> list[list[tuple[str, int, int]]]:
     return turns
 
 
-def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]]) -> DataFrame:
+def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]], number: dict[str, int]) -> DataFrame:
     """``lang, source, slot, n`` of the terms in the turn's shards, summed by task."""
     spark = docs.sparkSession
     wanted = small_table(spark, [{"lang": x, "shard": s} for x, s, _ in turn], "lang string, shard bigint")
@@ -222,9 +227,7 @@ def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]
     tables: dict[str, dict] = {}
     for lang, shard, base in turn:
         tables.setdefault(lang, {})[shard] = (base, rows[lang, shard].asDict())
-    totals = dict(shards.groupBy("lang").agg(F.max("shard") + 1).collect())
-    counts = {r.lang: r.shards for r in shards.select("lang", "shards").distinct().collect()} if "shards" in shards.columns else totals
-    shared = spark.sparkContext.broadcast((tables, counts))  # at most BUDGET, and a number for each language
+    shared = spark.sparkContext.broadcast((tables, number))  # at most BUDGET, and a number for each language
 
     def count(batches):
         parts, number = shared.value
@@ -232,29 +235,39 @@ def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]
         first = {lang: min(base for base, _ in own.values()) for lang, own in hashes.items()}
         span = {lang: max(base + len(p.width) for base, p in own.values()) - first[lang] for lang, own in hashes.items()}
         dense: dict[tuple[str, str], np.ndarray] = {}
+        memo: dict[str, dict[bytes, int]] = {lang: {} for lang in hashes}  # slots of terms seen before
+
+        def learn(lang: str, terms: list[bytes]) -> None:
+            hashed, found = term_hashes(terms), np.full(len(terms), -1, dtype=np.int64)
+            shard = (hashed >> np.uint64(24)) % np.uint64(number[lang])
+            for s, (base, perfect) in hashes[lang].items():
+                some = np.flatnonzero(shard == s)
+                slots = perfect.look_up([terms[i] for i in some.tolist()], hashed[some])
+                found[some] = np.where(slots >= 0, slots + (base - first[lang]), -1)
+            memo[lang].update(zip(terms, found.tolist(), strict=True))
+
         for rows in batches:
-            tally: dict[tuple[str, str], dict[bytes, int]] = {}
+            groups: dict[tuple[str, str], list[bytes]] = {}
             for lang, source, text in zip(*(x.to_pylist() for x in rows.columns), strict=True):
                 if lang in hashes:
-                    own = tally.setdefault((lang, source), {})
-                    for terms in term_blocks(text):
-                        for term in terms:
-                            own[term] = own.get(term, 0) + 1
-            for group, own in tally.items():
+                    groups.setdefault((lang, source), []).append(text)
+            for group, texts in groups.items():
                 lang = group[0]
                 if group not in dense:
                     if sum(map(len, dense.values())) + span[lang] > HELD_SLOTS and dense:
                         yield from told(dense, first)
                         dense = {}
                     dense[group] = np.zeros(span[lang], dtype=np.int64)
-                terms, n = list(own), np.fromiter(own.values(), np.int64, len(own))
-                hashed = term_hashes(terms)
-                shard = (hashed >> np.uint64(24)) % np.uint64(number[lang])
-                for s, (base, perfect) in hashes[lang].items():
-                    some = np.flatnonzero(shard == s)
-                    slots = perfect.look_up([terms[i] for i in some.tolist()], hashed[some])
-                    here = slots >= 0
-                    dense[group][slots[here] + (base - first[lang])] += n[some[here]]  # slots of distinct terms differ
+                for terms in term_blocks(b" ".join(texts)):
+                    distinct = set(terms)
+                    new = distinct.difference(memo[lang])
+                    if new:
+                        if len(memo[lang]) + len(new) > HELD_TERMS:
+                            memo[lang].clear()
+                            new = distinct
+                        learn(lang, list(new))
+                    slots = np.fromiter(map(memo[lang].__getitem__, terms), np.int64, len(terms))
+                    np.add.at(dense[group], slots[slots >= 0], 1)
         yield from told(dense, first)
 
     def told(dense, first):
@@ -334,6 +347,7 @@ def divergence(docs: DataFrame, least: int = 3, most: int = 200) -> DataFrame:
     ``most`` terms of the group whose share is above the language's, by floor((p - q)^2 / q) with the language's q.
     Ranks start at 1 by falling value, then by the item's UTF-8 bytes.
 
+    Of each language the number of its terms and a line for each 32,768 of them reach the driver.
     Null text, lang and source count as empty text. Rows may repeat; each is a document. Groups without terms
     take part in pairs. Other columns are not looked at. The pairs of sources are the result, so its size and
     the work grow with the square of a language's sources; every other step grows with the texts.
@@ -343,16 +357,17 @@ def divergence(docs: DataFrame, least: int = 3, most: int = 200) -> DataFrame:
     own = docs.select(*(F.coalesce(F.col(x), F.lit("")).alias(x) for x in ("lang", "source")), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     groups = materialise(own.select("lang", "source").distinct())
     kept = materialise(kept_terms(in_small_batches(own), least))
-    shards, sizes = _shards(kept)
-    shards = shards.join(sizes.select("lang", F.greatest(F.lit(1), F.ceil(F.col("v") * 1.1 / SHARD)).cast("long").alias("shards")), "lang")
+    sizes = _sizes(kept)
+    shards = _shards(kept, sizes)
+    number = {r.lang: r.shards for r in sizes.collect()}
     turns = _rounds(shards)
     parts = spark.createDataFrame([], "lang string, source string, slot bigint, n bigint")
     for turn in turns:
-        parts = parts.union(_recount(in_small_batches(own), shards, turn))
+        parts = parts.union(_recount(in_small_batches(own), shards, turn, number))
     counts = materialise(parts.groupBy("lang", "source", "slot").agg(F.sum("n").alias("n")))
     totals = materialise(
         groups.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("n")), ["lang", "source"], "left")
-        .join(sizes, "lang", "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("kept"))
+        .join(F.broadcast(sizes), "lang", "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("kept"))
     )
     kind = lambda k: F.lit(k).alias("kind")
     block = F.floor(F.col("slot") / BLOCK).cast("long").alias("block")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.common import blocks_at_space, in_small_batches
 from wattlake.llm.language import Binder, Profiles, document_weights, ngrams, unit_rows
+from wattlake.session import materialise, small_table
 
 BUCKETS = 1 << 16
 PREFIXES = (3, 4, 5, 6, 7)
@@ -357,8 +358,13 @@ def learn(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> Scorer:
     all of them by a hash of the id, and their texts of at most ``FIT_CHARS`` characters. The thresholds are
     set on all labelled rows, scored whole, by counts in the true mix of labels. Rows with a null id, label or
     text are left out; an id labelled in both ways counts as toxic. Without labels every score is the same,
-    below one half.
+    below one half. Every document is scored once, and only ids, languages and logits meet the labels.
     """
+    return _learned(docs, labelled, seed)[0]
+
+
+def _learned(docs: DataFrame, labelled: DataFrame, seed: int) -> tuple[Scorer, DataFrame]:
+    """The scorer and the logits of all documents."""
     one = labelled.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(seed))
     sample = one.where("toxic = 1").orderBy(order).limit(FIT_POSITIVE).union(
@@ -371,35 +377,56 @@ def learn(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> Scorer:
     )
     scorer = fit([r.text for r in rows], [r.toxic for r in rows], [r.lang for r in rows], seed)
     held = _held(np.array([r.toxic for r in rows], dtype=np.int64))
-    learned = {r.doc_id for r, h in zip(rows, held, strict=True) if not h}
-    found = _label_counts(docs, one, scorer, learned).collect()  # bounded by languages and steps
+    learned = sorted({r.doc_id for r, h in zip(rows, held, strict=True) if not h})
+    logits = _logits(docs, scorer)
+    found = _label_counts(logits, one, learned).collect()  # bounded by languages and steps
     if found:
         language, step, toxic, seen, n = (np.array(x, dtype=object) for x in zip(*found, strict=True))
         set_thresholds(
             scorer, language, step.astype(np.float64) / STEPS, toxic.astype(np.int64), seen.astype(bool), n.astype(np.float64)
         )
-    return scorer
+    return scorer, logits
 
 
-def _label_counts(docs: DataFrame, labels: DataFrame, scorer: Scorer, learned: set) -> DataFrame:
-    """``language, step, toxic, learned, n``: counts of labelled rows by recognised language and rounded logit."""
-    source = docs.select("doc_id", "text").where("text is not null").join(labels, "doc_id").select("doc_id", "toxic", "text")
-    shared = docs.sparkSession.sparkContext.broadcast((scorer, learned))
+def _logits(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """``doc_id, language, logit, given`` of every document, computed once; no text is carried further."""
+    source = docs.select("doc_id", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # of a fixed size
 
     def look(batches):
-        own, known = shared.value
+        own = shared.value
         for rows in batches:
-            texts = rows.column(2).to_pylist()
-            steps = np.rint(np.clip(own.logits(texts), -FARTHEST, FARTHEST) * STEPS).astype(np.int32)
+            texts = rows.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([own.language(text) or "" for text in texts], pa.string()), pa.array(steps), rows.column(1),
-                 pa.array([x in known for x in rows.column(0).to_pylist()], pa.bool_())],
-                ["language", "step", "toxic", "learned"],
+                [rows.column(0), pa.array([own.language(text) or "" for text in texts], pa.string()),
+                 pa.array(own.logits(texts), pa.float64()), rows.column(1).is_valid()],
+                ["doc_id", "language", "logit", "given"],
             )
 
-    kind = dict(source.dtypes)["toxic"]
-    found = in_small_batches(source).mapInArrow(look, f"language string, step int, toxic {kind}, learned boolean")
-    return found.groupBy("language", "step", "toxic", "learned").agg(F.count("*").alias("n"))
+    kind = dict(source.dtypes)["doc_id"]
+    return materialise(in_small_batches(source).mapInArrow(look, f"doc_id {kind}, language string, logit double, given boolean"))
+
+
+def _label_counts(logits: DataFrame, labels: DataFrame, learned: list) -> DataFrame:
+    """``language, step, toxic, learned, n``: counts of labelled rows by recognised language and rounded logit."""
+    kind = dict(logits.dtypes)["doc_id"]
+    known = logits.sparkSession.createDataFrame([(x,) for x in learned], f"doc_id {kind}").withColumn("learned", F.lit(True))
+    step = F.rint(F.least(F.greatest("logit", F.lit(-FARTHEST)), F.lit(FARTHEST)) * STEPS).cast("int").alias("step")
+    rows = logits.where("given").join(labels, "doc_id").join(F.broadcast(known), "doc_id", "left")  # at most the sample
+    seen = F.coalesce("learned", F.lit(False)).alias("learned")
+    return rows.select("language", step, "toxic", seen).groupBy("language", "step", "toxic", "learned").agg(F.count("*").alias("n"))
+
+
+def classify(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> DataFrame:
+    """``doc_id, score, predicted`` for every row of ``docs`` by what ``learn`` learns; each text is scored once."""
+    scorer, logits = _learned(docs, labelled, seed)
+    limits = small_table(
+        docs.sparkSession, [{"language": x, "own": y} for x, y in scorer.thresholds.items()], "language string, own double"
+    )
+    far = F.col("logit") - F.coalesce("own", F.lit(float(scorer.threshold)))
+    value = 1 / (1 + F.exp(-F.least(F.greatest(far, F.lit(-30.0)), F.lit(30.0))))
+    found = logits.join(F.broadcast(limits), "language", "left").select("doc_id", value.alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def score(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
