@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 
 from wattlake.operators import asof_join
-from wattlake.operators.asof import _bucket_plan, _present
+from wattlake.operators.asof import _bucket_plan, _measured, _present, _wide_plan
 
 T0 = datetime(2024, 1, 1)
 
@@ -45,7 +45,7 @@ def sample(seed):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("exact", [True, False])
-@pytest.mark.parametrize("strategy, limit", [("broadcast", 10**6), ("sorted", 10**6), ("sorted", 25)])
+@pytest.mark.parametrize("strategy, limit", [("broadcast", 10**6), ("bucketed", 10**6), ("sorted", 10**6), ("sorted", 25)])
 def test_equals_brute_force(spark, how, exact, strategy, limit):
     left, right = sample(7)
     l, r = frames(spark, left, right)
@@ -67,14 +67,14 @@ def test_focus_does_not_change_the_result(spark, focus, exact):
 
 def test_match_with_null_payload_is_a_match(spark):
     l, r = frames(spark, [("a", T0, 1)], [("a", T0 - timedelta(hours=2), 4), ("a", T0 - timedelta(hours=1), None)])
-    for strategy in ("broadcast", "sorted"):
+    for strategy in ("broadcast", "bucketed", "sorted"):
         (row,) = asof_join(l, r, ["k"], "ts", "since", "inner", strategy=strategy).collect()
         assert row.v is None and row.since == T0 - timedelta(hours=1)
 
 
 def test_duplicate_right_rows_do_not_multiply(spark):
     l, r = frames(spark, [("a", T0, 1)], [("a", T0, v) for v in (1, 3, 2)])
-    for strategy in ("broadcast", "sorted"):
+    for strategy in ("broadcast", "bucketed", "sorted"):
         (row,) = asof_join(l, r, ["k"], "ts", "since", strategy=strategy).collect()
         assert row.v == 3
 
@@ -113,7 +113,30 @@ def test_many_rows_at_one_key_and_time_meet_the_sorted_pass_as_one(spark):
 def test_crowded_buckets_are_not_broadcast(spark):
     crowd = [("a", T0 + timedelta(milliseconds=i), i) for i in range(1500)]
     _, r = frames(spark, [], crowd)
-    assert _bucket_plan(_present(r, ["k"], "since"), ["k"], "since", 2**26) is None
+    seen = _measured(_present(r, ["k"], "since"), ["k"], "since")
+    assert (seen.rows, seen.keys, seen.largest, seen.fullest) == (1500, 1, 1500, 1500)
+    assert _bucket_plan(seen, 2**26) is None and _wide_plan(seen) is None
+    l, r = frames(spark, [("a", T0 + timedelta(seconds=1), 1)], crowd)
+    assert asof_join(l, r, ["k"], "ts", "since").first().v == 1000
+    with pytest.raises(ValueError, match="crowd"):
+        asof_join(l, r, ["k"], "ts", "since", strategy="bucketed")
+
+
+def test_a_large_right_side_costs_one_shuffle_of_the_left(spark, tmp_path):
+    """One key has nearly all left rows; each side is dealt by key and bucket, the left one once and whole."""
+    rng = random.Random(3)
+    moment = lambda: T0 + timedelta(minutes=rng.randrange(60 * 24 * 90))
+    left = [("hot" if i % 50 else "a", moment(), i) for i in range(4000)]
+    right = [(k, moment(), i) for i, k in enumerate(["hot", "a", "b", "c"] * 60)]
+    for name, frame in zip(("left", "right"), frames(spark, left, right), strict=True):
+        frame.write.parquet(str(tmp_path / name))
+    l, r = (spark.read.parquet(str(tmp_path / name)) for name in ("left", "right"))
+    joined = asof_join(l, r, ["k"], "ts", "since", "left", strategy="bucketed")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 3 and sum("_k_k" in line or "REPARTITION" in line for line in shuffles) == 2
+    assert plan.count("Window") == 1 and plan.count("FileScan") == 2 and "Broadcast" not in plan
+    assert rows(joined) == brute_force(left, right, "left", True)
 
 
 def test_bad_arguments(spark):

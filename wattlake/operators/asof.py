@@ -1,12 +1,17 @@
 """As-of join: each left row meets the latest right row of its key at or before its time.
 
-Two plans, chosen by measuring the right side:
+Three plans, chosen by measuring the right side:
 
 ``broadcast``  The right side is small. Each right row becomes the interval until
                its successor, cut into time buckets, and is broadcast; a left row
                looks up (key, bucket) and only tests the few intervals in there.
                The left side, usually the fact table, is not shuffled at all.
-``sorted``     The distinct keys and times of both sides go through one shuffle by key and
+``bucketed``   The same intervals and buckets for a right side of any size: both sides are
+               shuffled once by (key, bucket), each bucket holds one interval carried into
+               it and those that begin there. Buckets are as wide as keeps these entries
+               within a small multiple of the right rows, and adaptive execution splits a
+               bucket that many left rows fall into, as in any join.
+``sorted``     Where right rows crowd so that no width does. The distinct keys and times of both sides go through one shuffle by key and
                one sort by time, and a running "last right row" is read off and joined
                back by key and time. Keys with very many times are walked in slices, each
                given the right row in force at its start. There is no bound on either side.
@@ -20,7 +25,7 @@ from collections.abc import Sequence
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions import epoch_hours
@@ -38,6 +43,9 @@ _BROADCAST_ROWS = 100_000
 #: Most intervals a left row may have to test within one bucket.
 _CROWDED = 1_000
 
+#: Entries of the bucketed plan for each right row; half of them on average are carried ones.
+_ENTRIES = 4
+
 _EPOCH = date(1970, 1, 1)
 
 _PAYLOAD = "_right"
@@ -70,7 +78,7 @@ def asof_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    if strategy not in ("auto", "broadcast", "sorted"):
+    if strategy not in ("auto", "broadcast", "bucketed", "sorted"):
         raise ValueError(f"unknown strategy {strategy!r}")
     on = list(on)
     extra = [c for c in right.columns if c not in on]
@@ -79,14 +87,20 @@ def asof_join(
         raise ValueError(f"columns on both sides: {clash}")
 
     right = _present(right, on, right_time)
-    plan = None
+    plan, small = None, True
     if strategy != "sorted":
         # Decided from aggregates of the whole right side, whose own size is fixed.
-        plan = _bucket_plan(right, on, right_time, broadcast_bytes, focus)
+        seen = _measured(right, on, right_time)
+        if strategy != "bucketed":
+            plan = _bucket_plan(seen, broadcast_bytes, focus)
         if plan is None and strategy == "broadcast":
             raise ValueError("the right side is too large to broadcast")
+        if plan is None and (seen.largest or 0) <= max_group_rows:
+            plan, small = _wide_plan(seen), False
+        if plan is None and strategy == "bucketed":
+            raise ValueError("right rows crowd: no width of buckets keeps them few")
     if plan is not None:
-        joined = _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan)
+        joined = _by_buckets(left, right, on, left_time, right_time, how, allow_exact, plan, small)
     else:
         joined = _by_sort(left, right, on, left_time, right_time, how, allow_exact, max_group_rows)
     return joined.select(*left.columns, *(F.col(_PAYLOAD)[c].alias(c) for c in extra))
@@ -103,24 +117,44 @@ def _present(right: DataFrame, on: list[str], time: str) -> DataFrame:
     return right.filter(given).select(*on, time, payload.alias(_PAYLOAD))
 
 
-def _bucket_plan(
-    right: DataFrame, on: list[str], time: str, budget: int, focus: tuple[date, date] | None = None
-) -> tuple[int, int, int] | None:
-    """The narrowest bucket with which the right side is certain to fit ``budget`` bytes
-    and no bucket is crowded, and the first and last hour to cut into buckets.
-
-    One small aggregate: rows, keys, covered hours, rows in the fullest hour of a
-    key and the widest row as text.
-    """
+def _measured(right: DataFrame, on: list[str], time: str) -> Row:
+    """Rows, keys, covered hours, rows of the largest key, rows in a key's fullest hour, and the widest row
+    as text; one job, whose groups are combined before each shuffle."""
     per_hour = right.groupBy(
         *on, epoch_hours(F.col(time), right.schema[time].dataType).alias("_hour")
     ).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.octet_length(F.to_json(F.struct(time, _PAYLOAD)))).alias("_width"),
     )
-    rows, keys, first, last, fullest, widest = per_hour.agg(
-        F.sum("_n"), F.count_distinct(*on), F.min("_hour"), F.max("_hour"), F.max("_n"), F.max("_width")
+    per_key = per_hour.groupBy(*on).agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_fullest"), F.min("_hour").alias("_first"),
+        F.max("_hour").alias("_last"), F.max("_width").alias("_width"),
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys"), F.min("_first").alias("first"),
+        F.max("_last").alias("last"), F.max("_n").alias("largest"), F.max("_fullest").alias("fullest"),
+        F.max("_width").alias("widest"),
     ).first()
+
+
+def _wide_plan(seen: Row) -> tuple[int, int, int] | None:
+    """The narrowest bucket with which the intervals make few entries and no bucket is crowded."""
+    if not seen.rows:
+        return _WIDTHS[0], 0, 0
+    for width in _WIDTHS:
+        buckets = (seen.last - seen.first) // width + 4
+        if seen.keys * buckets <= (_ENTRIES - 1) * max(seen.rows, _BROADCAST_ROWS) and seen.fullest * width <= _CROWDED:
+            return width, seen.first, seen.last
+    return None
+
+
+def _bucket_plan(
+    seen: Row, budget: int, focus: tuple[date, date] | None = None
+) -> tuple[int, int, int] | None:
+    """The narrowest bucket with which the right side is certain to fit ``budget`` bytes
+    and no bucket is crowded, and the first and last hour to cut into buckets.
+    """
+    rows, keys, first, last, fullest, widest = seen.rows, seen.keys, seen.first, seen.last, seen.fullest, seen.widest
     if not rows:
         return _WIDTHS[0], 0, 0
     if rows > _BROADCAST_ROWS:
@@ -138,7 +172,7 @@ def _bucket_plan(
     return None
 
 
-def _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan):
+def _by_buckets(left, right, on, left_time, right_time, how, allow_exact, plan, small):
     width, first_hour, last_hour = plan
     # One bucket before and one after take everything outside the hours cut up.
     before = F.lit(first_hour // width - 1).cast("long")
@@ -152,9 +186,10 @@ def _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan
     time_type = right.schema[right_time].dataType
     successor = Window.partitionBy(*on).orderBy(right_time)
     until_bucket = F.when(F.col("_until").isNull(), after).otherwise(bucket("_until", time_type))
+    # Known to be small, all is in one partition and needs no shuffles; else one shuffle by key serves both steps.
+    together = right.coalesce(1) if small else right.repartition(*on)
     intervals = (
-        # Known to be small: in one partition the steps below need no shuffles.
-        right.coalesce(1).groupBy(*on, right_time).agg(F.max(_PAYLOAD).alias(_PAYLOAD))
+        together.groupBy(*on, right_time).agg(F.max(_PAYLOAD).alias(_PAYLOAD))
         .withColumn("_until", F.lead(right_time).over(successor))
         .withColumn(
             "_b",
@@ -172,7 +207,8 @@ def _by_broadcast(left, right, on, left_time, right_time, how, allow_exact, plan
         in_force = (now > F.col("_since")) & (F.col("_until").isNull() | (now <= F.col("_until")))
     here = bucket(left_time, left.schema[left_time].dataType)
     same_key = reduce(Column.__and__, (F.col(k) == F.col(f"_k_{k}") for k in on))
-    return left.join(F.broadcast(intervals), same_key & (here == F.col("_b")) & in_force, how)
+    met = F.broadcast(intervals) if small else intervals.hint("merge")
+    return left.join(met, same_key & (here == F.col("_b")) & in_force, how)
 
 
 def _by_sort(left, right, on, left_time, right_time, how, allow_exact, max_group_rows):

@@ -323,7 +323,7 @@ def _asof_large_right(spark, folder):
         F.sum(cents(F.col("o_totalprice"))).alias("spent_cents")
     )
     return asof_join(
-        lines, spent, ["o_custkey"], "l_shipdate", "last_order", "left", strategy="sorted"
+        lines, spent, ["o_custkey"], "l_shipdate", "last_order", "left", strategy="bucketed"
     ).drop("o_custkey")
 
 
