@@ -66,12 +66,19 @@ def test_one_of_each_group_of_near_copies_stays(stages):
                 if i < j:
                     shared[i, j] = shared.get((i, j), 0) + 1
     alike = {p: n / (len(sets[p[0]]) + len(sets[p[1]]) - n) for p, n in shared.items()}
+    root = {i: i for i in docs}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
     near = [p for p, a in alike.items() if a >= 0.8]
     assert len(near) > 50
-    both = [p for p in near if set(p) <= kept]
-    assert len(both) <= 0.02 * len(near)
-    akin = {i for p, a in alike.items() if a >= 0.6 for i in p}
-    assert set(docs) - kept <= akin
+    for i, j in near:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    assert kept == {i for i in docs if find(i) == i}
 
 
 def test_packing_gets_what_is_kept(spark, stages):

@@ -201,3 +201,60 @@ def test_rows_stay_the_same_however_files_are_split_later(spark, tmp_path):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_parities_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(4)
+    kept = ruled_out = 0
+    for _ in range(600):
+        n = int(rng.integers(1, 900))
+        own = rng.integers(0, 2**63, n, dtype=np.uint64)
+        other = np.concatenate([own[: int(n * rng.uniform(0.6, 1))], rng.integers(0, 2**63, int(n * rng.uniform(0, 0.4)), dtype=np.uint64)])
+        a, b = np.unique(own), np.unique(other)
+        if not len(b):
+            continue
+        near = len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+        may = simhash.may_be_similar([simhash.parity_bits(a), simhash.parity_bits(b)], np.array([len(a), len(b)]), np.array([0]), np.array([1]), 0.8)[0]
+        assert may or not near
+        kept, ruled_out = kept + bool(near), ruled_out + (not may)
+    assert kept > 50 and ruled_out > 100
+    own = rng.integers(0, 2**63, 500, dtype=np.uint64)
+    wide = simhash.parity_bits(own)
+    half = simhash._folded(wide, len(wide) // 2)
+    odd = np.bincount((own & np.uint64(len(wide) * 4 - 1)).astype(int), minlength=len(wide) * 4) & 1
+    assert (np.unpackbits(half.view(np.uint8), bitorder="little") == odd).all()
+
+
+def stock(rng, n, paragraphs):
+    """Documents of ten of forty stock paragraphs, none a near copy of another."""
+    return [" ".join(paragraphs[i] for i in rng.permutation(40)[:10]) for _ in range(n)]
+
+
+def test_shared_stock_text_and_hot_tokens_equal_brute_force_and_few_pairs_are_verified(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(3000)]
+    paragraphs = [" ".join(str(x) for x in rng.choice(words, 40)) for _ in range(40)]
+    verified = []
+    real = simhash._verified
+
+    def counted(texts_of, pairs, *rest):
+        verified.append(pairs.count())
+        return real(texts_of, pairs, *rest)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    monkeypatch.setattr(simhash, "BLOCK", 32)  # tokens that many have are cut into chunks
+    texts = stock(rng, 150, paragraphs)
+    # A chain of copies, each near its neighbours only, and copies of stock documents.
+    chain = [str(x) for x in rng.choice(words, 200)]
+    for step in range(12):
+        texts.append(" ".join(chain[: 200 - 0] if step == 0 else chain))
+        chain = chain[8:] + [f"c{step}x{k}" for k in range(8)]
+    texts += [t + " and one more word" for t in texts[:20]]
+    expected, _ = brute_force_kept(texts)
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    assert sorted(r.doc_id for r in simhash.keep_one(spark.read.parquet(path)).collect()) == expected
+    assert sum(verified) < 4 * len(texts)
+    # Rows that are not read from files get places of their own.
+    given = spark.createDataFrame(list(enumerate(texts[:40] + texts[:5])), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(given).collect()) == list(range(40))

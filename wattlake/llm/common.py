@@ -32,6 +32,12 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of this run below the shared folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text modulo ``folds``; null for a null id."""
     return F.crc32(doc_id.cast("string")) % folds

@@ -13,17 +13,19 @@ compared on its own. Where links are dense, an anchor hands on only what connect
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from wattlake.llm.common import blocks_at_space, in_small_batches
+from wattlake.llm.common import blocks_at_space, in_small_batches, remove
 from wattlake.llm.components import connected_components, least_of_component, spanning_links
 from wattlake.session import materialise, scratch_path
 
@@ -38,6 +40,8 @@ GENERATOR = 0b1100_0111_0101
 CHUNK = 20_000
 #: For keep_one: documents of the sample that tells common shingles, how often one is in it at least, and how many count.
 ORDER_DOCS, ORDER_LEAST, ORDER_SHINGLES = 4_000, 3, 50_000
+#: Members of a token that are compared in one block.
+BLOCK = 2048
 _PAIRS = 1 << 20
 _NONE = np.zeros(0, dtype=np.uint64)
 
@@ -277,13 +281,50 @@ def prefix_length(n: int, similarity: float) -> int:
     return n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
 
 
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """A bit for each value of the hashes' low bits: whether an odd number of shingles has it; about two bits a shingle.
+
+    Every shingle that only one of two sets has turns one bit over, so the bits in which two sets differ are
+    at most the shingles in which they differ. Halves of a longer one, turned into one by exclusive or, are
+    what half as many bits would have been.
+    """
+    width = max(64, 1 << int(2 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def may_be_similar(bits: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs (i, j) can have the Jaccard similarity; never false for those that have it."""
+    wide = np.array([len(x) for x in bits], dtype=np.int64)
+    least = np.minimum(wide[i], wide[j])
+    out = np.zeros(len(i), dtype=bool)
+    for width in np.unique(least).tolist():
+        some = np.flatnonzero(least == width)
+        members, at = np.unique(np.concatenate([i[some], j[some]]), return_inverse=True)
+        table = np.stack([_folded(bits[k], width) for k in members.tolist()])
+        for start in range(0, len(some), _PAIRS >> 4):
+            part = slice(start, start + (_PAIRS >> 4))
+            x, y = at[:len(some)][part], at[len(some):][part]
+            far = np.bitwise_count(table[x] ^ table[y]).sum(axis=1, dtype=np.int64)
+            both = sizes[i[some][part]] + sizes[j[some][part]]
+            out[some[part]] = far * (1 + similarity) <= (1 - similarity) * both + 1e-6
+    return out
+
+
+def _folded(bits: bytes, width: int) -> np.ndarray:
+    words = np.frombuffer(bits, dtype="<u8")
+    while len(words) * 8 > width:
+        words = words[:len(words) // 2] ^ words[len(words) // 2:]
+    return words
+
+
 def describe(
     text: str | None, size: int, similarity: float = 0.8, common: np.ndarray = _NONE, rank: np.ndarray = _NONE
-) -> tuple[bytes, int, list[int]]:
-    """A 128-bit name of the text's set of shingles, their number, and the first of them in the order of ``rarest``."""
+) -> tuple[bytes, int, list[int], bytes]:
+    """A 128-bit name of the text's set of shingles, their number, the first of them in the order of ``rarest``, parities."""
     found = shingle_set(text, size)
     first = rarest(found, prefix_length(len(found), similarity), common, rank)
-    return xxhash.xxh3_128_digest(found.tobytes()), len(found), first.view(np.int64).tolist()
+    return xxhash.xxh3_128_digest(found.tobytes()), len(found), first.view(np.int64).tolist(), parity_bits(found)
 
 
 def _common_shingles(texts: DataFrame, size: int, seed: Column) -> tuple[np.ndarray, np.ndarray]:
@@ -305,74 +346,141 @@ def _common_shingles(texts: DataFrame, size: int, seed: Column) -> tuple[np.ndar
     return hashes[order], order
 
 
-def _filed(df: DataFrame) -> DataFrame:
-    """``df`` computed once, as compressed files in the shared folder."""
-    path = scratch_path(df.sparkSession, "near_duplicates")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class _Scratch:
+    """Tables computed once, as compressed files in the shared folder; removed when they are no longer read."""
 
+    def __init__(self, spark) -> None:
+        self.spark, self.paths = spark, []
 
-def similar_links(docs: DataFrame, shared: DataFrame, size: int, similarity: float) -> DataFrame:
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "near_duplicates")
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+        self.paths.clear()
+
+
+def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, similarity: float) -> DataFrame:
     """``(a, b)``: links that connect the nodes that ``similarity`` joins; every link is one by its shingles.
 
-    ``docs(node, text)`` has the nodes' texts, ``shared(token, node, size, at)`` the first shingles of each
-    with their places, of which two similar ones share one. Each node is first compared with the least that
-    shares a token; then, where a token's nodes are not in one component yet, with the least of the token and
-    at last all those in different components. So the links are not all, but their components are those of all.
+    ``nodes(node, size, tokens, bits)`` has the numbers of shingles, the first of them, of which two similar
+    nodes share one, and their parities; ``texts_of`` gives ``(node, text)`` for some nodes. Twice every node is compared with
+    one other that shares a token: with the least, then with one of the least component, so that large groups
+    stay stars. What holds a token and still is in different components is compared block by block. All
+    comparisons are of the parities first, which rule out nearly all pairs below the similarity, and those left
+    are verified on the shingles. So the links are not all, but their components are those of all.
     """
-    def may(x: str, y: str) -> Column:
-        n, m = F.col(f"{x}.size"), F.col(f"{y}.size")
-        left = F.least(n - F.col(f"{x}.at"), m - F.col(f"{y}.at"))  # no more can be common from here on
-        return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9) & (
-            left >= similarity / (1 + similarity) * (n + m) - 1e-9
-        )
-
-    member = F.struct("node", "size", "at")
-    # One shuffle of all tokens; most are met once and go.
-    alike = Window.partitionBy("token")
-    met = _filed(
-        shared.select("token", member.alias("x"))
-        .select("token", "x", F.min("x").over(alike).alias("y"), F.count("*").over(alike).alias("n"))
-        .where("n > 1").drop("n")
+    filed = _Scratch(nodes.sparkSession)
+    spread = nodes.select("node", "size", F.posexplode("tokens").alias("at", "token"))
+    often = (  # combined before the shuffle, so a token that very many have is no burden
+        spread.groupBy("token").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("token", "least")
     )
-    member_of = F.col("x.node").alias("node")
-    # First one pair for each node, then the least of each token, then all, so that large groups stay stars.
-    links = done = None
-    for turn in ("one", "least", "all"):
-        if links is None:
-            pairs = met.where("x.node <> y.node").where(may("x", "y")).groupBy(F.col("x.node").alias("b")).agg(
-                F.min("y.node").alias("a")
-            ).select("a", "b")
+    met = filed(spread.join(often, "token").select("token", "node", F.col("size").cast("int").alias("size"), F.col("at").cast("int").alias("at"), "least"))
+    bits = nodes.select("node", "size", "bits")
+    first = met.where("node <> least").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
+    done = filed(first)
+    links = materialise(_verified(texts_of, _plausible(done, bits, similarity), size, similarity, filed))
+    for turn in ("least", "blocks"):
+        components = materialise(connected_components(links))
+        named = met.join(components, "node", "left").select("token", "node", "size", "at", F.coalesce("component", "node").alias("component"))
+        apart = named.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).where("c <> d")
+        open_ = filed(named.join(apart.select("token", "c", "n"), "token"))
+        if turn == "least":
+            centre = open_.where("component = c").groupBy("token").agg(F.min("node").alias("a"))
+            pairs = open_.where("component <> c").join(centre, "token").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            pairs = filed(pairs.join(done, ["a", "b"], "left_anti"))
+            done = done.union(pairs)
+            plausible = _plausible(pairs, bits, similarity)
         else:
-            components = materialise(connected_components(links))
-            named = met.select("token", "x", "y", member_of).join(components, "node", "left").select(
-                "token", "x", "y", F.coalesce("component", "node").alias("component")
-            )
-            lowest = named.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"),
-                                                F.min_by("component", "x.node").alias("least")).where("c <> d")
-            open_ = _filed(named.join(lowest.select("token", "least"), "token"))
-            if turn == "least":
-                pairs = open_.where("component <> least and x.node <> y.node").where(may("x", "y"))
-            else:
-                other = open_.select("token", F.col("x").alias("z"), F.col("component").alias("others"))
-                pairs = open_.drop("y").join(other.withColumnRenamed("z", "y"), "token").where(
-                    "y.node < x.node and component <> others"
-                ).where(may("x", "y"))
-            pairs = pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = materialise(pairs)
-        found = _verified(docs, pairs, size, similarity)
-        if links is not None:  # one link for each two components
-            for end in ("a", "b"):
-                named = components.withColumnsRenamed({"node": end, "component": "to"})
-                found = found.join(named, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
-            found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-        found = materialise(found)
-        links, done = (found, pairs) if links is None else (links.union(found), done.union(pairs))
+            plausible = _blockwise(open_, bits, similarity).distinct().join(done, ["a", "b"], "left_anti")
+        found = _verified(texts_of, plausible, size, similarity, filed)
+        for end in ("a", "b"):  # one link for each two components
+            to = components.withColumnsRenamed({"node": end, "component": "to"})
+            found = found.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        links = materialise(links.union(found))
+    filed.remove()
     return links
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+def _plausible(pairs: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` that parities don't rule out."""
+    both = pairs
+    for end, name in (("b", "y"), ("a", "x")):  # the many different ends first, the few centres last
+        own = bits.select(F.col("node").alias(end), F.struct("size", "bits").alias(name))
+        both = both.join(own, end)
+    n, m = F.col("x.size"), F.col("y.size")
+    near = both.where(F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9).select(
+        "a", "b", n.alias("n"), m.alias("m"), F.col("x.bits").alias("x"), F.col("y.bits").alias("y")
+    )
+
+    def test(batches):
+        for rows in batches:
+            count = rows.num_rows
+            sizes = np.concatenate([rows.column(k).to_numpy() for k in (2, 3)])
+            own = rows.column(4).to_pylist() + rows.column(5).to_pylist()
+            keep = may_be_similar(own, sizes, np.arange(count), np.arange(count) + count, similarity)
+            yield rows.select(["a", "b"]).filter(pa.array(keep))
+
+    return in_small_batches(near).mapInArrow(test, "a bigint, b bigint")
+
+
+def _blockwise(members: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of one token's members in different components that sizes, places and parities don't rule out.
+
+    A token with more than BLOCK members is cut into chunks, and each pair of chunks is a block of its own.
+    """
+    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), chunks).cast("int")
+    cells = F.transform(
+        F.sequence(F.lit(0), chunks - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"))
+    )
+    member = F.struct("node", F.col("size").cast("bigint").alias("size"), F.col("at").cast("bigint").alias("at"), "component", own.alias("own"), "bits")
+    blocks = (
+        members.join(bits.select("node", "bits"), "node").select("token", F.explode(cells).alias("cell"), member.alias("member"))
+        .groupBy("token", "cell").agg(F.collect_list("member").alias("members")).select("cell.i", "cell.j", "members")
+    )
+
+    def compare(batches):
+        for rows in batches:
+            left, right = [], []
+            for i, j, members in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2), strict=True):
+                x, y = _near_in_block(members.values, i != j, similarity)
+                left.append(x)
+                right.append(y)
+            if left:
+                x, y = np.concatenate(left), np.concatenate(right)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    return in_small_batches(blocks).mapInArrow(compare, "a bigint, b bigint")
+
+
+def _near_in_block(members: pa.StructArray, across: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    node, size, at, component, own = (members.field(k).to_numpy() for k in range(5))
+    raw = members.field(5).to_pylist()
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    step = max(1, _PAIRS // max(1, len(node)))
+    for start in range(0, len(node), step):
+        rows = np.arange(start, min(start + step, len(node)))
+        n, m = size[rows, None], size[None]
+        left = np.minimum(n - at[rows, None], m - at[None])  # no more can be common from here on
+        near = (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9) & (left >= similarity / (1 + similarity) * (n + m) - 1e-9)
+        near &= (component[rows, None] != component[None]) & (rows[:, None] < np.arange(len(node))[None])
+        if across:
+            near &= own[rows, None] != own[None]
+        i, j = np.nonzero(near)
+        i = rows[i]
+        keep = may_be_similar(raw, size, i, j, similarity)
+        found.append((node[i[keep]], node[j[keep]]))
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+
+def _verified(texts_of: Callable[[DataFrame], DataFrame], pairs: DataFrame, size: int, similarity: float, filed: _Scratch) -> DataFrame:
     """The pairs ``(a, b)`` of nodes whose sets of shingles have the Jaccard similarity or more."""
     def cut(batches):
         for rows in batches:
@@ -388,14 +496,24 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -
                 keep[i] = common >= similarity * (len(x) + len(y) - common) - 1e-9
             yield rows.select(["a", "b"]).filter(pa.array(keep))
 
+    pairs = filed(pairs)
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = _filed(in_small_batches(docs.join(needed, "node", "left_semi").select("node", "text")).mapInArrow(cut, "node bigint, shingles binary"))
-    both = pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(
-        sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b"
+    sets = filed(in_small_batches(texts_of(needed)).mapInArrow(cut, "node bigint, shingles binary"))
+    # The different ends travel with their sets; a centre's set is sent once.
+    both = pairs.join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b").join(
+        sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a"
     )
     return in_small_batches(both.select("a", "b", "x", "y")).mapInArrow(test, "a bigint, b bigint")
 
 
+def _with_places(docs: DataFrame, file: str, at: str, filed: _Scratch) -> DataFrame:
+    """``docs`` with a place for each row that is the same in every read: that in its file, or in a copy of the rows."""
+    try:
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    except AnalysisException:  # not read from files whose rows have numbers
+        return filed(docs.select("*", F.lit(0).cast("long").alias(file), F.monotonically_increasing_id().alias(at)))
+
+
 def keep_one(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8
 ) -> DataFrame:
@@ -407,39 +525,44 @@ def keep_one(
     components. All texts without words are one group.
 
     Equal ids are told apart by the place of their rows, so of repeated rows one stays. Texts are shuffled
-    only if a list of rows is too long to be broadcast.
+    only if a list of rows is too long to be broadcast, and not copied where the rows stand in Parquet files.
     """
-    mark = "place of the row"
-    while mark in docs.columns:
-        mark += "_"
-    # Written once: where rows stand in a scan depends on how it is split, which may change until the next.
-    placed = _filed(docs.withColumn(mark, F.monotonically_increasing_id()))
+    file, at = "file of the row", "place of the row"
+    while {file, at} & set(docs.columns):
+        file, at = file + "_", at + "_"
+    filed, copied = _Scratch(docs.sparkSession), _Scratch(docs.sparkSession)
+    placed = _with_places(docs, file, at, copied)
     source = placed.select(
-        F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col(mark).alias("place")).alias("row"),
+        F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col(file).alias("file"), F.col(at).alias("at")).alias("row"),
         F.col(text).alias("text"),
     )
-    common = _common_shingles(source, size, F.col("row.place"))
+    common = _common_shingles(source, size, F.struct("row.file", "row.at"))
     shared = docs.sparkSession.sparkContext.broadcast(common)  # at most ORDER_SHINGLES
 
     def look(batches):
         for rows in batches:
             found = [describe(value, size, similarity, *shared.value) for value in rows.column(1).to_pylist()]
-            kinds = pa.binary(), pa.int64(), pa.list_(pa.int64())
+            kinds = pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()
             arrays = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), *arrays], ["row", "name", "size", "tokens"])
-
-    schema = f"row {dict(source.dtypes)['row']}, name binary, size bigint, tokens array<bigint>"
-    rows = _filed(in_small_batches(source).mapInArrow(look, schema))
-    # Texts with the same shingles are one node, named by the place of its least row.
-    distinct = materialise(rows.groupBy("name").agg(F.min("row").alias("least")))
-    nodes = distinct.select(F.col("least.place").alias("node"), "least")
-    again = rows.select(F.col("row.place").alias("node")).join(nodes.select("node"), "node", "left_anti")
-    tokens = (
-        rows.select(F.col("row.place").alias("node"), "size", "tokens").join(again, "node", "left_anti")
-        .select("node", "size", F.posexplode("tokens").alias("at", "token"))
-    )
-    links = similar_links(source.select(F.col("row.place").alias("node"), "text"), tokens, size, similarity)
+            yield pa.RecordBatch.from_arrays([rows.column(0), *arrays], ["row", "name", "size", "tokens", "bits"])
+
+    schema = f"row {dict(source.dtypes)['row']}, name binary, size bigint, tokens array<bigint>, bits binary"
+    # Numbered as they are written, once.
+    rows = filed(in_small_batches(source).mapInArrow(look, schema).withColumn("node", F.monotonically_increasing_id()))
+    # Texts with the same shingles are one node, named by its least row.
+    distinct = materialise(rows.groupBy("name").agg(F.min(F.struct("row", "node")).alias("least")))
+    nodes = distinct.select(F.col("least.node").alias("node"), F.col("least.row").alias("least"))
+    again = rows.select("node").join(nodes.select("node"), "node", "left_anti")
+    own = rows.select("node", "size", "tokens", "bits").join(again, "node", "left_anti")
+    numbers = rows.select("node", F.col("row.file").alias(file), F.col("row.at").alias(at))
+    texts = placed.select(file, at, F.col(text).alias("text"))
+
+    def texts_of(needed: DataFrame) -> DataFrame:
+        return texts.join(numbers.join(needed, "node", "left_semi"), [file, at]).select("node", "text")
+
+    links = similar_links(own, texts_of, size, similarity)
     least = least_of_component(nodes, connected_components(links))
-    stays = least.select(F.col("least.place").alias("place")).distinct()
-    goes = rows.select(F.col("row.place").alias("place")).join(stays, "place", "left_anti")
-    return placed.join(goes.withColumnRenamed("place", mark), mark, "left_anti").select(*docs.columns)
+    stays = least.select(F.col("least.file").alias(file), F.col("least.at").alias(at)).distinct()
+    goes = materialise(numbers.select(file, at).join(stays, [file, at], "left_anti"))
+    filed.remove()
+    return placed.join(goes, [file, at], "left_anti").select(*docs.columns)
