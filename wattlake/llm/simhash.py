@@ -20,14 +20,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from wattlake.llm.common import blocks_at_space, in_small_batches, remove
+from wattlake.llm.common import Scratch, blocks_at_space, in_small_batches, with_places, without_places
 from wattlake.llm.components import connected_components, least_of_component, spanning_links
-from wattlake.session import materialise, scratch_path
+from wattlake.session import materialise
 
 SEED = 42
 MAX_DISTANCE = 4
@@ -346,24 +345,6 @@ def _common_shingles(texts: DataFrame, size: int, seed: Column) -> tuple[np.ndar
     return hashes[order], order
 
 
-class _Scratch:
-    """Tables computed once, as compressed files in the shared folder; removed when they are no longer read."""
-
-    def __init__(self, spark) -> None:
-        self.spark, self.paths = spark, []
-
-    def __call__(self, df: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, "near_duplicates")
-        self.paths.append(path)
-        df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def remove(self) -> None:
-        for path in self.paths:
-            remove(self.spark, path)
-        self.paths.clear()
-
-
 def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, similarity: float) -> DataFrame:
     """``(a, b)``: links that connect the nodes that ``similarity`` joins; every link is one by its shingles.
 
@@ -374,7 +355,7 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame],
     comparisons are of the parities first, which rule out nearly all pairs below the similarity, and those left
     are verified on the shingles. So the links are not all, but their components are those of all.
     """
-    filed = _Scratch(nodes.sparkSession)
+    filed = Scratch(nodes.sparkSession)
     spread = nodes.select("node", "size", F.posexplode("tokens").alias("at", "token"))
     often = (  # combined before the shuffle, so a token that very many have is no burden
         spread.groupBy("token").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("token", "least")
@@ -480,7 +461,7 @@ def _near_in_block(members: pa.StructArray, across: bool, similarity: float) ->
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-def _verified(texts_of: Callable[[DataFrame], DataFrame], pairs: DataFrame, size: int, similarity: float, filed: _Scratch) -> DataFrame:
+def _verified(texts_of: Callable[[DataFrame], DataFrame], pairs: DataFrame, size: int, similarity: float, filed: Scratch) -> DataFrame:
     """The pairs ``(a, b)`` of nodes whose sets of shingles have the Jaccard similarity or more."""
     def cut(batches):
         for rows in batches:
@@ -506,14 +487,6 @@ def _verified(texts_of: Callable[[DataFrame], DataFrame], pairs: DataFrame, size
     return in_small_batches(both.select("a", "b", "x", "y")).mapInArrow(test, "a bigint, b bigint")
 
 
-def _with_places(docs: DataFrame, file: str, at: str, filed: _Scratch) -> DataFrame:
-    """``docs`` with a place for each row that is the same in every read: that in its file, or in a copy of the rows."""
-    try:
-        return docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
-    except AnalysisException:  # not read from files whose rows have numbers
-        return filed(docs.select("*", F.lit(0).cast("long").alias(file), F.monotonically_increasing_id().alias(at)))
-
-
 def keep_one(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8
 ) -> DataFrame:
@@ -527,11 +500,8 @@ def keep_one(
     Equal ids are told apart by the place of their rows, so of repeated rows one stays. Texts are shuffled
     only if a list of rows is too long to be broadcast, and not copied where the rows stand in Parquet files.
     """
-    file, at = "file of the row", "place of the row"
-    while {file, at} & set(docs.columns):
-        file, at = file + "_", at + "_"
-    filed, copied = _Scratch(docs.sparkSession), _Scratch(docs.sparkSession)
-    placed = _with_places(docs, file, at, copied)
+    filed, copied = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    placed, (file, at) = with_places(docs, copied)
     source = placed.select(
         F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col(file).alias("file"), F.col(at).alias("at")).alias("row"),
         F.col(text).alias("text"),
@@ -563,6 +533,6 @@ def keep_one(
     links = similar_links(own, texts_of, size, similarity)
     least = least_of_component(nodes, connected_components(links))
     stays = least.select(F.col("least.file").alias(file), F.col("least.at").alias(at)).distinct()
-    goes = materialise(numbers.select(file, at).join(stays, [file, at], "left_anti"))
+    kept = without_places(placed, numbers.select(file, at).join(stays, [file, at], "left_anti"), [file, at], copied)
     filed.remove()
-    return placed.join(goes, [file, at], "left_anti").select(*docs.columns)
+    return kept.select(*docs.columns)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import blocks_at_space, in_small_batches
+from wattlake.llm.common import Scratch, blocks_at_space, in_small_batches, with_places, without_places
 from wattlake.llm.language import Binder, Profiles, document_weights, ngrams, unit_rows
 from wattlake.session import materialise, small_table
 
@@ -363,7 +363,7 @@ def learn(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> Scorer:
     return _learned(docs, labelled, seed)[0]
 
 
-def _learned(docs: DataFrame, labelled: DataFrame, seed: int) -> tuple[Scorer, DataFrame]:
+def _learned(docs: DataFrame, labelled: DataFrame, seed: int, place: list[str] = ()) -> tuple[Scorer, DataFrame]:
     """The scorer and the logits of all documents."""
     one = labelled.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(seed))
@@ -378,7 +378,7 @@ def _learned(docs: DataFrame, labelled: DataFrame, seed: int) -> tuple[Scorer, D
     scorer = fit([r.text for r in rows], [r.toxic for r in rows], [r.lang for r in rows], seed)
     held = _held(np.array([r.toxic for r in rows], dtype=np.int64))
     learned = sorted({r.doc_id for r, h in zip(rows, held, strict=True) if not h})
-    logits = _logits(docs, scorer)
+    logits = _logits(docs, scorer, list(place))
     found = _label_counts(logits, one, learned).collect()  # bounded by languages and steps
     if found:
         language, step, toxic, seen, n = (np.array(x, dtype=object) for x in zip(*found, strict=True))
@@ -388,9 +388,9 @@ def _learned(docs: DataFrame, labelled: DataFrame, seed: int) -> tuple[Scorer, D
     return scorer, logits
 
 
-def _logits(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """``doc_id, language, logit, given`` of every document, computed once; no text is carried further."""
-    source = docs.select("doc_id", "text")
+def _logits(docs: DataFrame, scorer: Scorer, place: list[str]) -> DataFrame:
+    """``doc_id, language, logit, given`` and the place of every document, computed once; no text is carried further."""
+    source = docs.select("doc_id", "text", *place)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)  # of a fixed size
 
     def look(batches):
@@ -399,12 +399,13 @@ def _logits(docs: DataFrame, scorer: Scorer) -> DataFrame:
             texts = rows.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array([own.language(text) or "" for text in texts], pa.string()),
-                 pa.array(own.logits(texts), pa.float64()), rows.column(1).is_valid()],
-                ["doc_id", "language", "logit", "given"],
+                 pa.array(own.logits(texts), pa.float64()), rows.column(1).is_valid(), *rows.columns[2:]],
+                ["doc_id", "language", "logit", "given", *place],
             )
 
     kind = dict(source.dtypes)["doc_id"]
-    return materialise(in_small_batches(source).mapInArrow(look, f"doc_id {kind}, language string, logit double, given boolean"))
+    places = "".join(f", `{x}` bigint" for x in place)
+    return materialise(in_small_batches(source).mapInArrow(look, f"doc_id {kind}, language string, logit double, given boolean{places}"))
 
 
 def _label_counts(logits: DataFrame, labels: DataFrame, learned: list) -> DataFrame:
@@ -419,14 +420,30 @@ def _label_counts(logits: DataFrame, labels: DataFrame, learned: list) -> DataFr
 
 def classify(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> DataFrame:
     """``doc_id, score, predicted`` for every row of ``docs`` by what ``learn`` learns; each text is scored once."""
-    scorer, logits = _learned(docs, labelled, seed)
+    found = _scores(*_learned(docs, labelled, seed)).select("doc_id", "score")
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, labelled: DataFrame, seed: int = 7) -> DataFrame:
+    """The rows of ``docs(doc_id, text, lang, ..)`` that score below one half by what ``learn`` learns, with all columns.
+
+    Each text is scored once. Rows are told apart by their places, so repeated rows share a fate and null ids are
+    rows like others.
+    """
+    filed = Scratch(docs.sparkSession)
+    placed, place = with_places(docs, filed)
+    toxic = _scores(*_learned(placed, labelled, seed, place)).where("score >= 0.5").select(*place)
+    return without_places(placed, toxic, place, filed).select(*docs.columns)
+
+
+def _scores(scorer: Scorer, logits: DataFrame) -> DataFrame:
+    """``logits`` with ``score`` by the thresholds of the recognised languages."""
     limits = small_table(
-        docs.sparkSession, [{"language": x, "own": y} for x, y in scorer.thresholds.items()], "language string, own double"
+        logits.sparkSession, [{"language": x, "own": y} for x, y in scorer.thresholds.items()], "language string, own double"
     )
     far = F.col("logit") - F.coalesce("own", F.lit(float(scorer.threshold)))
     value = 1 / (1 + F.exp(-F.least(F.greatest(far, F.lit(-30.0)), F.lit(30.0))))
-    found = logits.join(F.broadcast(limits), "language", "left").select("doc_id", value.alias("score"))
-    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return logits.join(F.broadcast(limits), "language", "left").withColumn("score", value)  # a row for each language
 
 
 def score(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
