@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake.operators.changes import changed_intervals, touched_dates
+from wattlake.operators.rejects import REASON, cast_or_reason
 from wattlake.plans.incremental import MeterSums
 from wattlake.plans.registry import query, table
 from wattlake.plans.telemetry_queries import _DAILY_SELECT, _GOLD_SQL, _WEEK, bronze
 from wattlake.session import scratch_path
+from wattlake.sources.footers import footers
+from wattlake.streaming.event_time import append_closed, windowed_totals
 
 
 def _in_two_batches(spark, folder) -> MeterSums:
@@ -92,3 +95,68 @@ def _snapshot_touched_dates(spark, folder):
     span = days.agg(F.min("touched"), F.max("touched")).first()
     touched = touched_dates(changed_intervals(old, new, ["k"], "since"), *span, "k")
     return touched.join(days, "touched", "left_semi").groupBy("touched").agg(F.count_distinct("k").alias("customers"))
+
+
+@query(
+    "event_time_totals",
+    """WITH w AS (
+        SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n, CAST(sum(floor(value)) AS BIGINT) AS total
+        FROM events GROUP BY 1, 2
+    )
+    SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, n, total
+    FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""",
+)
+def _event_time_totals(spark, folder):
+    """Daily totals by event type from a stream over the events; days still open at its end are not told."""
+    given = table(spark, folder, "events")
+    stream = spark.readStream.schema(given.schema).parquet(f"{folder}/events.parquet")
+    totals = {"n": F.count(F.lit(1)), "total": F.sum(F.floor("value")).cast("long")}
+    closed = windowed_totals(stream, "ts", ["event_type"], totals, width="1 day", delay="2 hours", unique=["event_id"])
+    path = scratch_path(spark, "event_time")
+    append_closed(closed, f"{path}/rows", f"{path}/state").awaitTermination()
+    return spark.read.schema(closed.schema).parquet(f"{path}/rows")
+
+
+@query(
+    "rejected_values",
+    """WITH raw AS (
+        SELECT CAST(ts AS DATE) AS dt,
+               CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS kwh,
+               CASE WHEN event_id % 11 = 0 THEN 'M' || user_id ELSE CAST(user_id AS VARCHAR) END AS meter
+        FROM events
+    )
+    SELECT dt, count(*) AS readings, count(*) FILTER (WHERE try_cast(kwh AS DOUBLE) IS NULL) AS bad_kwh,
+           count(*) FILTER (WHERE try_cast(meter AS BIGINT) IS NULL) AS bad_meter,
+           CAST(sum(try_cast(kwh AS DOUBLE)) AS BIGINT) AS kwh
+    FROM raw GROUP BY dt""",
+)
+def _rejected_values(spark, folder):
+    """Readings of each date whose texts are no numbers, beside the sum of those that are; one pass."""
+    number = F.floor("value").cast("long").cast("string")
+    raw = table(spark, folder, "events").select(
+        F.to_date("ts").alias("dt"), F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(number).alias("kwh"),
+        F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("M"), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string")).alias("meter"),
+    )
+    cast = cast_or_reason(raw, {"kwh": "double", "meter": "bigint"})
+    bad = lambda c: F.exists(REASON, lambda x: x.startswith(f"{c}: "))
+    return cast.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("readings"), F.count_if(bad("kwh")).alias("bad_kwh"), F.count_if(bad("meter")).alias("bad_meter"),
+        F.sum("kwh").cast("long").alias("kwh"),
+    )
+
+
+_COUNTED = ("customer", "orders", "lineitem", "events", "documents", "pages")
+
+
+@query(
+    "footer_rows",
+    " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, true AS has_groups, true AS has_bytes FROM {t}" for t in _COUNTED),
+)
+def _footer_rows(spark, folder):
+    """Rows of each table by its footers, and whether row groups and column sizes are told."""
+    found = footers(spark, *(f"{folder}/{t}.parquet" for t in _COUNTED))
+    name = F.regexp_extract("path", r"/(\w+)\.parquet(?:/|$)", 1)
+    sizes = F.aggregate("columns", F.lit(0).cast("long"), lambda a, c: a + c["compressed"])
+    return found.groupBy(name.alias("name")).agg(
+        F.sum("rows").alias("rows"), (F.sum("row_groups") > 0).alias("has_groups"), (F.sum(sizes) > 0).alias("has_bytes")
+    )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timedelta, timezone
@@ -16,6 +16,7 @@ from wattlake.plans.medallion import BUILD, Options
 from wattlake.publish import Target, Warehouse
 from wattlake.quality import Check, Expectation, QualityGateError, evaluate, gate
 from wattlake.runlog import RunLog
+from wattlake.sources.footers import unfit_files
 from wattlake.sources.lake import Lake, new_attempt
 
 #: How many days the rolling mean looks back beyond its own.
@@ -125,7 +126,8 @@ class Engine:
     def run_dates(self, days: Sequence[date], prefix: str) -> BackfillResult:
         """The given dates in one job per step; run ids are the prefix and the date.
 
-        If a job fails, the dates are halved and tried again until those that make it fail are alone; they
+        If a job fails, the footers of the dates' landing files are read, and the dates whose files are damaged or
+        store a column as another type fail. If that is not the cause, the dates are halved and tried again until those that make it fail are alone; they
         are recorded as failed and the others go on. A date that fails after it was published is taken back.
         """
         if not days:
@@ -140,6 +142,13 @@ class Engine:
                 taken = self.warehouse.restore(result.run_id, day, f"{type(error).__name__}: {error}")
                 if taken.restored or taken.deleted:
                     result.status = COMPENSATED
+            unfit = self._unfit(days) if len(days) > 1 else {}
+            if unfit:  # one job has named all dates whose files can't be read; the others go on together
+                for day, reason in unfit.items():
+                    state.fail(day, ValueError(reason))
+                self._finish(state.only(unfit))
+                failed = BackfillResult([], sorted(unfit), 0, {d: state.results[d] for d in unfit})
+                return _merged([failed, self.run_dates([d for d in days if d not in unfit], prefix)])
             if len(days) > 1:
                 half = len(days) // 2
                 return _merged([self.run_dates(days[:half], prefix), self.run_dates(days[half:], prefix)])
@@ -153,6 +162,22 @@ class Engine:
             sum(r.rows_published for r in state.results.values()), state.results,
         )
 
+    def _unfit(self, days: Sequence[date]) -> dict[date, str]:
+        """Why the landing files of which dates can't be read, from their footers."""
+        found: dict[date, str] = {}
+        for name in {n for s in self.steps.values() for n in s.inputs}:
+            dataset = DATASETS[name]
+            if dataset.layer != "landing" or not dataset.dated or dataset.fmt != "parquet":
+                continue
+            base = self.lake.dataset_path(dataset)
+            there = sorted(set(days) - set(self.lake.missing(name, days)))
+            if there:
+                bad = unfit_files(self.spark, [f"{base}/dt={d.isoformat()}" for d in there], dataset.schema)
+                day = F.to_date(F.regexp_extract("path", r"/dt=(\d{4}-\d{2}-\d{2})/", 1)).alias("day")
+                rows = bad.groupBy(day).agg(F.min(F.concat_ws(": ", "path", "reason")).alias("reason")).collect()
+                found |= {r.day: f"{name}: {r.reason}" for r in rows}
+        return found
+
     # -- steps -------------------------------------------------------------
 
     def _begin(self, runs: Mapping[date, str]) -> _Progress:
@@ -354,6 +379,12 @@ class _Progress:
         self.rows: dict[tuple[str, date], int] = {}
         self.pending: dict[str, list] = {"step_metrics": [], "dq_results": [], "lineage": []}
 
+    def only(self, days: Collection[date]) -> _Progress:
+        """The same of some dates, with nothing else to record."""
+        part = _Progress({}, self.lake)
+        part.started, part.results = self.started, {d: self.results[d] for d in days}
+        return part
+
     def fail(self, day: date, error: Exception) -> None:
         self.alive.pop(day, None)
         self.errors.setdefault(day, error)
