@@ -109,7 +109,8 @@ def _snapshot_touched_dates(spark, folder):
 def _event_time_totals(spark, folder):
     """Daily totals by event type from a stream over the events; days still open at its end are not told."""
     given = table(spark, folder, "events")
-    stream = spark.readStream.schema(given.schema).parquet(f"{folder}/events.parquet")
+    # By a pattern, as the table may be one file, and a stream's plain path has to be a folder.
+    stream = spark.readStream.schema(given.schema).parquet(f"{folder}/event[s].parquet")
     totals = {"n": F.count(F.lit(1)), "total": F.sum(F.floor("value")).cast("long")}
     closed = windowed_totals(stream, "ts", ["event_type"], totals, width="1 day", delay="2 hours", unique=["event_id"])
     path = scratch_path(spark, "event_time")
