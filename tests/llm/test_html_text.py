@@ -74,3 +74,35 @@ def test_odd_rows_have_defined_results(spark):
     got = sorted((tuple(r) for r in html_text.extract_text(pages).collect()), key=repr)
     assert got == [(1, None, "", 0), (None, "u", "a", 1), (None, "u", "a", 1)]
     assert html_text.extract_text(spark.createDataFrame([], PAGES)).collect() == []
+
+
+@pytest.mark.parametrize("sizes", [
+    [200] * 6 + [3000] + [200] * 6, [400] * 6 + [2000] + [400] * 6, [300] * 5 + [900, 1000, 1200] + [300] * 5, [6000] + [200] * 8,
+])
+@pytest.mark.parametrize("around", ["<div>{0}</div>", "{0}", "<section><div>{0}</div></section>"])
+def test_uneven_paragraphs_without_an_article_element_all_stay(sizes, around):
+    paragraphs = [(f"{i} " + LONG * (size // len(LONG) + 1))[:size].strip() for i, size in enumerate(sizes)]
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(12)) + "</ul>"
+    body = around.format("<h1>Title</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs))
+    assert main_text(f"<body>{menu}{body}<div><a href=/x>More of this</a></div></body>") == "\n\n".join(["Title", *paragraphs])
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='has-sidebar'>{0}</div>", "<div class='layout-with-nav'>{0}</div>", "<div class='page share-enabled'>{0}</div>",
+    "<div id='no-sidebar'>{0}</div>", "<section class='widget-area'>{0}</section>", "<form action='/' method='post'>{0}</form>",
+    "<form><div class='widget'><div class='header'>{0}</div></div></form>",
+])
+@pytest.mark.parametrize("article", ["<article>{0}</article>", "<main>{0}</main>", "<div>{0}</div>"])
+@pytest.mark.parametrize("title", ["<h1>Title</h1>", "<h2>Title</h2>"])
+def test_names_around_an_article_do_not_empty_it(wrapper, article, title):
+    text = f"{title}<p>{LONG}</p><section id='related-work'><h2 id='login'>Related</h2><p>{LONG}</p></section><p>{LONG}</p>"
+    page = f"<body><nav><a href=/>Home</a></nav>{wrapper.format(article.format(text))}<footer>By me</footer></body>"
+    assert main_text(page) == "\n\n".join(["Title", LONG, "Related", LONG, LONG])
+
+
+def test_comments_and_boxes_go_however_long_they_are():
+    many = "".join(f"<div class='comment-body'><p>{LONG} {i}</p></div>" for i in range(20))
+    cards = "".join(f"<article><h3>Card {i}</h3><p>{LONG}</p></article>" for i in range(4))
+    for beside in (f"<section class='comments'>{many}</section>", f"<div class='related-posts'>{cards}</div>", f"<div class='ad-slot'><p>{LONG * 9}</p></div>"):
+        assert main_text(f"<article><h1>Title</h1><p>{LONG}</p></article>{beside}") == f"Title\n\n{LONG}"
+    assert main_text(f"<div><h1>Title</h1><p>{LONG}</p></div><section class='comments'>{many}</section>") == f"Title\n\n{LONG}"
