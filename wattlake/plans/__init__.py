@@ -1,6 +1,6 @@
 from importlib import import_module
 
-_QUERY_MODULES = ("telemetry_queries", "operator_queries", "quality_queries", "lake_queries", "change_queries")
+_QUERY_MODULES = ("telemetry_queries", "operator_queries", "quality_queries", "lake_queries", "change_queries", "file_queries")
 
 
 def load_queries():

@@ -32,7 +32,7 @@ from wattlake.publish import Target, Warehouse
 from wattlake.quality import Expectation
 from wattlake.runlog import latest_runs
 from wattlake.session import scratch_path
-from wattlake.sources import files
+from wattlake.sources import files, footers
 from wattlake.sources.lake import Lake, query as ad_hoc, read_source, register_source
 
 _TABLES = (
@@ -56,7 +56,7 @@ def _table_counts(spark, folder):
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, 1 AS files, count(*) AS rows, true AS has_bytes FROM {t}" for t in _TABLES),
 )
 def _input_footprint(spark, folder):
-    sizes = files.footprint(spark, [f"{folder}/{name}.parquet" for name in _TABLES])
+    sizes = footers.footprint(spark, [f"{folder}/{name}.parquet" for name in _TABLES])
     return sizes.select(
         F.regexp_extract("path", "([a-z]+)\\.parquet$", 1).alias("table_name"), "files", "rows",
         (F.col("bytes") > 0).alias("has_bytes"),

@@ -138,10 +138,9 @@ class Engine:
             self._steps(state)
             self._publish(state)
         except Exception as error:
-            for day, result in state.results.items():
-                taken = self.warehouse.restore(result.run_id, day, f"{type(error).__name__}: {error}")
-                if taken.restored or taken.deleted:
-                    result.status = COMPENSATED
+            runs = {day: result.run_id for day, result in state.results.items()}
+            for event in self.warehouse.restore_many(runs, f"{type(error).__name__}: {error}").events:
+                state.results[event.business_date].status = COMPENSATED
             unfit = self._unfit(days) if len(days) > 1 else {}
             if unfit:  # one job has named all dates whose files can't be read; the others go on together
                 for day, reason in unfit.items():

@@ -11,7 +11,7 @@ One publisher at a time is assumed: plain files offer no compare-and-swap.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -156,16 +156,7 @@ class Warehouse:
         """Like ``publish``, for targets of several runs."""
         if not items:
             return Changes()
-        days = {t.business_date for _, t in items}
-        past: dict[tuple[str, date], list[Row]] = {}
-        for e in self._events_of(days):
-            past.setdefault((e.table_name, e.business_date), []).append(e)
-        state = self.events().groupBy("table_name").agg(
-            F.min_by("schema", F.when(F.col("event") == PUBLISH, F.col("seq"))).alias("schema"),
-            F.max("seq").alias("seq"),
-        ).collect()
-        schemas = {r.table_name: StructType.fromJson(json.loads(r.schema)) for r in state}
-        seq = max((r.seq for r in state), default=0)
+        past, schemas, seq = self._state({t.business_date for _, t in items})
         rows = self._count_rows([t for _, t in items], schemas)
         events = []
         for run_id, target in items:
@@ -184,21 +175,39 @@ class Warehouse:
     def restore(self, run_id: str, business_date: date, reason: str) -> Changes:
         """Undo what a run published: point back at the files recorded as its predecessor,
         or leave the date absent if there was none. A second call finds nothing to do."""
-        mine = [e for e in _standing(self._events_of({business_date})) if e.run_id == run_id]
+        return self.restore_many({business_date: run_id}, reason)
+
+    def restore_many(self, runs: Mapping[date, str], reason: str) -> Changes:
+        """Like ``restore``, for the run of each date: one read of the log and one append."""
+        past, _, seq = self._state(set(runs))
+        standing = [e for of_date in past.values() for e in _standing(of_date) if e.run_id == runs[e.business_date]]
         events = [
             Event(
-                RESTORE, run_id, e.table_name, e.business_date, e.source_uri,
+                RESTORE, e.run_id, e.table_name, e.business_date, e.source_uri,
                 previous_run_id=e.previous_run_id, previous_source_uri=e.previous_source_uri,
             )
-            for e in mine
+            for e in sorted(standing, key=lambda e: e.seq)
         ]
         if events:
-            self._append(events, self.events().agg(F.max("seq")).first()[0])
+            self._append(events, seq)
         return Changes(tuple(events), reason)
 
-    def _events_of(self, days: set[date]) -> list[Row]:
-        """Events of a few dates, oldest first: a handful per publish of these dates."""
-        return self.events().filter(F.col("business_date").isin(list(days))).orderBy("seq").collect()
+    def _state(self, days: set[date]) -> tuple[dict[tuple[str, date], list[Row]], dict[str, StructType], int]:
+        """From one read of the log: events of a few dates by table and date, oldest first, tables' columns, the last number.
+
+        A handful of events per publish of these dates reach the driver, and a line per table.
+        """
+        log = self.events()
+        mine = F.when(F.col("business_date").isin(list(days)), F.struct(*(c for c in log.columns if c != "schema")))
+        state = log.groupBy("table_name").agg(
+            F.min_by("schema", F.when(F.col("event") == PUBLISH, F.col("seq"))).alias("schema"),
+            F.max("seq").alias("seq"), F.collect_list(mine).alias("events"),
+        ).collect()
+        past: dict[tuple[str, date], list[Row]] = {}
+        for e in sorted((e for r in state for e in r.events), key=lambda e: e.seq):
+            past.setdefault((e.table_name, e.business_date), []).append(e)
+        schemas = {r.table_name: StructType.fromJson(json.loads(r.schema)) for r in state if r.schema}
+        return past, schemas, max((r.seq for r in state), default=0)
 
     # -- reading -----------------------------------------------------------
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,14 +30,18 @@ def children(spark: SparkSession, path: str) -> set[str]:
     return {f.getPath().getName() for f in fs.listStatus(hadoop_path)} if fs.exists(hadoop_path) else set()
 
 
-def folder_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
-    """Bytes of the files that match a pattern, by the end of their folder's path."""
-    fs, hadoop_path = _filesystem(spark, pattern)
-    sizes: dict[str, int] = {}
-    for status in fs.globStatus(hadoop_path) or []:
-        folder = status.getPath().getParent().toUri().getPath()
-        sizes[folder] = sizes.get(folder, 0) + status.getLen()
-    return sizes
+def folder_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes of the Parquet files right in a folder, from one listing of it; None if there is no such folder."""
+    fs, hadoop_path = _filesystem(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    return sum(f.getLen() for f in fs.listStatus(hadoop_path) if f.getPath().getName().endswith(".parquet"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder of the caller's own."""
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.delete(hadoop_path, True)
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
@@ -66,44 +69,6 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def footprint(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files, bytes and rows of each Parquet path; zeros for one without files or that cannot be read.
-
-    One read over all paths: rows are counted from the footers and grouped by the file they are in, so no
-    column is read. Files without rows only show in the listing, which gives files and bytes.
-    """
-    bases = {qualified(spark, path): path for path in paths}
-    found = [path for path in paths if exists(spark, path)]
-    named = spark.createDataFrame([(base, path) for base, path in bases.items()], "base string, path string")
-
-    def of_base(column: str):
-        hits = [F.when(F.col(column).startswith(base), F.lit(path)) for base, path in sorted(bases.items(), key=lambda x: -len(x[0]))]
-        return F.coalesce(*hits)
-
-    sizes = (
-        list_files(spark, *found).select(of_base("path").alias("path"), "length") if found
-        else spark.createDataFrame([], "path string, length bigint")
-    ).groupBy("path").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    readable = [path for path in found if _readable(spark, path)]
-    counted = [
-        spark.read.schema("_none string").parquet(*readable).select(of_base("_metadata.file_path").alias("path"))
-    ] if readable else []
-    rows = (counted[0] if counted else spark.createDataFrame([], "path string")).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
-    zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
-    return (
-        named.join(sizes, "path", "left").join(rows, "path", "left")
-        .select("path", zero("files"), zero("rows"), zero("bytes"))
-    )
-
-
-def _readable(spark: SparkSession, path: str) -> bool:
-    """Whether the footers can be read; an input that is damaged counts as empty."""
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except PySparkException:
-        return False
-
-
 #: From this size on an input counts as large.
 LARGE_MB = 16
 

@@ -21,10 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
 from wattlake.plans.catalog import DATASETS, Dataset
-from wattlake.sources.files import children, exists, folder_sizes
+from wattlake.sources.files import children, exists, folder_bytes
 
 #: Column types that only the path knows; declared, because inference turns run 007 into 7.
 _PATH_COLUMNS = "dt date, run string, attempt string"
+#: Size of the row groups of written files.
+ROW_GROUP_BYTES = 128 << 20
+FILE_OPTIONS = {"compression": "zstd", "parquet.block.size": str(ROW_GROUP_BYTES)}
 
 
 def read_source(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet", schema: str | None = None):
@@ -81,7 +84,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.attempt = attempt
-        self._sizes: dict[str, dict[str, int]] = {}
+        self._bytes: dict[str, int] = {}
 
     def bound(self, attempt: str) -> Lake:
         return Lake(self.spark, self.root, attempt)
@@ -118,8 +121,7 @@ class Lake:
         """
         dataset = DATASETS[name]
         paths = [self.path(name, d, run) for d, run in runs.items()]
-        sizes = self._listed(name) if self.attempt is not None else None
-        found = [p for p in paths if (exists(self.spark, p) if sizes is None else _plain(p) in sizes)]
+        found = [p for p in paths if self._bytes_in(p) is not None]
         frame = self._read(found, self.dataset_path(dataset), f"{dataset.schema}, {_PATH_COLUMNS}")
         return frame.drop("run", "attempt") if keep_dt else frame.drop("run", "attempt", "dt")
 
@@ -137,8 +139,8 @@ class Lake:
 
         Nothing is replaced. Jobs that add to one folder at a time would clear each other's unfinished
         files, so steps that run side by side name their one dataset and write below it. Over many dates the rows are first gathered by date, in pieces of a
-        reasonable size, or every task would add a file to every date. Row groups are those of the
-        session. The receipt's count is taken while the rows are written.
+        reasonable size, or every task would add a file to every date. Row groups are of ROW_GROUP_BYTES
+        whatever the session says. The receipt's count is taken while the rows are written.
         """
         placed = rows.withColumns({"dt": dt, "run": run, "attempt": F.lit(self._own_attempt())})
         if isinstance(dataset, str):
@@ -152,39 +154,34 @@ class Lake:
         observed = Observation()
         (
             placed.observe(observed, F.count(F.lit(1)).alias("n"))
-            .write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(target)
+            .write.mode("append").options(**FILE_OPTIONS).partitionBy(*by).parquet(target)
         )
         return Written(observed.get["n"])
 
     def write_one(self, name: str, rows: DataFrame, day: date, run: str) -> Written:
         """Write rows of one dataset and date straight into their folder."""
         observed, lake = Observation(), self.bound(self._own_attempt())
-        rows.observe(observed, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(lake.path(name, day, run))
+        rows.observe(observed, F.count(F.lit(1)).alias("n")).write.options(**FILE_OPTIONS).parquet(lake.path(name, day, run))
         return Written(observed.get["n"])
 
     def bytes(self, name: str, day: date, run: str) -> int:
-        path = self.path(name, day, run)
-        return (self._listed(name) if self.attempt is not None else folder_sizes(self.spark, f"{path}/*.parquet")).get(_plain(path), 0)
+        return self._bytes_in(self.path(name, day, run)) or 0
 
     def _own_attempt(self) -> str:
         """The attempt that is bound, or one for a single write."""
         return self.attempt or new_attempt()
 
-    def _listed(self, name: str) -> dict[str, int]:
-        """Bytes by folder of what this attempt wrote to a dataset, from one listing after the write."""
-        if name not in self._sizes:
-            found = folder_sizes(self.spark, f"{self.dataset_path(DATASETS[name])}/dt=*/run=*/attempt={self.attempt}/*.parquet")
-            if not found:
-                return found
-            self._sizes[name] = found
-        return self._sizes[name]
+    def _bytes_in(self, path: str) -> int | None:
+        """Bytes of one folder, None if there is none. What an attempt wrote is listed once, and nothing beside it."""
+        known = self._bytes.get(path)
+        if known is None:
+            known = folder_bytes(self.spark, path)
+            if known is not None and self.attempt is not None:
+                self._bytes[path] = known
+        return known
 
     def _read(self, paths: list[str], base: str, schema: str) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.option("basePath", base).schema(schema).parquet(*paths)
 
-
-def _plain(path: str) -> str:
-    """A path without scheme and host, as listings give it."""
-    return "/" + path.split("://", 1)[-1].split("/", 1)[-1] if "://" in path else path.removeprefix("file:")
