@@ -80,6 +80,25 @@ def test_segmentations_vary_and_are_repeatable(spark, pieces):
     assert 0.28 < skipped.mean() < 0.32
 
 
+def test_every_occurrence_has_a_key_of_its_own(spark, pieces):
+    """Occurrences that share a segmentation have that of their own keys, and variety grows with them."""
+    encoder = piece_dropout.Encoder(pieces, 0.1, 1)
+    words = [w for t in _texts(spark, 20) for w in pieces.split(" " + t)][:3000] + [" internationalization"] * 4000 + [" " + "ab" * 40] * 3
+    draw = piece_dropout.mixed(7, np.arange(len(words)))
+    shared = _split(*encoder._encode_words(words, draw))
+    assert shared == [encoder._segment([w], draw[i:i + 1])[0].tolist() for i, w in enumerate(words)]
+    kinds = [len({tuple(x) for x in shared[3000:3000 + n]}) for n in (40, 400, 4000)]
+    assert kinds[0] < kinds[1] < kinds[2] and kinds[2] > 200
+    texts = [f"{n} internationalization" for n in range(4000)]
+    ids, counts = encoder.encode(texts)
+    whole = _split(ids, counts)
+    tails = set()
+    for text, found in zip(texts, whole, strict=True):
+        spelled = [piece_dropout.decode_ids(pieces, np.array(found[i:]), np.array([len(found) - i]))[0].as_py() for i in range(len(found))]
+        tails.add(tuple(found[max(i for i, x in enumerate(spelled) if x.endswith("internationalization")):]))
+    assert len(tails) > 200
+
+
 def test_groups_of_documents_change_nothing(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(ODD)) + [(None, None), (3, ODD[3])], DOCS)
     whole = sorted((tuple(r) for r in piece_dropout.encode(docs, MODEL).collect()), key=repr)

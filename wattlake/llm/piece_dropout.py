@@ -2,13 +2,14 @@
 
 A text is segmented by merges: of all neighbouring symbols that form a piece of the vocabulary, the pair with
 the best score is merged first, the leftmost of equals. With dropout, a candidate that comes up on the agenda
-is skipped if the hash of a key, the two symbols and their place says so. The key is drawn from the seed, the
-text and the ordinal of the word in it, so a word is segmented in varied ways, the same in every run. Every
-segmentation spells the text, so decoding gives the text back.
-
-Merges never cross from a word into the space before the next, so words are segmented on their own. Equal
-words with equal keys are segmented once for a group of documents, many words at a time in numpy; very long
-words go through a heap.
+is skipped if the hash of a key, the two symbols and their place says so. Every occurrence of a word has a key
+of its own, drawn from the seed, the text and the ordinal of the word in it, so a word is segmented in varied
+ways, the same in every run. Every segmentation spells the text, so decoding gives the text back.
+
+Merges never cross from a word into the space before the next, so words are segmented on their own. A distinct
+word is segmented once without dropout for a group of documents; an occurrence that skips none of the merges
+made there has that segmentation, and the others are segmented by their own keys, many at a time in numpy.
+Very long words go through a heap.
 """
 
 from __future__ import annotations
@@ -29,8 +30,6 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import in_small_batches
 
 DROPOUT, SEED = 0.1, 1
-#: Keys that the words of a text are dealt to.
-KEYS = 8
 #: Words of more characters go through a heap, so that time grows but little faster than length.
 LONG = 48
 #: Characters and words that are encoded together, and ids that are decoded together.
@@ -140,29 +139,35 @@ class Encoder:
     def __init__(self, pieces: Pieces, dropout: float, seed: int) -> None:
         self.pieces, self.seed = pieces, seed
         self.limit = np.uint64(int(dropout * (1 << 53)))
-        self.keys = KEYS if dropout else 1
 
     def skipped(self, key, left, right, start) -> np.ndarray:
-        return (mixed(self.seed, key, left, right, start) >> np.uint64(11)) < self.limit
+        return self._says_skip(key, mixed(self.seed, left, right, start))
+
+    def _says_skip(self, key, candidate) -> np.ndarray:
+        return (mixed(key, candidate) >> np.uint64(11)) < self.limit
 
     def _candidates(self, key, left, right, start) -> tuple[np.ndarray, np.ndarray]:
         rank, into = self.pieces.pair(left, right)
-        if self.limit:
+        if self.limit and key is not None:
             some = np.nonzero(rank != _NONE)
             key = np.broadcast_to(key, rank.shape)
             drop = self.skipped(key[some], left[some], right[some], start[some])
             rank[tuple(x[drop] for x in some)] = _NONE
         return rank, into
 
-    def short(self, symbols: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Segmentations of words of one length, a row each; -1 fills up."""
+    def short(self, symbols: np.ndarray, keys: np.ndarray | None, merges: list | None = None) -> np.ndarray:
+        """Segmentations of words of one length, a row each; -1 fills up.
+
+        Without keys nothing is skipped. ``merges`` receives the rows and the hashed candidates of each round.
+        """
         out = symbols.copy()
         n, length = symbols.shape
         if length < 2:
             return out
-        rows, ids, key = np.arange(n), symbols.copy(), keys
+        drops = keys is not None
+        rows, ids, key = np.arange(n), symbols.copy(), keys if drops else np.zeros(n, np.uint64)
         start = np.broadcast_to(np.arange(length, dtype=np.int32), ids.shape).copy()
-        rank, into = self._candidates(key[:, None], ids[:, :-1], ids[:, 1:], start[:, :-1])
+        rank, into = self._candidates(key[:, None] if drops else None, ids[:, :-1], ids[:, 1:], start[:, :-1])
         while len(rows):
             at = rank.argmin(axis=1)
             every = np.arange(len(rows))
@@ -174,6 +179,8 @@ class Encoder:
                 every = np.arange(len(rows))
                 if not len(rows):
                     break
+            if merges is not None:
+                merges.append((rows, mixed(self.seed, ids[every, at], ids[every, at + 1], start[every, at])))
             ids[every, at] = into[every, at]
             spots = np.arange(ids.shape[1] - 1)
             spots = spots + (spots > at[:, None])
@@ -189,21 +196,21 @@ class Encoder:
                 p = at + side
                 ok = np.flatnonzero((p >= 0) & (p < ids.shape[1] - 1))
                 p = p[ok]
-                rank[ok, p], into[ok, p] = self._candidates(key[ok], ids[ok, p], ids[ok, p + 1], start[ok, p])
+                rank[ok, p], into[ok, p] = self._candidates(key[ok] if drops else None, ids[ok, p], ids[ok, p + 1], start[ok, p])
         return out
 
-    def long(self, symbols: np.ndarray, key: int) -> np.ndarray:
+    def long(self, symbols: np.ndarray, key: int | None) -> np.ndarray:
         """The segmentation of one word, from a heap of candidates."""
-        n = len(symbols)
+        n, key = len(symbols), None if key is None else np.uint64(key)
         ids, after, before = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
-        rank, into = self._candidates(np.int64(key), symbols[:-1], symbols[1:], np.arange(n - 1))
+        rank, into = self._candidates(key, symbols[:-1], symbols[1:], np.arange(n - 1))
         agenda = [(int(r), i, int(a), int(b), int(m)) for i, (r, a, b, m) in enumerate(zip(rank, symbols, symbols[1:], into, strict=False)) if r != _NONE]
         heapq.heapify(agenda)
 
         def push(i: int) -> None:
             if i >= 0 and after[i] < n:
                 a, b = np.array([ids[i]]), np.array([ids[after[i]]])
-                r, m = self._candidates(np.int64(key), a, b, np.array([i]))
+                r, m = self._candidates(key, a, b, np.array([i]))
                 if r[0] != _NONE:
                     heapq.heappush(agenda, (int(r[0]), i, int(a[0]), int(b[0]), int(m[0])))
 
@@ -219,8 +226,11 @@ class Encoder:
             push(i)
         return np.array([x for x in ids if x >= 0], dtype=np.int32)
 
-    def _segment(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after another, and each word's number of ids."""
+    def _segment(self, words: list[str], keys: np.ndarray | None, merges: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and each word's number of ids; without keys nothing is skipped.
+
+        ``merges`` receives the words and the hashed candidates that were merged.
+        """
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         table = self.pieces.of_char
@@ -240,7 +250,7 @@ class Encoder:
             same = np.flatnonzero(lengths == length)
             if length > LONG:
                 for i in same.tolist():
-                    ids = self.long(symbols[begins[i]:begins[i] + length], int(keys[i]))
+                    ids = self.long(symbols[begins[i]:begins[i] + length], None if keys is None else keys[i])
                     put(np.array([i]), ids, np.array([len(ids)]))
                 continue
             for cut in range(0, len(same), 1 << 16):
@@ -251,7 +261,10 @@ class Encoder:
                         ids = self.pieces.byte[np.frombuffer(words[i].encode("utf-8", "surrogatepass"), np.uint8)]
                         put(np.array([i]), ids, np.array([len(ids)]))
                     some, rows = some[rows[:, 0] >= 0], rows[rows[:, 0] >= 0]
-                found = self.short(rows, keys[some])
+                made: list | None = None if merges is None else []
+                found = self.short(rows, None if keys is None else keys[some], made)
+                if merges is not None:
+                    merges += [(some[at], candidates) for at, candidates in made]
                 put(some, found[found >= 0], (found >= 0).sum(axis=1))
         whole = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         return _gather(whole, place, sizes), sizes
@@ -288,13 +301,33 @@ class Encoder:
         return np.concatenate(parts), counts
 
     def _encode_words(self, words: list[str], draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after another, and each word's number of ids; equal words with equal keys once."""
+        """Ids of all words one after another, and each word's number of ids, by the key of each in ``draw``."""
         codes, distinct = pd.factorize(np.array(words, dtype=object))
-        codes = codes * self.keys + (draw % np.uint64(self.keys)).astype(np.int64)
-        codes, kinds = pd.factorize(codes)
-        segmented, sizes = self._segment(distinct[kinds // self.keys].tolist(), kinds % self.keys)
-        first = np.cumsum(sizes) - sizes
-        return _gather(segmented, first[codes], sizes[codes]), sizes[codes]
+        if not self.limit:
+            ids, sizes = self._segment(distinct.tolist(), None)
+            return _gather(ids, (np.cumsum(sizes) - sizes)[codes], sizes[codes]), sizes[codes]
+        long = np.fromiter(map(len, distinct), np.int64, len(distinct)) > LONG
+        whole = np.where(long, "", distinct)  # hardly any occurrence of a long word skips nothing
+        merges: list[tuple[np.ndarray, np.ndarray]] = []
+        ids, sizes = self._segment(whole.tolist(), None, merges)
+        own = long[codes] | self._skips(codes, draw, merges, len(distinct))
+        varied, counts = self._segment(distinct[codes[own]].tolist(), draw[own])
+        first, size = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        first[own], size[own] = len(ids) + np.cumsum(counts) - counts, counts
+        return _gather(np.concatenate([ids, varied]), first, size), size
+
+    def _skips(self, codes: np.ndarray, draw: np.ndarray, merges: list, n: int) -> np.ndarray:
+        """Which occurrences skip a candidate that is merged where nothing is skipped."""
+        if not merges:
+            return np.zeros(len(codes), dtype=bool)
+        word, candidate = (np.concatenate(x) for x in zip(*merges, strict=True))
+        order = np.argsort(word, kind="stable")
+        made = np.bincount(word, minlength=n)
+        times = made[codes]
+        candidates = _gather(candidate[order], (np.cumsum(made) - made)[codes], times)
+        found = np.zeros(len(codes), dtype=bool)
+        found[np.repeat(np.arange(len(codes)), times)[self._says_skip(np.repeat(draw, times), candidates)]] = True
+        return found
 
 
 def _blocks(text: str):
