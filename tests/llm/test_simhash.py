@@ -258,3 +258,14 @@ def test_shared_stock_text_and_hot_tokens_equal_brute_force_and_few_pairs_are_ve
     # Rows that are not read from files get places of their own.
     given = spark.createDataFrame(list(enumerate(texts[:40] + texts[:5])), "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.keep_one(given).collect()) == list(range(40))
+
+
+def test_tokens_with_the_same_holders_are_one(spark):
+    """Of tokens that exactly the same nodes hold, the first in the order of shingles stays, with its own places."""
+    rows = [(7, 1, 0, 1), (8, 1, 1, 1), (9, 1, 2, 1), (7, 2, 3, 1), (8, 2, 4, 1), (9, 2, 6, 1)]  # 7, 8, 9: nodes 1 and 2
+    rows += [(5, 2, 1, 2), (5, 3, 0, 2), (4, 2, 2, 2), (4, 3, 1, 2), (4, 4, 0, 2)]  # 5: nodes 2 and 3; 4: node 4 as well
+    met = spark.createDataFrame(rows, "token long, node long, at int, least long").withColumn("size", F.lit(40))
+    met = met.select("token", "node", "size", "at", "least")
+    found = {(r.token, r.node, r.at) for r in simhash._one_of_alike(met).collect()}
+    assert found == {(t, n, at) for t, n, at, _ in rows if t in (7, 5, 4)}
+    assert simhash._one_of_alike(met.where("token = 0")).collect() == []

@@ -361,6 +361,7 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame],
         spread.groupBy("token").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("token", "least")
     )
     met = filed(spread.join(often, "token").select("token", "node", F.col("size").cast("int").alias("size"), F.col("at").cast("int").alias("at"), "least"))
+    met = filed(_one_of_alike(met))
     bits = nodes.select("node", "size", "bits")
     first = met.where("node <> least").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
     done = filed(first)
@@ -389,6 +390,21 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame],
     return links
 
 
+def _one_of_alike(met: DataFrame) -> DataFrame:
+    """``met`` with one of the tokens that exactly the same nodes hold, the first in the order of all shingles.
+
+    The tokens of a passage mostly have the same holders, and one of them says the same as all. Sets are told
+    apart by 128 bits and their number. All holders have the tokens in one order, so the least node's places
+    tell the first, and the places of that are right for each pair.
+    """
+    holders = met.groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t"),
+        F.min(F.struct("node", "at")).alias("lead"),
+    )
+    first = holders.groupBy("n", "s", "t").agg(F.min_by("token", "lead.at").alias("token"))
+    return met.join(first.select("token"), "token", "left_semi")
+
+
 def _plausible(pairs: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``(a, b)`` that parities don't rule out."""
     both = pairs
