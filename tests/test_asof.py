@@ -3,9 +3,11 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import Row
 
 from wattlake.operators import asof_join
 from wattlake.operators.asof import _bucket_plan, _measured, _present, _wide_plan
+from wattlake.plans import load_queries
 
 T0 = datetime(2024, 1, 1)
 
@@ -139,6 +141,30 @@ def test_a_large_right_side_costs_one_shuffle_of_the_left(spark, tmp_path):
     assert rows(joined) == brute_force(left, right, "left", True)
 
 
+def test_many_keys_with_few_rows_over_years_fit_wide_buckets(spark):
+    """A bucket has no more rows than its key, so a year's width is no crowd where keys have few rows."""
+    right = [(f"k{k}", T0 + timedelta(days=(k * 7 + i * 900) % 2400), i) for k in range(4000) for i in range(3)]
+    left = [(f"k{k}", T0 + timedelta(days=k % 2400), k) for k in range(0, 4000, 40)]
+    l, r = frames(spark, left, right)
+    seen = _measured(_present(r, ["k"], "since"), ["k"], "since")
+    assert (seen.largest, seen.fullest) == (3, 1) and _wide_plan(seen) is not None
+    many = Row(**seen.asDict() | {"rows": 150_000, "keys": 15_000})
+    assert _wide_plan(many)[0] == 24 * 365
+    joined = asof_join(l, r, ["k"], "ts", "since", "left", broadcast_bytes=0)
+    assert "_b" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(joined) == brute_force(left, right, "left", True)
+
+
+def test_the_large_query_does_not_fail_where_no_width_of_buckets_does(spark, tmp_path):
+    """One customer with more orders in an hour than a bucket takes: sorted, not refused."""
+    orders = [(i, 1, T0 + timedelta(seconds=i), 1.5) for i in range(1500)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(i, 1, T0 + timedelta(seconds=i), 9) for i in (0, 700, 1499)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = load_queries()[0]["asof_large_right"](spark, str(tmp_path)).collect()
+    assert sorted((r.l_orderkey, r.last_order == r.l_shipdate, r.spent_cents) for r in got) == [(i, True, 150) for i in (0, 700, 1499)]
+
+
 def test_bad_arguments(spark):
     l, r = frames(spark, [("a", T0, 1)], [("a", T0, 1)])
     with pytest.raises(ValueError):

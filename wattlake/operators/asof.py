@@ -11,7 +11,7 @@ Three plans, chosen by measuring the right side:
                it and those that begin there. Buckets are as wide as keeps these entries
                within a small multiple of the right rows, and adaptive execution splits a
                bucket that many left rows fall into, as in any join.
-``sorted``     Where right rows crowd so that no width does. The distinct keys and times of both sides go through one shuffle by key and
+``sorted``     Where right rows crowd, or keys have few rows each, so that no width does. The distinct keys and times of both sides go through one shuffle by key and
                one sort by time, and a running "last right row" is read off and joined
                back by key and time. Keys with very many times are walked in slices, each
                given the right row in force at its start. There is no bound on either side.
@@ -118,8 +118,11 @@ def _present(right: DataFrame, on: list[str], time: str) -> DataFrame:
 
 
 def _measured(right: DataFrame, on: list[str], time: str) -> Row:
-    """Rows, keys, covered hours, rows of the largest key, rows in a key's fullest hour, and the widest row
-    as text; one job, whose groups are combined before each shuffle."""
+    """Rows, keys, covered hours, rows of the largest key, rows in a key's fullest hour, the widest row as text,
+    and by width of buckets the most rows a bucket can have; one job, whose groups are combined before each shuffle.
+
+    A bucket has no more rows than its key, nor than its hours could have if all were like the key's fullest.
+    """
     per_hour = right.groupBy(
         *on, epoch_hours(F.col(time), right.schema[time].dataType).alias("_hour")
     ).agg(
@@ -134,6 +137,7 @@ def _measured(right: DataFrame, on: list[str], time: str) -> Row:
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys"), F.min("_first").alias("first"),
         F.max("_last").alias("last"), F.max("_n").alias("largest"), F.max("_fullest").alias("fullest"),
         F.max("_width").alias("widest"),
+        F.array(*(F.max(F.least("_n", F.col("_fullest") * width)) for width in _WIDTHS)).alias("crowds"),
     ).first()
 
 
@@ -141,9 +145,9 @@ def _wide_plan(seen: Row) -> tuple[int, int, int] | None:
     """The narrowest bucket with which the intervals make few entries and no bucket is crowded."""
     if not seen.rows:
         return _WIDTHS[0], 0, 0
-    for width in _WIDTHS:
+    for width, crowd in zip(_WIDTHS, seen.crowds, strict=True):
         buckets = (seen.last - seen.first) // width + 4
-        if seen.keys * buckets <= (_ENTRIES - 1) * max(seen.rows, _BROADCAST_ROWS) and seen.fullest * width <= _CROWDED:
+        if seen.keys * buckets <= (_ENTRIES - 1) * max(seen.rows, _BROADCAST_ROWS) and crowd <= _CROWDED:
             return width, seen.first, seen.last
     return None
 
@@ -154,7 +158,7 @@ def _bucket_plan(
     """The narrowest bucket with which the right side is certain to fit ``budget`` bytes
     and no bucket is crowded, and the first and last hour to cut into buckets.
     """
-    rows, keys, first, last, fullest, widest = seen.rows, seen.keys, seen.first, seen.last, seen.fullest, seen.widest
+    rows, keys, first, last, widest = seen.rows, seen.keys, seen.first, seen.last, seen.widest
     if not rows:
         return _WIDTHS[0], 0, 0
     if rows > _BROADCAST_ROWS:
@@ -163,11 +167,11 @@ def _bucket_plan(
         from_hour, to_hour = ((day - _EPOCH).days * 24 for day in (focus[0], focus[1] + timedelta(days=1)))
         first, last = max(first, from_hour), min(last, to_hour - 1)
         last = max(first, last)
-    for width in _WIDTHS:
+    for width, crowd in zip(_WIDTHS, seen.crowds, strict=True):
         buckets = (last - first) // width + 4
         # Intervals of a key tile its time line: one entry per bucket, one more per start.
         fits = (rows + keys * buckets) * (widest + 128) <= budget
-        if fits and fullest * width <= _CROWDED:
+        if fits and crowd <= _CROWDED:
             return width, first, last
     return None
 

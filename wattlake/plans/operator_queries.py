@@ -322,8 +322,9 @@ def _asof_large_right(spark, folder):
     spent = orders.groupBy("o_custkey", F.col("o_orderdate").alias("last_order")).agg(
         F.sum(cents(F.col("o_totalprice"))).alias("spent_cents")
     )
+    # Never broadcast, however small the tables; shuffled by buckets or sorted, as the right rows allow.
     return asof_join(
-        lines, spent, ["o_custkey"], "l_shipdate", "last_order", "left", strategy="bucketed"
+        lines, spent, ["o_custkey"], "l_shipdate", "last_order", "left", broadcast_bytes=0
     ).drop("o_custkey")
 
 
