@@ -111,3 +111,16 @@ def test_changes_of_rows_without_time(spark):
     o, n = (spark.createDataFrame(x, "k string, v int") for x in ([("a", 1), ("b", None), ("c", 3)], [("a", 1), ("b", 2), ("d", None)]))
     assert rows(changed_intervals(o, n, ["k"])) == [("b", None, None), ("c", None, None), ("d", None, None)]
     assert changed_intervals(o.limit(0), n.limit(0), ["k"]).collect() == []
+
+
+def test_dates_of_overlapping_intervals_come_once_and_are_not_grouped(spark):
+    moment = lambda d, h=0: datetime(2024, 1, d, h)
+    given = [("a", moment(2), moment(5)), ("a", moment(2), moment(3)), ("a", moment(4, 6), moment(6, 1)), ("a", moment(9), moment(9)),
+             ("b", None, moment(3)), ("b", moment(7), None), (None, moment(1), moment(2, 1)), (None, moment(2), moment(2, 5)), ("c", moment(30), None)]
+    intervals = spark.createDataFrame(given, "k string, since timestamp_ntz, until timestamp_ntz")
+    touched = touched_dates(intervals, date(2024, 1, 1), date(2024, 1, 8), "k")
+    expected = [("a", d) for d in (2, 3, 4, 5, 6)] + [("b", d) for d in (1, 2, 7, 8)] + [(None, d) for d in (1, 2)]
+    assert sorted(((r.k or "", r.touched.day) for r in touched.collect())) == sorted((k or "", d) for k, d in expected)
+    assert "Aggregate" not in touched._jdf.queryExecution().optimizedPlan().toString()
+    days = [r.touched.day for r in touched_dates(intervals, date(2024, 1, 1), date(2024, 1, 8)).collect()]
+    assert sorted(days) == list(range(1, 9))

@@ -41,12 +41,21 @@ def changed_intervals(
 
 
 def touched_dates(intervals: DataFrame, first: date | Column, last: date | Column, *keys: str) -> DataFrame:
-    """``keys, touched``: the dates from ``first`` to ``last`` that the intervals overlap, each once."""
+    """``keys, touched``: the dates from ``first`` to ``last`` that the intervals overlap, each once.
+
+    With keys, an interval gives the dates that none of its key's intervals before has given, so dates are never
+    compared once they are spelt out; what is sorted, by key, are the intervals.
+    """
     low, high = (x if isinstance(x, Column) else F.lit(x) for x in (first, last))
     start = F.greatest(F.to_date("since"), low)
     # An open end (NULL) gives way to the other argument. An interval that ends at midnight does not touch
     # the date that begins there.
     until = F.to_date("until")
     end = F.least(F.when(F.col("until") == until.cast("timestamp_ntz"), F.date_sub(until, 1)).otherwise(until), high)
-    dates = F.when(start <= end, F.sequence(start, end))
-    return intervals.select(*keys, F.explode(dates).alias("touched")).distinct()
+    spans = intervals.select(*keys, start.alias("_start"), end.alias("_end")).filter("_start <= _end")
+    if not keys:
+        return spans.distinct().select(F.explode(F.sequence("_start", "_end")).alias("touched")).distinct()
+    before = Window.partitionBy(*keys).orderBy("_start", "_end").rowsBetween(Window.unboundedPreceding, -1)
+    given = spans.withColumn("_given", F.max("_end").over(before))
+    own = F.greatest("_start", F.date_add("_given", 1))
+    return given.select(*keys, F.explode(F.when(own <= F.col("_end"), F.sequence(own, "_end"))).alias("touched"))

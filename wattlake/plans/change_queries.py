@@ -94,7 +94,8 @@ def _snapshot_touched_dates(spark, folder):
     days = new.select(F.to_date("since").alias("touched")).distinct()
     span = days.agg(F.min("touched"), F.max("touched")).first()
     touched = touched_dates(changed_intervals(old, new, ["k"], "since"), *span, "k")
-    return touched.join(days, "touched", "left_semi").groupBy("touched").agg(F.count_distinct("k").alias("customers"))
+    # A customer has a date once, so counting needs no customers kept; the dates of a calendar are few.
+    return touched.join(F.broadcast(days), "touched", "left_semi").groupBy("touched").agg(F.count("k").alias("customers"))
 
 
 @query(
