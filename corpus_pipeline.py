@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """Keeps the document with the smallest id of each group of near copies, by SimHash and an exact completion."""
     return simhash.keep_one(docs)
 
 

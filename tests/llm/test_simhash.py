@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -269,3 +270,55 @@ def test_tokens_with_the_same_holders_are_one(spark):
     found = {(r.token, r.node, r.at) for r in simhash._one_of_alike(met).collect()}
     assert found == {(t, n, at) for t, n, at, _ in rows if t in (7, 5, 4)}
     assert simhash._one_of_alike(met.where("token = 0")).collect() == []
+
+
+def near_sets(rng, n, shared):
+    """Sets of which any two share the ``shared`` first of 100 members."""
+    core = rng.integers(0, 2**63, shared, dtype=np.uint64)
+    return [np.unique(np.concatenate([core, rng.integers(0, 2**63, 100 - shared, dtype=np.uint64)])) for _ in range(n)]
+
+
+def test_a_block_hands_on_fewer_pairs_than_members():
+    sets = near_sets(np.random.default_rng(5), 60, 87)  # all pairs are at 0.77, and parities rule out few of them
+    n = len(sets)
+    columns = [np.arange(n), np.full(n, 100), np.zeros(n, np.int64), np.arange(n), np.zeros(n, np.int32)]
+    names = ["node", "size", "at", "component", "own", "bits"]
+    members = pa.StructArray.from_arrays([*map(pa.array, columns), pa.array([simhash.parity_bits(x) for x in sets], pa.binary())], names)
+    a, b = simhash._near_in_block(members, False, 0.75)
+    assert len(a) == n - 1 and len(simhash.spanning_links(n, a, b)[0]) == n - 1
+
+
+@pytest.mark.parametrize("chunks", [1, 3])
+def test_links_of_a_cluster_join_what_brute_force_joins(chunks):
+    rng = np.random.default_rng(6)
+    sets = near_sets(rng, 25, 92) + near_sets(rng, 25, 87) + near_sets(rng, 20, 91)
+    n = len(sets)
+    component = np.where(np.arange(n) % 7 == 0, 1000 + np.arange(n) // 25, np.arange(n))
+    chunk = np.arange(n) % chunks if chunks > 1 else None
+    a, b = simhash._links_of_sets(sets, component, chunk, 0.8)
+    near = [
+        (i, j) for i in range(n) for j in range(i + 1, n)
+        if (chunk is None or chunk[i] != chunk[j]) and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))
+    ]
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) <= set(near) and len(a) < n
+    groups = [(i, j) for i in range(n) for j in range(i) if component[i] == component[j]]
+    root = lambda links: (lambda x: [dict(zip(*map(np.ndarray.tolist, x), strict=True)).get(i, i) for i in range(n)])(
+        simhash.spanning_links(n, np.array([x for x, _ in links]), np.array([y for _, y in links])))
+    assert root(groups + near) == root(groups + list(zip(a.tolist(), b.tolist(), strict=True)))
+
+
+def test_near_copies_are_found_by_their_fingerprints_at_the_anchors(spark, monkeypatch):
+    """Without shared tokens of the completion, what is left are the links of SimHash."""
+    met, real = [], simhash.fingerprint_links
+    monkeypatch.setattr(simhash, "fingerprint_links", lambda prints, distance: met.append(distance) or real(prints, distance))
+    rng = np.random.default_rng(9)
+    base = [[str(x) for x in rng.integers(0, 5000, 900)] for _ in range(6)]
+    texts = [" ".join(words[: 900 - cut]) for words in base for cut in (0, 5)]
+    sets = [simhash.shingle_set(t, 5) for t in texts]
+    close = {(i, i + 1) for i in range(0, 12, 2)
+             if np.bitwise_count(np.uint64((simhash.fingerprint_of(sets[i]) ^ simhash.fingerprint_of(sets[i + 1])) & (2**64 - 1))) <= 4}
+    rows = [(i, len(x), simhash.fingerprint_of(x), [], simhash.parity_bits(x)) for i, x in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, size long, fingerprint long, tokens array<long>, bits binary")
+    given = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    links = simhash.similar_links(nodes, lambda needed: given.join(needed, "node"), 5, 0.8).collect()
+    assert met == [4] and len(close) >= 3 and {(r.a, r.b) for r in links} == close

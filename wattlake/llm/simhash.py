@@ -41,6 +41,8 @@ CHUNK = 20_000
 ORDER_DOCS, ORDER_LEAST, ORDER_SHINGLES = 4_000, 3, 50_000
 #: Members of a token that are compared in one block.
 BLOCK = 2048
+#: Bytes of the sets of one chunk of a cluster.
+CLUSTER_BYTES = 4 << 20
 _PAIRS = 1 << 20
 _NONE = np.zeros(0, dtype=np.uint64)
 
@@ -317,13 +319,22 @@ def _folded(bits: bytes, width: int) -> np.ndarray:
     return words
 
 
+def fingerprint_of(shingles: np.ndarray) -> int:
+    """The SimHash of a set of shingles as a signed number; zero without any."""
+    total = np.zeros(64, dtype=np.int64)
+    for start in range(0, len(shingles), _PAIRS >> 4):
+        part = np.ascontiguousarray(shingles[start:start + (_PAIRS >> 4)])
+        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(shingles), bitorder="little").view("<i8")[0]) if len(shingles) else 0
+
+
 def describe(
     text: str | None, size: int, similarity: float = 0.8, common: np.ndarray = _NONE, rank: np.ndarray = _NONE
-) -> tuple[bytes, int, list[int], bytes]:
-    """A 128-bit name of the text's set of shingles, their number, the first of them in the order of ``rarest``, parities."""
+) -> tuple[bytes, int, int, list[int], bytes]:
+    """A 128-bit name of the text's set of shingles, their number and SimHash, the first of them in the order of ``rarest``, parities."""
     found = shingle_set(text, size)
     first = rarest(found, prefix_length(len(found), similarity), common, rank)
-    return xxhash.xxh3_128_digest(found.tobytes()), len(found), first.view(np.int64).tolist(), parity_bits(found)
+    return xxhash.xxh3_128_digest(found.tobytes()), len(found), fingerprint_of(found), first.view(np.int64).tolist(), parity_bits(found)
 
 
 def _common_shingles(texts: DataFrame, size: int, seed: Column) -> tuple[np.ndarray, np.ndarray]:
@@ -345,15 +356,18 @@ def _common_shingles(texts: DataFrame, size: int, seed: Column) -> tuple[np.ndar
     return hashes[order], order
 
 
-def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, similarity: float) -> DataFrame:
+def similar_links(
+    nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, similarity: float, distance: int = MAX_DISTANCE
+) -> DataFrame:
     """``(a, b)``: links that connect the nodes that ``similarity`` joins; every link is one by its shingles.
 
-    ``nodes(node, size, tokens, bits)`` has the numbers of shingles, the first of them, of which two similar
-    nodes share one, and their parities; ``texts_of`` gives ``(node, text)`` for some nodes. Twice every node is compared with
-    one other that shares a token: with the least, then with one of the least component, so that large groups
-    stay stars. What holds a token and still is in different components is compared block by block. All
-    comparisons are of the parities first, which rule out nearly all pairs below the similarity, and those left
-    are verified on the shingles. So the links are not all, but their components are those of all.
+    ``nodes(node, size, fingerprint, tokens, bits)`` has the numbers of shingles, their SimHash, the first of them, of
+    which two similar nodes share one, and their parities; ``texts_of`` gives ``(node, text)`` for some nodes. Fingerprints
+    within ``distance`` bits, found at the anchors, are compared first, and every node with the least one that shares a
+    token, so that most groups are joined by few pairs. Fingerprints do not tell all pairs of the similarity, so what
+    holds a token and still is in different components is looked at block by block: parities, which rule out nearly
+    all pairs below the similarity, say which nodes may belong together, and these clusters, whose nodes are sent
+    once, are compared on the shingles. So the links are not all, but their components are those of all.
     """
     filed = Scratch(nodes.sparkSession)
     spread = nodes.select("node", "size", F.posexplode("tokens").alias("at", "token"))
@@ -364,32 +378,27 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame],
     met = filed(_one_of_alike(met))
     bits = nodes.select("node", "size", "bits")
     first = met.where("node <> least").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
-    done = filed(first)
-    links = materialise(_verified(texts_of, _plausible(done, bits, similarity), size, similarity, filed))
-    for turn in ("least", "blocks"):
-        components = materialise(connected_components(links))
-        named = met.join(components, "node", "left").select("token", "node", "size", "at", F.coalesce("component", "node").alias("component"))
-        apart = named.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).where("c <> d")
-        open_ = filed(named.join(apart.select("token", "c", "n"), "token"))
-        if turn == "least":
-            centre = open_.where("component = c").groupBy("token").agg(F.min("node").alias("a"))
-            pairs = open_.where("component <> c").join(centre, "token").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            pairs = filed(pairs.join(done, ["a", "b"], "left_anti"))
-            done = done.union(pairs)
-            plausible = _plausible(pairs, bits, similarity)
-        else:
-            plausible = _blockwise(open_, bits, similarity).distinct().join(done, ["a", "b"], "left_anti")
-        found = _verified(texts_of, plausible, size, similarity, filed)
-        for end in ("a", "b"):  # one link for each two components
-            to = components.withColumnsRenamed({"node": end, "component": "to"})
-            found = found.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
-        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-        links = materialise(links.union(found))
+    pairs = filed(_close_prints(nodes.where("size > 0"), distance, filed).union(first).distinct())
+    links = materialise(_verified(texts_of, _plausible(pairs, bits, similarity), size, similarity, filed))
+    components = materialise(connected_components(links))
+    named = met.join(components, "node", "left").select("token", "node", "size", "at", F.coalesce("component", "node").alias("component"))
+    apart = named.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).where("c <> d")
+    open_ = filed(named.join(apart.select("token", "n"), "token"))
+    clusters = connected_components(_blockwise(open_, bits, similarity)).withColumnRenamed("component", "cluster")
+    clusters = filed(clusters.join(components, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("component")))
+    links = materialise(links.union(_linked_in_clusters(clusters, _sets(texts_of, clusters.select("node"), size, filed), similarity, filed)))
     filed.remove()
     return links
 
 
+def _close_prints(nodes: DataFrame, distance: int, filed: Scratch) -> DataFrame:
+    """Pairs ``(a, b)``, the lesser first, that connect the nodes whose fingerprints are within ``distance`` bits."""
+    prints = filed(nodes.groupBy("fingerprint").agg(F.min("node").alias("least")))
+    same = nodes.select("node", "fingerprint").join(prints, "fingerprint").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    near = fingerprint_links(prints.select(F.col("least").alias("node"), "fingerprint"), distance)
+    return same.union(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
 def _one_of_alike(met: DataFrame) -> DataFrame:
     """``met`` with one of the tokens that exactly the same nodes hold, the first in the order of all shingles.
 
@@ -427,19 +436,25 @@ def _plausible(pairs: DataFrame, bits: DataFrame, similarity: float) -> DataFram
     return in_small_batches(near).mapInArrow(test, "a bigint, b bigint")
 
 
+def _cells(chunks: Column) -> Column:
+    """The pairs of chunks that a node meets others in, as ``(i, j)``."""
+    own = F.pmod(F.xxhash64("node"), chunks).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), chunks - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"))
+    )
+
+
 def _blockwise(members: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``(a, b)`` of one token's members in different components that sizes, places and parities don't rule out.
+    """Pairs ``(a, b)`` that connect a token's members of different components that sizes, places and parities don't rule out.
 
-    A token with more than BLOCK members is cut into chunks, and each pair of chunks is a block of its own.
+    Of a block's pairs only a forest is handed on, fewer than its members. A token with more than BLOCK members is
+    cut into chunks, and each pair of chunks is a block of its own.
     """
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), chunks).cast("int")
-    cells = F.transform(
-        F.sequence(F.lit(0), chunks - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"))
-    )
     member = F.struct("node", F.col("size").cast("bigint").alias("size"), F.col("at").cast("bigint").alias("at"), "component", own.alias("own"), "bits")
     blocks = (
-        members.join(bits.select("node", "bits"), "node").select("token", F.explode(cells).alias("cell"), member.alias("member"))
+        members.join(bits.select("node", "bits"), "node").select("token", F.explode(_cells(chunks)).alias("cell"), member.alias("member"))
         .groupBy("token", "cell").agg(F.collect_list("member").alias("members")).select("cell.i", "cell.j", "members")
     )
 
@@ -460,7 +475,8 @@ def _blockwise(members: DataFrame, bits: DataFrame, similarity: float) -> DataFr
 def _near_in_block(members: pa.StructArray, across: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     node, size, at, component, own = (members.field(k).to_numpy() for k in range(5))
     raw = members.field(5).to_pylist()
-    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    root = np.arange(len(node))  # the least member that one is connected with so far
+    a = b = np.zeros(0, np.int64)
     step = max(1, _PAIRS // max(1, len(node)))
     for start in range(0, len(node), step):
         rows = np.arange(start, min(start + step, len(node)))
@@ -468,22 +484,93 @@ def _near_in_block(members: pa.StructArray, across: bool, similarity: float) ->
         left = np.minimum(n - at[rows, None], m - at[None])  # no more can be common from here on
         near = (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9) & (left >= similarity / (1 + similarity) * (n + m) - 1e-9)
         near &= (component[rows, None] != component[None]) & (rows[:, None] < np.arange(len(node))[None])
+        near &= root[rows, None] != root[None]
         if across:
             near &= own[rows, None] != own[None]
         i, j = np.nonzero(near)
         i = rows[i]
         keep = may_be_similar(raw, size, i, j, similarity)
-        found.append((node[i[keep]], node[j[keep]]))
-    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+        a, b = spanning_links(len(node), np.concatenate([a, i[keep]]), np.concatenate([b, j[keep]]))
+        root[a] = b
+    return node[a], node[b]
 
 
-def _verified(texts_of: Callable[[DataFrame], DataFrame], pairs: DataFrame, size: int, similarity: float, filed: Scratch) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose sets of shingles have the Jaccard similarity or more."""
+def _linked_in_clusters(clusters: DataFrame, sets: DataFrame, similarity: float, filed: Scratch) -> DataFrame:
+    """Links ``(a, b)`` that connect the components of a cluster that similar nodes join, by their shingles.
+
+    A cluster of ``clusters(node, cluster, component)`` that is long or has many nodes is cut into chunks, and each
+    pair of chunks is compared on its own.
+    """
+    whole = sets.join(clusters, "node")
+    wide = clusters.join(sets.select("node", F.octet_length("shingles").alias("bytes")), "node")
+    wide = wide.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("bytes") / CLUSTER_BYTES, F.count("*") / BLOCK)).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    cells = (
+        whole.join(filed(wide), "cluster")
+        .select("cluster", F.explode(_cells(F.col("chunks"))).alias("cell"), F.struct("node", "component", own.alias("own"), "shingles").alias("member"))
+        .groupBy("cluster", "cell").agg(F.collect_list("member").alias("members")).select("cell.i", "cell.j", "members")
+    )
+
+    def link(batches):
+        for rows in batches:
+            for i, j, members in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2), strict=True):
+                node, component, chunk = (members.values.field(k).to_numpy() for k in range(3))
+                found = [np.frombuffer(x.as_buffer(), "<u8") for x in members.values.field(3)]
+                x, y = _links_of_sets(found, component, chunk if i != j else None, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], ["a", "b"])
+
+    return in_small_batches(cells).mapInArrow(link, "a bigint, b bigint")
+
+
+def _links_of_sets(sets: list[np.ndarray], component: np.ndarray, chunk: np.ndarray | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Similar pairs of sets, of different chunks if given, that join the components that all similar pairs join."""
+    n = len(sets)
+    root = np.unique(component, return_inverse=True)[1]
+    size, bits = np.array([len(x) for x in sets], dtype=np.int64), [parity_bits(x) for x in sets]
+    shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    numbers = np.split(shingle, np.cumsum(size)[:-1])
+    own = np.zeros(int(shingle.max(initial=0)) + 1, dtype=np.uint8)
+    left, right = [], []
+    step = max(1, _PAIRS // n)
+    for start in range(0, n, step):
+        rows = np.arange(start, min(start + step, n))
+        x, y = size[rows, None], size[None]
+        near = (np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9) & (rows[:, None] < np.arange(n)[None])
+        near &= root[rows, None] != root[None]
+        if chunk is not None:
+            near &= chunk[rows, None] != chunk[None]
+        i, j = np.nonzero(near)
+        keep = may_be_similar(bits, size, i + start, j, similarity)
+        i, j = i[keep] + start, j[keep]
+        for k in np.unique(i).tolist():
+            others = j[slice(*np.searchsorted(i, (k, k + 1)))]
+            others = others[root[others] != root[k]]
+            if not len(others):
+                continue
+            own[numbers[k]] = 1
+            ends = np.cumsum(size[others])
+            common = np.add.reduceat(own[np.concatenate([numbers[o] for o in others])], ends - size[others], dtype=np.int64)
+            own[numbers[k]] = 0
+            for o in others[common >= similarity * (size[k] + size[others] - common) - 1e-9].tolist():
+                if root[o] != root[k]:
+                    left.append(k)
+                    right.append(o)
+                    root[root == root[o]] = root[k]
+    return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
+
+
+def _sets(texts_of: Callable[[DataFrame], DataFrame], needed: DataFrame, size: int, filed: Scratch) -> DataFrame:
+    """``(node, shingles)``: the sets of shingles of the nodes needed, in order."""
     def cut(batches):
         for rows in batches:
             sets = [shingle_set(text, size).tobytes() for text in rows.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
+    return filed(in_small_batches(texts_of(needed)).mapInArrow(cut, "node bigint, shingles binary"))
+
+
+def _verified(texts_of: Callable[[DataFrame], DataFrame], pairs: DataFrame, size: int, similarity: float, filed: Scratch) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose sets of shingles have the Jaccard similarity or more."""
     def test(batches):
         for rows in batches:
             keep = np.zeros(rows.num_rows, dtype=bool)
@@ -494,8 +581,7 @@ def _verified(texts_of: Callable[[DataFrame], DataFrame], pairs: DataFrame, size
             yield rows.select(["a", "b"]).filter(pa.array(keep))
 
     pairs = filed(pairs)
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = filed(in_small_batches(texts_of(needed)).mapInArrow(cut, "node bigint, shingles binary"))
+    sets = _sets(texts_of, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), size, filed)
     # The different ends travel with their sets; a centre's set is sent once.
     both = pairs.join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b").join(
         sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a"
@@ -509,9 +595,11 @@ def keep_one(
     """One row of each group of near copies, with all its columns: that with the smallest id, nulls last.
 
     Near copies have the Jaccard similarity or more in their sets of shingles of ``size`` words, whatever the
-    kind of edit. Candidates share one of the first shingles of each in an order of all shingles (prefix
-    filter), which no similar pair fails; each is then verified on the shingles. Groups are connected
-    components. All texts without words are one group.
+    kind of edit. They are found by SimHash: fingerprints of the sets within MAX_DISTANCE bits meet at the anchors,
+    as in ``near_duplicates``, and each link is verified on the shingles. Fingerprints do not tell all pairs of the
+    similarity apart from others, so an exact completion follows: candidates that share one of the first shingles of
+    each in an order of all shingles (prefix filter), which no similar pair fails, also verified. Groups are
+    connected components. All texts without words are one group.
 
     Equal ids are told apart by the place of their rows, so of repeated rows one stays. Texts are shuffled
     only if a list of rows is too long to be broadcast, and not copied where the rows stand in Parquet files.
@@ -528,18 +616,18 @@ def keep_one(
     def look(batches):
         for rows in batches:
             found = [describe(value, size, similarity, *shared.value) for value in rows.column(1).to_pylist()]
-            kinds = pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()
+            kinds = pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()
             arrays = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), *arrays], ["row", "name", "size", "tokens", "bits"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), *arrays], ["row", "name", "size", "fingerprint", "tokens", "bits"])
 
-    schema = f"row {dict(source.dtypes)['row']}, name binary, size bigint, tokens array<bigint>, bits binary"
+    schema = f"row {dict(source.dtypes)['row']}, name binary, size bigint, fingerprint bigint, tokens array<bigint>, bits binary"
     # Numbered as they are written, once.
     rows = filed(in_small_batches(source).mapInArrow(look, schema).withColumn("node", F.monotonically_increasing_id()))
     # Texts with the same shingles are one node, named by its least row.
     distinct = materialise(rows.groupBy("name").agg(F.min(F.struct("row", "node")).alias("least")))
     nodes = distinct.select(F.col("least.node").alias("node"), F.col("least.row").alias("least"))
     again = rows.select("node").join(nodes.select("node"), "node", "left_anti")
-    own = rows.select("node", "size", "tokens", "bits").join(again, "node", "left_anti")
+    own = rows.select("node", "size", "fingerprint", "tokens", "bits").join(again, "node", "left_anti")
     numbers = rows.select("node", F.col("row.file").alias(file), F.col("row.at").alias(at))
     texts = placed.select(file, at, F.col(text).alias("text"))
 
