@@ -96,3 +96,14 @@ def test_terms_across_blocks(monkeypatch):
     monkeypatch.setattr(divergence, "BLOCK_BYTES", 7)
     assert [x for block in divergence.term_blocks(text) for x in block] == whole
     assert [x.decode() for x in whole] == [re.sub("[A-Z]+", lambda m: m[0].lower(), t) for t in TERM.findall(text.decode())]
+
+
+def test_a_task_hands_on_blocks_and_they_are_added_up(spark):
+    batch = divergence._blocks_batch("en", "a", np.array([0, 0, 2]), np.array([1, 7, 3]), np.array([5, 1, 2]))
+    assert batch.column("block").to_pylist() == [0, 2] and batch.column("n").to_pylist() == [6, 2]
+    rows = [tuple(r.values()) for r in batch.to_pylist()]
+    parts = spark.createDataFrame(rows * 3 + [("en", "b", *r[2:]) for r in rows], divergence._BLOCKS)
+    found = sorted((r.lang, r.source, r.block, r.n, np.frombuffer(r.slots, "<u4").tolist(), np.frombuffer(r.counts, "<i8").tolist()) for r in divergence._added(parts).collect())
+    assert found == [
+        ("en", "a", 0, 18, [1, 7], [15, 3]), ("en", "a", 2, 6, [3], [6]), ("en", "b", 0, 6, [1, 7], [5, 1]), ("en", "b", 2, 2, [3], [2]),
+    ]

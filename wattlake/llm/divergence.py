@@ -6,7 +6,8 @@ of bits, a term standing at the first level where no other falls on its bit, and
 numbers the bits. The terms are stored by their slots, so a term that was not kept is told apart.
 
 Second pass: shards are broadcast, as many at a time as fit a fixed budget, and each task looks up the terms of
-its texts and adds to a dense array of slots for each group. What leaves a task are numbers of slots.
+its texts and adds to a dense array of slots for each group. What leaves a task are blocks of slots' numbers, added
+up block by block.
 
 Then shares are compared block by block of slots, all sources of a language side by side, in whole numbers.
 """
@@ -32,6 +33,7 @@ HELD_TERMS, HELD_SLOTS, BLOCK_BYTES = 400_000, 4 << 20, 1 << 20
 #: Bits for each term at a level, and levels; terms with one and the same 64-bit hash are left and looked up by name.
 SPARSE, LEVELS = 2, 40
 SCALE = 1_000_000_000
+_BLOCKS = "lang string, source string, block bigint, n bigint, slots binary, counts binary"
 _SEED = 42  # the seed of Spark's own xxhash64
 #: ASCII letters in lower case and all bytes above ASCII stay; the rest parts terms.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -220,7 +222,10 @@ def _rounds(shards: DataFrame) -> list[list[tuple[str, int, int]]]:
 
 
 def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]], number: dict[str, int]) -> DataFrame:
-    """``lang, source, slot, n`` of the terms in the turn's shards, summed by task."""
+    """``lang, source, block, n, slots, counts`` of the terms in the turn's shards, summed by task.
+
+    ``slots`` are the places in the block of BLOCK slots, ``counts`` their numbers and ``n`` the sum of these.
+    """
     spark = docs.sparkSession
     wanted = small_table(spark, [{"lang": x, "shard": s} for x, s, _ in turn], "lang string, shard bigint")
     rows = {(r.lang, r.shard): r for r in shards.join(F.broadcast(wanted), ["lang", "shard"]).collect()}
@@ -259,30 +264,69 @@ def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]
                         dense = {}
                     dense[group] = np.zeros(span[lang], dtype=np.int64)
                 for terms in term_blocks(b" ".join(texts)):
-                    distinct = set(terms)
-                    new = distinct.difference(memo[lang])
+                    often = Counter(terms)
+                    new = often.keys() - memo[lang].keys() if len(memo[lang]) < len(often) else [x for x in often if x not in memo[lang]]
                     if new:
                         if len(memo[lang]) + len(new) > HELD_TERMS:
                             memo[lang].clear()
-                            new = distinct
+                            new = often
                         learn(lang, list(new))
-                    slots = np.fromiter(map(memo[lang].__getitem__, terms), np.int64, len(terms))
-                    np.add.at(dense[group], slots[slots >= 0], 1)
+                    slots = np.fromiter(map(memo[lang].__getitem__, often), np.int64, len(often))
+                    n = np.fromiter(often.values(), np.int64, len(often))
+                    dense[group][slots[slots >= 0]] += n[slots >= 0]  # different terms have different slots
         yield from told(dense, first)
 
     def told(dense, first):
         for (lang, source), own in dense.items():
-            slots = np.flatnonzero(own)
-            if len(slots):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(slots), pa.string()), pa.array([source] * len(slots), pa.string()),
-                        pa.array(slots + first[lang]), pa.array(own[slots]),
-                    ],
-                    ["lang", "source", "slot", "n"],
-                )
+            found = np.flatnonzero(own)
+            if len(found):
+                slots = found + first[lang]
+                yield _blocks_batch(lang, source, slots // BLOCK, slots % BLOCK, own[found])
+
+    return docs.select("lang", "source", "text").mapInArrow(count, _BLOCKS)
+
+
+def _blocks_batch(lang: str, source: str, block: np.ndarray, slot: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row for each block; the blocks ascend."""
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    cuts = [*starts.tolist(), len(block)]
+    places, counts = slot.astype("<u4").tobytes(), n.astype("<i8").tobytes()
+    slices = list(zip(cuts[:-1], cuts[1:], strict=True))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang] * len(starts), pa.string()), pa.array([source] * len(starts), pa.string()), pa.array(block[starts]),
+            pa.array(np.add.reduceat(n, starts)), pa.array([places[4 * a:4 * b] for a, b in slices], pa.binary()),
+            pa.array([counts[8 * a:8 * b] for a, b in slices], pa.binary()),
+        ],
+        ["lang", "source", "block", "n", "slots", "counts"],
+    )
+
 
-    return docs.select("lang", "source", "text").mapInArrow(count, "lang string, source string, slot bigint, n bigint")
+def _added(parts: DataFrame) -> DataFrame:
+    """``parts`` with one row for each block of a group; rows of a block stand together, and one block is held."""
+    def add(batches):
+        own, total, done = None, np.zeros(BLOCK, dtype=np.int64), []
+        for rows in batches:
+            for *key, _, slots, counts in zip(*(x.to_pylist() for x in rows.columns), strict=True):
+                if key != own:
+                    if own is not None:
+                        done.append(summed(own, total))
+                        total[:] = 0
+                    own = key
+                total[np.frombuffer(slots, "<u4")] += np.frombuffer(counts, "<i8")
+            if done:
+                yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+                done = []
+        if own is not None:
+            yield summed(own, total)
+
+    def summed(key, total):
+        lang, source, block = key
+        found = np.flatnonzero(total)
+        return _blocks_batch(lang, source, np.full(len(found), block), found, total[found])
+
+    by = ["lang", "source", "block"]
+    return in_small_batches(parts.repartition(*by).sortWithinPartitions(*by)).mapInArrow(add, _BLOCKS)
 
 
 def shares(counts: np.ndarray, totals: np.ndarray, kept: int) -> np.ndarray:
@@ -298,7 +342,7 @@ def _compared(blocks: DataFrame, most: int) -> DataFrame:
 
     def compare(table):
         lang = table["lang"][0].as_py()
-        rows = table.select(["kind", "source", "slot", "n", "term", "kept"]).to_pydict()
+        rows = table.select(["kind", "source", "slot", "n", "term", "kept", "slots", "counts"]).to_pydict()
         at = {kind: np.flatnonzero(np.array(rows["kind"]) == kind) for kind in range(3)}
         kept = rows["kept"][at[0][0]]
         sources = [rows["source"][i] for i in at[0].tolist()]
@@ -306,9 +350,10 @@ def _compared(blocks: DataFrame, most: int) -> DataFrame:
         place = {s: i for i, s in enumerate(sources)}
         terms = {rows["slot"][i]: rows["term"][i] for i in at[1].tolist()}
         slots = np.array(sorted(terms), dtype=np.int64)
-        column = np.searchsorted(slots, np.array([rows["slot"][i] for i in at[2].tolist()], dtype=np.int64))
-        row = np.array([place[rows["source"][i]] for i in at[2].tolist()], dtype=np.int64)
-        n = np.array([rows["n"][i] for i in at[2].tolist()], dtype=np.int64)
+        seen = [np.frombuffer(rows["slots"][i], "<u4").astype(np.int64) + rows["slot"][i] for i in at[2].tolist()]
+        column = np.searchsorted(slots, np.concatenate(seen) if seen else np.zeros(0, np.int64))
+        row = np.repeat(np.array([place[rows["source"][i]] for i in at[2].tolist()], dtype=np.int64), [len(x) for x in seen])
+        n = np.frombuffer(b"".join(rows["counts"][i] for i in at[2].tolist()), "<i8")
         sums = np.zeros((len(sources), len(sources)), dtype=np.int64)
         best: list[list[tuple[int, bytes]]] = [[] for _ in sources]
         wide = max(16, (1 << 20) // max(1, len(sources)))
@@ -361,22 +406,23 @@ def divergence(docs: DataFrame, least: int = 3, most: int = 200) -> DataFrame:
     shards = _shards(kept, sizes)
     number = {r.lang: r.shards for r in sizes.collect()}
     turns = _rounds(shards)
-    parts = spark.createDataFrame([], "lang string, source string, slot bigint, n bigint")
+    parts = spark.createDataFrame([], _BLOCKS)
     for turn in turns:
         parts = parts.union(_recount(in_small_batches(own), shards, turn, number))
-    counts = materialise(parts.groupBy("lang", "source", "slot").agg(F.sum("n").alias("n")))
+    counts = materialise(_added(parts))
     totals = materialise(
         groups.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("n")), ["lang", "source"], "left")
         .join(F.broadcast(sizes), "lang", "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("kept"))
     )
     kind = lambda k: F.lit(k).alias("kind")
+    bytes_ = lambda name: F.lit(None).cast("binary").alias(name)
     block = F.floor(F.col("slot") / BLOCK).cast("long").alias("block")
     last = F.greatest(F.lit(0), F.floor((F.col("kept") - 1) / BLOCK)).cast("long")
     heads = totals.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"), kind(0), "source", F.lit(None).cast("long").alias("slot"), "n",
-                          F.lit(None).cast("binary").alias("term"), "kept")
+                          bytes_("term"), "kept", bytes_("slots"), bytes_("counts"))
     none = F.lit(None).cast("long")
-    named = _named(shards, turns).select("lang", block, kind(1), F.lit(None).cast("string").alias("source"), "slot", none.alias("n"), "term", none.alias("kept"))
-    seen = counts.select("lang", block, kind(2), "source", "slot", "n", F.lit(None).cast("binary").alias("term"), none.alias("kept"))
+    named = _named(shards, turns).select("lang", block, kind(1), F.lit(None).cast("string").alias("source"), "slot", none.alias("n"), "term", none.alias("kept"), bytes_("slots"), bytes_("counts"))
+    seen = counts.select("lang", "block", kind(2), "source", (F.col("block") * BLOCK).alias("slot"), "n", bytes_("term"), none.alias("kept"), "slots", "counts")
     found = materialise(_compared(heads.union(named).union(seen), most))
     pairs = found.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     by = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
