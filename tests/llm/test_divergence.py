@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wattlake.llm import divergence
 
@@ -107,3 +108,45 @@ def test_a_task_hands_on_blocks_and_they_are_added_up(spark):
     assert found == [
         ("en", "a", 0, 18, [1, 7], [15, 3]), ("en", "a", 2, 6, [3], [6]), ("en", "b", 0, 6, [1, 7], [5, 1]), ("en", "b", 2, 2, [3], [2]),
     ]
+
+
+def test_rows_of_a_task_do_not_grow_with_the_batches_it_reads(spark, monkeypatch):
+    """Many groups of a wide vocabulary: a task hands on a block of a group once, not once for each batch."""
+    monkeypatch.setattr(divergence, "HELD_SLOTS", 2_000)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    terms = spark.createDataFrame([("en", w) for w in words], "lang string, term string").select(
+        "lang", F.col("term").cast("binary"), F.xxhash64(F.col("term").cast("binary")).alias("hash")
+    )
+    sizes = divergence._sizes(terms)
+    shards = divergence._shards(terms, sizes)
+    docs = [(" ".join(words[(i + k) % 40 * 10] for k in range(12)), "en", f"s{i % 40}") for i in range(1_200)]
+    rows = spark.createDataFrame(docs, "text string, lang string, source string").select(F.col("text").cast("binary"), "lang", "source")
+    monkeypatch.setattr(divergence, "BLOCK", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 60)
+    try:
+        parts = divergence._recount(rows.coalesce(1), shards, divergence._rounds(shards)[0], {"en": 1}).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(r.n for r in parts) == 1_200 * 12
+    assert len(parts) == len({(r.source, r.block) for r in parts})
+
+
+def test_held_numbers_are_added_up_and_taken_by_group():
+    rng = np.random.default_rng(4)
+    held, want, got = divergence._Held(50), Counter(), Counter()
+    groups = [("en", "a"), ("en", None), ("de", "a")]
+
+    def take():
+        for group, slots, n in held.taken():
+            assert (np.diff(slots) > 0).all()
+            got.update({(group, s): k for s, k in zip(slots.tolist(), n.tolist(), strict=True)})
+        assert held.size == 0 and not list(held.taken())
+
+    for i in range(200):
+        slots = rng.choice(60, 9, replace=False)
+        n = rng.integers(1, 1 << 40, 9)
+        want.update({(groups[i % 3], s): k for s, k in zip(slots.tolist(), n.tolist(), strict=True)})
+        if held.add(groups[i % 3], slots, n):
+            take()
+    take()
+    assert got == want

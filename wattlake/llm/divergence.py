@@ -6,8 +6,8 @@ of bits, a term standing at the first level where no other falls on its bit, and
 numbers the bits. The terms are stored by their slots, so a term that was not kept is told apart.
 
 Second pass: shards are broadcast, as many at a time as fit a fixed budget, and each task looks up the terms of
-its texts and adds to a dense array of slots for each group. What leaves a task are blocks of slots' numbers, added
-up block by block.
+its texts and holds the number of each slot that a group has met, however many slots the language has. What leaves a
+task are blocks of slots' numbers, added up block by block.
 
 Then shares are compared block by block of slots, all sources of a language side by side, in whole numbers.
 """
@@ -28,8 +28,8 @@ from wattlake.session import ensure_checkpoint_dir, materialise, scratch_path, s
 
 #: Terms of a shard, bytes of shards broadcast at a time, slots of a block of the comparison.
 SHARD, BUDGET, BLOCK = 32_768, 64 << 20, 1024
-#: Counted terms and dense slots that a worker holds before it hands them on; bytes of a text looked at together.
-HELD_TERMS, HELD_SLOTS, BLOCK_BYTES = 400_000, 4 << 20, 1 << 20
+#: Counted terms and slots of groups that a worker holds before it hands them on; bytes of a text looked at together.
+HELD_TERMS, HELD_SLOTS, BLOCK_BYTES = 400_000, 2 << 20, 1 << 20
 #: Bits for each term at a level, and levels; terms with one and the same 64-bit hash are left and looked up by name.
 SPARSE, LEVELS = 2, 40
 SCALE = 1_000_000_000
@@ -238,8 +238,7 @@ def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]
         parts, number = shared.value
         hashes = {lang: {s: (base, PerfectHash.unpacked(row)) for s, (base, row) in own.items()} for lang, own in parts.items()}
         first = {lang: min(base for base, _ in own.values()) for lang, own in hashes.items()}
-        span = {lang: max(base + len(p.width) for base, p in own.values()) - first[lang] for lang, own in hashes.items()}
-        dense: dict[tuple[str, str], np.ndarray] = {}
+        held = _Held(HELD_SLOTS)
         memo: dict[str, dict[bytes, int]] = {lang: {} for lang in hashes}  # slots of terms seen before
 
         def learn(lang: str, terms: list[bytes]) -> None:
@@ -258,11 +257,6 @@ def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]
                     groups.setdefault((lang, source), []).append(text)
             for group, texts in groups.items():
                 lang = group[0]
-                if group not in dense:
-                    if sum(map(len, dense.values())) + span[lang] > HELD_SLOTS and dense:
-                        yield from told(dense, first)
-                        dense = {}
-                    dense[group] = np.zeros(span[lang], dtype=np.int64)
                 for terms in term_blocks(b" ".join(texts)):
                     often = Counter(terms)
                     new = often.keys() - memo[lang].keys() if len(memo[lang]) < len(often) else [x for x in often if x not in memo[lang]]
@@ -273,19 +267,60 @@ def _recount(docs: DataFrame, shards: DataFrame, turn: list[tuple[str, int, int]
                         learn(lang, list(new))
                     slots = np.fromiter(map(memo[lang].__getitem__, often), np.int64, len(often))
                     n = np.fromiter(often.values(), np.int64, len(often))
-                    dense[group][slots[slots >= 0]] += n[slots >= 0]  # different terms have different slots
-        yield from told(dense, first)
+                    if held.add(group, slots[slots >= 0], n[slots >= 0]):
+                        yield from told(held, first)
+        yield from told(held, first)
 
-    def told(dense, first):
-        for (lang, source), own in dense.items():
-            found = np.flatnonzero(own)
-            if len(found):
-                slots = found + first[lang]
-                yield _blocks_batch(lang, source, slots // BLOCK, slots % BLOCK, own[found])
+    def told(held, first):
+        for (lang, source), found, n in held.taken():
+            slots = found + first[lang]
+            yield _blocks_batch(lang, source, slots // BLOCK, slots % BLOCK, n)
 
     return docs.select("lang", "source", "text").mapInArrow(count, _BLOCKS)
 
 
+class _Held:
+    """Numbers by group and slot, added up whenever ``most`` of them stand beside each other."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.groups = most, {}
+        self._start([], [])
+
+    def _start(self, keys: list[np.ndarray], numbers: list[np.ndarray]) -> None:
+        self.keys, self.numbers, self.size = keys, numbers, sum(map(len, keys))
+
+    def add(self, group: tuple[str, str], slots: np.ndarray, n: np.ndarray) -> bool:
+        """Whether so many slots are held, each once, that they should be taken."""
+        place = self.groups.setdefault(group, len(self.groups))
+        self.keys.append(slots + (place << 40))
+        self.numbers.append(n)
+        self.size += len(slots)
+        if self.size < self.most:
+            return False
+        self._add_up()
+        return self.size > self.most // 2
+
+    def _add_up(self) -> None:
+        keys, n = np.concatenate(self.keys), np.concatenate(self.numbers)
+        self._start([], [])
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        self._start([keys[starts]], [np.add.reduceat(n, starts)])
+
+    def taken(self):
+        """The groups with their slots, ascending, and the numbers of these; nothing is held any more."""
+        if not self.size:
+            return
+        self._add_up()
+        (keys,), (n,), groups = self.keys, self.numbers, list(self.groups)
+        self.groups = {}
+        self._start([], [])
+        cuts = [*np.flatnonzero(np.diff(keys >> 40, prepend=-1)).tolist(), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield groups[int(keys[a]) >> 40], keys[a:b] & ((1 << 40) - 1), n[a:b]
+
+
 def _blocks_batch(lang: str, source: str, block: np.ndarray, slot: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """A row for each block; the blocks ascend."""
     starts = np.flatnonzero(np.diff(block, prepend=-1))
