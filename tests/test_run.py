@@ -11,6 +11,7 @@ from wattlake.plans.catalog import DATASETS, PHASES, PUBLISHED, STEPS
 from wattlake.plans.medallion import BUILD, Options
 from wattlake.plans.run import Engine, dates_between
 from wattlake.quality import Expectation, QualityGateError
+from wattlake.sources.lake import Lake
 from wattlake.sources.synthetic import readings, seed_landing
 
 DAY, NEXT = date(2026, 8, 1), date(2026, 8, 2)
@@ -195,6 +196,32 @@ def test_backfill_equals_single_runs(spark, tmp_path):
     assert again.runs == {} and again.completed == days
 
 
+def test_raw_rows_are_gathered_by_date_only_if_their_files_are_many(spark, tmp_path, monkeypatch):
+    days, gathered = [DAY, NEXT], {}
+    engine = engine_for(spark, tmp_path, days)
+    landed = engine.lake.dataset_path(DATASETS["landing_readings"])
+    write = Lake.write
+
+    def noted(self, layer, placed, dataset, dt, run, many_dates):
+        gathered[dataset if isinstance(dataset, str) else layer] = many_dates
+        return write(self, layer, placed, dataset, dt, run, many_dates)
+
+    monkeypatch.setattr(Lake, "write", noted)
+    engine.backfill(*days, prefix="few-")
+    few, found = dict(gathered), rows(engine.warehouse.table(DAILY))
+    assert not few["bronze_readings"] and not few["bronze_weather"]
+    assert few["silver"] and few["silver_enriched"] and few["gold_daily_region"]
+    for day in days:
+        part = f"{landed}/dt={day}"
+        held = spark.read.parquet(part).repartition(9, "meter_id")
+        held.write.parquet(f"{tmp_path}/{day}")
+        shutil.rmtree(part)
+        shutil.move(f"{tmp_path}/{day}", part)
+    engine.backfill(*days, prefix="many-")
+    assert gathered["bronze_readings"] and not gathered["bronze_weather"]
+    assert rows(engine.warehouse.table(DAILY)) == found
+
+
 def test_backfill_goes_on_without_a_bad_date(spark, tmp_path):
     engine = engine_for(spark, tmp_path, (DAY, NEXT))
     # A date whose landing files are missing fails its gates.

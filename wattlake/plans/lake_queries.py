@@ -5,6 +5,7 @@ Whatever is written goes to a fresh folder below the shared checkpoint folder.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
 
@@ -297,10 +298,16 @@ def _landed(spark, folder) -> tuple[Engine, date, date]:
     """An engine over the landing files of all dates, and the first and last of them."""
     root = scratch_path(spark, "backfill")
     raw = landing(spark, folder)
-    for name in ("landing_readings", "landing_weather"):
-        raw[name].hint("rebalance", "dt").write.partitionBy("dt").parquet(f"{root}/lake/landing/{name}")
-    for name in ("landing_meters", "landing_tariffs"):
-        raw[name].write.option("header", True).csv(f"{root}/lake/landing/{name}")
+
+    def land(name: str) -> None:
+        path = f"{root}/lake/landing/{name}"
+        if "dt" in raw[name].columns:
+            raw[name].hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+        else:
+            raw[name].write.option("header", True).csv(path)
+
+    with ThreadPoolExecutor(max_workers=len(raw)) as pool:  # side by side, as the steps that read them
+        list(pool.map(land, raw))
     first, last = table(spark, folder, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
     return Engine(spark, f"{root}/lake", f"{root}/warehouse", steps=_own_steps()), first, last
 

@@ -21,6 +21,8 @@ from wattlake.sources.lake import Lake, new_attempt
 
 #: How many days the rolling mean looks back beyond its own.
 DAYS_BACK = 6
+#: Landing files of a date up to which its raw rows are written as they are read.
+FEW_FILES = 4
 
 SUCCEEDED, FAILED, COMPENSATED, RUNNING = "succeeded", "failed", "compensated", "running"
 
@@ -284,7 +286,7 @@ class Engine:
             dt = F.col("dt") if "dt" in rows.columns else F.col("business_date")
             prefix = next(iter(days.values())).removesuffix(next(iter(days)).isoformat())
             run_of = F.concat(F.lit(prefix), dt.cast("string"))
-        lake.write(step.layer, rows, dataset, dt, run_of, many_dates=len(days) > 1)
+        lake.write(step.layer, rows, dataset, dt, run_of, many_dates=len(days) > 1 and not _by_date(step, rows, days))
 
     def _settle(self, outcome: _Outcome, state: _Progress) -> None:
         """Record a finished step per date and drop the dates whose gate did not pass."""
@@ -365,6 +367,14 @@ class Engine:
         }
 
 
+def _by_date(step: Step, rows: DataFrame, days: Mapping[date, str]) -> bool:
+    """Whether the rows come as a few files a date, so that each task has few dates and need not be dealt them.
+
+    Raw rows are changed one by one, so a task writes no more files than it has read. Many small files are gathered.
+    """
+    return step.layer == "bronze" and step.per_date and len(rows.inputFiles()) <= FEW_FILES * len(days)
+
+
 class _Progress:
     """Dates still going, with their run ids, and what has been found out about each."""
 
